@@ -131,3 +131,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+def append_columns(df: DataFrame, text: str, keep: list[str], start: Callable[[], Callable[[list[str]], list[list]]], fields: str) -> DataFrame:
+    """keep's columns of df and, after them, columns computed from whole texts (null: empty). start() runs once a task.
+
+    keep may hold any columns, whatever they are called; a name in fields that is taken by one of them is an error.
+    """
+    new = struct(fields)
+    if clash := {f.name for f in new} & set(keep):
+        raise ValueError(f"columns {sorted(clash)} are taken")
+    out = T.StructType([df.schema[c] for c in keep] + list(new))
+    kinds = [_arrow_type(f.dataType) for f in new]
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        each = start()
+        for b in batches:
+            for k in range(0, b.num_rows, 1024):
+                part = b.slice(k, 1024)
+                cols = each(part.column(part.num_columns - 1).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, type=t) for c, t in zip(cols, kinds))], names=[*keep, *new.names])
+
+    return rows.mapInArrow(run, out)
