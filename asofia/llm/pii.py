@@ -1,0 +1,198 @@
+"""10. Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
+
+Kinds, in the order in which they are listed:
+
+- email, ip, card, phone: the base patterns, leftmost and non-overlapping per kind; failing matches are dropped.
+- iban: a country's length and mod-97 = 1; grouped by single spaces or not.
+- part: a card number (16 to 19 digits, Luhn) that stands as a group of its own in a longer run of digits.
+- short: one of 13 to 15 digits; reported if its score reaches the threshold, which takes a word nearby.
+- ident: other identity numbers (ddd-dd-dddd); reported if its score reaches the threshold, which takes a word nearby.
+
+Scores: each kind has one to begin with; a word of its context within WINDOW code points before it, or half of that
+after it, adds to it, words of the counter-context (order, version, serial numbers ...) take from it. Base spans are
+reported whatever their score. Spans are code points, end exclusive. Every pattern is linear: a run is entered at its
+start only. Null texts are empty; no spans are the empty string. Repeated rows are reported each; an empty table gives
+no rows; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from asofia.llm.common import append_columns, table
+
+KINDS = ("email", "ip", "card", "phone", "iban", "part", "short", "ident")
+BASE = 4
+WINDOW = 40
+THRESHOLD = 0.5
+SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "part": 0.7, "short": 0.4, "ident": 0.3}
+CONTEXT = {
+    "email": ("mail", "contact", "write to"),
+    "ip": ("ip", "host", "server", "address"),
+    "card": ("card", "visa", "mastercard", "amex", "credit", "payment", "karte", "carte", "tarjeta"),
+    "phone": ("phone", "tel", "call", "mobile", "fax", "anruf"),
+    "iban": ("iban", "account", "bank", "konto", "compte", "cuenta"),
+    "ident": ("ssn", "social security", "identity", "tax id"),
+}
+CONTEXT["part"] = CONTEXT["short"] = CONTEXT["card"]
+COUNTER = ("order", "invoice", "version", "serial", "isbn", "tracking", "part no")
+Span = tuple[str, int, int]
+
+_EMAIL = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+_RUN = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
+_IDENT = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_GROUP = re.compile(r"[0-9]+")
+_DIGIT = re.compile(r"[0-9]").search
+_IBAN_SIZE = {"AD": 24, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26}
+
+
+def luhn(digits: str) -> bool:
+    odd = digits[-1::-2]
+    even = digits[-2::-2]
+    return (sum(map(int, odd)) + sum("0246813579".index(d) for d in even)) % 10 == 0
+
+
+def mod97(iban: str) -> bool:
+    s = iban[4:] + iban[:4]
+    return int("".join(str(int(c, 36)) for c in s)) % 97 == 1
+
+
+def _small(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or "0") <= 255
+
+
+def emails(text: str) -> list[Span]:
+    found, free = [], 0
+    for m in _EMAIL.finditer(text):
+        at = s = m.start()
+        while s > free and text[s - 1] in _LOCAL:
+            s -= 1
+        if s < at:
+            found.append(("email", s, m.end()))
+            free = m.end()
+    return found
+
+
+def base_spans(text: str) -> list[Span]:
+    """Of the four base patterns, by kind as listed, then start."""
+    found = emails(text) if "@" in text else []
+    if not _DIGIT(text):
+        return found
+    if "." in text:
+        found += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_small, m[0].split(".")))]
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() >= 16:
+            d = m[0].replace(" ", "").replace("-", "")
+            if 16 <= len(d) <= 19 and luhn(d):
+                found.append(("card", *m.span()))
+    if "+" in text:
+        found += [("phone", *m.span()) for m in _PHONE.finditer(text) if 8 <= sum(c in "0123456789" for c in m[0]) <= 15]
+    return found
+
+
+def score(text: str, span: Span) -> float:
+    kind, s, e = span
+    around = (text[max(0, s - WINDOW) : s] + " " + text[e : e + WINDOW // 2]).lower()
+    up = any(re.search(rf"(?<![a-z]){w}", around) for w in CONTEXT[kind])
+    down = any(w in around for w in COUNTER)
+    return min(1.0, max(0.0, SCORE[kind] + 0.3 * up - 0.3 * down))
+
+
+def _overlaps(a: Span, spans: list[Span]) -> bool:
+    return any(a[1] < e and s < a[2] for _, s, e in spans)
+
+
+def added_spans(text: str, base: list[Span]) -> list[Span]:
+    """What checksums and context confirm besides the base spans."""
+    if not _DIGIT(text):
+        return []
+    found: list[Span] = []
+    for m in _IBAN.finditer(text):
+        raw = m[0].replace(" ", "")
+        size = _IBAN_SIZE.get(raw[:2])
+        if size and len(raw) >= size and mod97(raw[:size]):
+            end, left = m.start(), size
+            while left:
+                left -= text[end] != " "
+                end += 1
+            found.append(("iban", m.start(), end))
+    for m in _RUN.finditer(text):
+        if m.end() - m.start() >= 13:
+            d = sum(c not in " -" for c in m[0])
+            if 13 <= d <= 15 and luhn(m[0].replace(" ", "").replace("-", "")):
+                found.append(("short", *m.span()))
+            elif d > 15:
+                for g in _GROUP.finditer(m[0]):
+                    if 16 <= len(g[0]) <= 19 and luhn(g[0]):
+                        found.append(("part", m.start() + g.start(), m.start() + g.end()))
+    found += [("ident", *m.span()) for m in _IDENT.finditer(text)]
+    return [f for f in found if not _overlaps(f, base) and score(text, f) >= THRESHOLD]
+
+
+def find_spans(text: str) -> tuple[list[Span], list[Span]]:
+    """Base spans and all spans, each by kind as listed, then start."""
+    base = base_spans(text)
+    rank = {k: i for i, k in enumerate(KINDS)}
+    return base, sorted(base + added_spans(text, base), key=lambda s: (rank[s[0]], s[1], s[2]))
+
+
+def joined(spans: list[Span]) -> str:
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """keep's columns, counts of the base kinds, a digest of the base spans, all spans and their scores."""
+
+    def start():
+        def each(texts):
+            found = [find_spans(t) for t in texts]
+            counts = [[sum(s[0] == k for s in b) for b, _ in found] for k in KINDS[:BASE]]
+            scores = [",".join(f"{score(t, s):.2f}" for s in a) for t, (_, a) in zip(texts, found)]
+            return [*counts, [hashlib.sha256(joined(b).encode()).hexdigest() for b, _ in found], [joined(a) for _, a in found], scores]
+
+        return each
+
+    return append_columns(docs, text, keep if keep is not None else ["doc_id"], start, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores string")
+
+
+def redact_text(text: str) -> str:
+    """Every reported span replaced by its kind in square brackets; of overlapping ones the union, by the first."""
+    spans = sorted(find_spans(text)[1], key=lambda s: (s[1], -s[2]))
+    if not spans:
+        return text
+    parts, at = [], 0
+    for kind, s, e in spans:
+        if e <= at:
+            continue
+        if s >= at:
+            parts += [text[at:s], f"[{kind.upper()}]"]
+        at = e
+    return "".join([*parts, text[at:]])
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """docs with personal data in text replaced and n_chars, where there is such a column, counted anew. Null texts stay null."""
+    cols = docs.columns
+    rest = [c for c in cols if c != "text"]
+
+    def start():
+        return lambda texts: [[redact_text(t) for t in texts]]
+
+    marked = docs.withColumn("_null", F.col("text").isNull())
+    done = append_columns(marked, "text", [*rest, "_null"], start, "text string").withColumn("text", F.when(~F.col("_null"), F.col("text")))
+    if "n_chars" in cols:
+        done = done.withColumn("n_chars", F.when(F.col("_null"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return done.select(*cols)
+
+
+def op10_pii(spark, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))

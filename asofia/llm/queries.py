@@ -7,6 +7,10 @@ from importlib import import_module
 
 _WHERE = {
     "op1_token_store": "token_store",
+    "op6_quality_rules": "quality_rules",
+    "op7_secret_scan": "secrets",
+    "op9_byte_bpe": "byte_bpe",
+    "op10_pii": "pii",
 }
 
 
