@@ -7,6 +7,9 @@ from importlib import import_module
 
 _WHERE = {
     "op1_token_store": "token_store",
+    "op2_warc": "warc",
+    "op3_prefix_free": "prefix_free",
+    "op4_hilbert_pack": "hilbert_pack",
     "op6_quality_rules": "quality_rules",
     "op7_secret_scan": "secrets",
     "op9_byte_bpe": "byte_bpe",
