@@ -138,7 +138,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 @lru_cache(2)
 def rank_encoder(path: str, pattern: str) -> tuple[RankEncoder, StretchEncoder]:
     r = RankEncoder(read_ranks(path), pattern)
-    return r, StretchEncoder(r.encode, lambda words: [r.encode(w) for w in words])
+
+    def many(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [r.encode(w) for w in words]
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
+
+    return r, StretchEncoder(r.encode, many)
 
 
 def default_pattern() -> str:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -21,7 +22,7 @@ _OTHER_GAPS = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2
 
 
 def stretches(text: str) -> list[str] | None:
-    """text cut before each space and newline; what follows a space comes without it. None if any gap is longer or of another kind."""
+    """text cut before each space and newline, as if a newline came first; what follows a space comes without it. None if any gap is longer or of another kind."""
     for c in _ASCII_GAPS:
         if c in text:
             return None
@@ -29,38 +30,70 @@ def stretches(text: str) -> list[str] | None:
         for c in _OTHER_GAPS:
             if c in text:
                 return None
-    cut = text.replace("\n", " \n").split(" ")
-    return None if "" in cut or "\n" in cut else cut
+    cut = ("\n" + text).replace("\n", " \n").split(" ")
+    return None if "" in cut[1:] or "\n" in cut else cut[1:]
+
+
+class _Memo(dict):
+    """Stretch -> number; new ones get the next number and are listed until they are encoded."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        n = self[word] = len(self)
+        return n
 
 
 class StretchEncoder:
     """text -> ids as little-endian unsigned 32-bit integers.
 
-    encode does so for any text by itself, encode_many for a list of stretches that start with a space or newline.
+    encode does so for any text by itself; encode_many takes a list of stretches that start with a space or newline and
+    returns all their ids and how many each has. A newline is one id.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode, self.encode_many = encode, encode_many
-        self.memo: dict[str, bytes] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.memo = _Memo()
+        self.flat, self.starts, self.sizes = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.used, self.count = 0, 0
+
+    def _learn(self) -> None:
+        new = self.memo.new
+        for k in range(0, len(new), 5000):
+            ids, sizes = self.encode_many([w if w[0] == "\n" else " " + w for w in new[k : k + 5000]])
+            while self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            while self.count + len(sizes) > len(self.sizes):
+                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+            self.flat[self.used : self.used + len(ids)] = ids
+            at = slice(self.count, self.count + len(sizes))
+            self.sizes[at], self.starts[at] = sizes, self.used + np.cumsum(sizes) - sizes
+            self.used, self.count = self.used + len(ids), self.count + len(sizes)
+        new.clear()
 
     def many(self, texts: Sequence[str]) -> list[bytes]:
-        memo, out = self.memo, []
-        if len(memo) > MEMO:
-            memo.clear()
-        get = memo.get
-        for k in range(0, len(texts), 512):
-            cut = [stretches(t) for t in texts[k : k + 512]]
-            found = [c and list(map(get, c[1:])) for c in cut]
-            lack = list(dict.fromkeys(w for c, f in zip(cut, found) if f and None in f for w, x in zip(c[1:], f) if x is None))
-            new = dict(zip(lack, self.encode_many([w if w[0] == "\n" else " " + w for w in lack])))
-            for t, c, f in zip(texts[k : k + 512], cut, found):
-                if c is None:
-                    out.append(self.encode(t))
-                else:
-                    if f and None in f:
-                        f = [new[w] if x is None else x for w, x in zip(c[1:], f)]
-                    out.append(self.encode(c[0]) + b"".join(f))
-            memo.update(new)
+        out: list[bytes] = []
+        for k in range(0, len(texts), 256):
+            if len(self.memo) > MEMO:
+                self._clear()
+            cut = [stretches(t) if t else None for t in texts[k : k + 256]]
+            n = np.array([len(c or ()) for c in cut], np.int64)
+            word = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(filter(None, cut))), np.int64, int(n.sum()))
+            if self.memo.new:
+                self._learn()
+            size, start = self.sizes[word], self.starts[word]
+            before = np.concatenate([[0], np.cumsum(size)])
+            ids = self.flat[np.repeat(start - before[:-1], size) + np.arange(before[-1])].tobytes()
+            ends = before[np.cumsum(n)]
+            at = 0
+            for t, c, end in zip(texts[k : k + 256], cut, (ends * 4).tolist()):
+                out.append(self.encode(t) if c is None else ids[at + 4 : end])  # without the newline put first
+                at = end
         return out
 
 
@@ -80,16 +113,10 @@ def library_encoder(path: str) -> StretchEncoder:
     def one(text: str) -> bytes:
         return np.array(batch([text], add_special_tokens=False)[0].ids, "<u4").tobytes() if text else b""
 
-    def many(words: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(words), 5000):
-            some = words[k : k + 5000]
-            ids = np.array(batch(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.cumsum([len(w.encode()) for w in some])
-            at = np.searchsorted(np.cumsum(width[ids]), ends) + 1
-            raw, cut = ids.tobytes(), [0, *(at * 4).tolist()]
-            out += [raw[i:j] for i, j in zip(cut, cut[1:])]
-        return out
+    def many(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(batch(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.searchsorted(np.cumsum(width[ids]), np.cumsum([len(w.encode()) for w in words])) + 1
+        return ids, np.diff(ends, prepend=0)
 
     return StretchEncoder(one, many)
 
