@@ -12,6 +12,7 @@ _WHERE = {
     "op4_hilbert_pack": "hilbert_pack",
     "op6_quality_rules": "quality_rules",
     "op7_secret_scan": "secrets",
+    "op8_simhash_forest": "simhash_forest",
     "op9_byte_bpe": "byte_bpe",
     "op10_pii": "pii",
 }
