@@ -216,3 +216,11 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = fit(docs, table(spark, sf_dir, "labels"))
     return judge(docs, rules, ["doc_id"]).select("doc_id", *COUNTS, "base_failed", "kept", "rule")
+
+
+def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """docs, all its columns, without the rejected rows. Null texts are rejected, as they have no words."""
+    cols = docs.columns
+    renamed = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(cols)], F.col("text").alias("text"))
+    kept = judge(renamed, rules, [f"_k{i}" for i in range(len(cols))]).filter("kept")
+    return kept.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(cols)])

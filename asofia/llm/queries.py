@@ -10,6 +10,7 @@ _WHERE = {
     "op2_warc": "warc",
     "op3_prefix_free": "prefix_free",
     "op4_hilbert_pack": "hilbert_pack",
+    "op5_pruned_graph": "pruned_graph",
     "op6_quality_rules": "quality_rules",
     "op7_secret_scan": "secrets",
     "op8_simhash_forest": "simhash_forest",
