@@ -10,16 +10,17 @@ and the parse that lists which documents use them.
 
 Order. A suffix array of the corpus is needed only as far as it brings together suffixes that agree in their first
 SPAN bytes, and which document comes first in each such run. For suffixes that start in equal phrases the parse gives
-that: all but the first document's are repeats. Only suffixes of different phrases that agree beyond the trigger (in
-the half window to its left or to its right) are ordered one by one, over the dictionary rather than over the corpus:
+that: all but the first document's are repeats. Only suffixes of different phrases that agree beyond the trigger (over
+SPAN - 12 bytes, in one of three places) are ordered one by one, over the dictionary rather than over the corpus:
 the suffixes' windows are sorted and each run's first document kept. Runs are found by sorting 104-bit (phrase) and
 96-bit (window) hashes of the bytes; lexicographic order isn't needed, since no run depends on its neighbours.
 
 Scale. Documents are parsed in blocks of BLOCK_BYTES where they are read; each block is written once to the shared
 folder, and what follows shuffles only hashes, a row per block and partition. Within a block equal phrases, and equal
 windows, are combined before anything is sent, so a passage that a third of all documents hold costs a record a block,
-not one a document, and of many different phrases around the same passage only representatives are sent. Nothing is
-collected to the driver, and a lost task rewrites its own files under the same names.
+not one a document. Phrases go to partitions by trigger; those of a trigger that would fill a partition go by class
+(trigger and surroundings), and a block sends one phrase of a class that is known to be compared, so many different
+phrases around one passage spread as well. A lost task rewrites its own files under the same names.
 
 Null texts are empty. Null doc_ids count as larger than any other, equal among themselves. Rows that repeat a doc_id
 don't count as earlier for each other. Texts shorter than SPAN bytes keep all bytes. An empty table gives no rows.
@@ -31,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,17 +46,19 @@ from pyspark.sql import types as T
 from asofia.llm.common import _arrow_type, materialise, mix64, n_partitions, read_file, struct, table, work_dir, write_file
 
 SPAN, K = 50, 12
-HALF = (SPAN - K) // 2
 WIDTH = SPAN - K + 1
-BLOCK_BYTES = 24_000_000
-CHUNK = 1 << 20
+BIN = WIDTH // 3
+#: A window's trigger lies in one of three bins of BIN places; what all windows of a bin cover: from, and up to, the trigger's place.
+CORES = [(-BIN * k, SPAN - BIN * (k + 1) + 1) for k in range(3)]
+BLOCK_BYTES = 12_000_000
+CHUNK = 1 << 19
 LAST = np.iinfo(np.int64).max
 _U = np.uint64
 _PLACE = 24  # bits of a place within a chunk, below the hash's
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # What is sent; at is a place in the block's bytes.
-_PHRASE = [("h", "<u4"), ("hh", "<u1"), ("g", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("size", "<u1"), ("left", "<u2"), ("right", "<u2"), ("rep", "<u1")]
+_PHRASE = [("h", "<u4"), ("hh", "<u1"), ("g", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("size", "<u1"), ("off", "<u1"), ("c0", "<u2"), ("c1", "<u2"), ("c2", "<u2"), ("rep", "<u1")]
 _WINDOW = [("w", "<u8"), ("v", "<u4"), ("doc", "<i8"), ("at", "<u4")]
 _INTERVAL = [("at", "<u4"), ("size", "<u4")]
 
@@ -124,7 +128,7 @@ class Block:
     def _chunk(self, a: int) -> dict[str, np.ndarray]:
         """Phrases of the windows that start in one chunk."""
         powers, inverse = _both_powers()
-        lead = min(a, HALF + 1)
+        lead = min(a, 2 * BIN)
         b = min(a + CHUNK, len(self.data))
         piece = np.zeros(b - a + lead + SPAN + 80, np.uint8)
         have = self.data[a - lead : b + SPAN + 40]
@@ -163,13 +167,17 @@ class Block:
         g = (total[at + size + SPAN - 8] - total[at]) * inverse[at]
         g = mix64(g ^ ((place - at).astype(_U) << _U(56)))
         hp = h[place]
-        p = place + lead
-        left = mix64(hp + before[np.maximum(p - HALF, 0)] * _U(3) + before[np.maximum(p - HALF + 8, 0)] * _U(5) + before[np.maximum(p - 8, 0)] * _U(7))
-        right = mix64(hp + m[place + K] * _U(9) + m[place + K + 8] * _U(11) + m[place + K + HALF - 8] * _U(13))
+        off = place - at
+        cores = {}
+        for k, (lo, hi) in enumerate(CORES):
+            x = hp.copy()
+            for step, word in enumerate((*range(lo, hi - 8, 8), hi - 8)):
+                x += before[np.maximum(place + lead + word, 0)] * _U(2 * step + 3)
+            cores[f"c{k}"] = np.where((off >= BIN * k) & (off - size + 1 < BIN * (k + 1)), mix64(x) & _U(0xFFFF) | _U(1), _U(0)).astype("<u2")
         doc = np.searchsorted(self.starts, at + a, "right") - 1
         return {
             "h": (hp >> _U(32)).astype("<u4"), "hh": (hp >> _U(_PLACE)).astype("<u1"), "g": g, "doc": self.doc[doc], "at": (at + a).astype("<u4"), "size": size.astype(np.uint8),
-            "left": np.where(place - at >= HALF, left & _U(0xFFFF) | _U(1), _U(0)).astype("<u2"), "right": np.where(place - (at + size - 1) <= SPAN - K - HALF, right & _U(0xFFFF) | _U(1), _U(0)).astype("<u2"),
+            "off": off.astype(np.uint8), **cores,
         }
 
     def windows(self, at: np.ndarray, size: np.ndarray) -> dict[str, np.ndarray]:
@@ -204,27 +212,47 @@ def later(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def compare(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of phrases: which are repeats as a whole, which must be compared window by window, and a representative of each class of those."""
+def compare(c: dict[str, np.ndarray], bins: tuple[int, ...] = (0, 1, 2)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of phrases: which are repeats as a whole; the bins, as bits, in which the others must be compared window by window;
+    and the bins in which one represents its class.
+
+    A class: phrases with one trigger that agree in a bin's core. It must be compared if its phrases differ or one was
+    found to need it before (rep).
+    """
     n = len(c["h"])
-    h = c["h"].astype(_U) << _U(8) | c["hh"].astype(_U)
-    repeat, wanted, rep = later(mix64(h * _U(0x9E3779B97F4A7C15) ^ c["g"]), c["doc"]), np.zeros(n, bool), np.zeros(n, bool)
-    classes = {side: mix64((h << _U(16) | c[side].astype(_U)) + _U(side == "left")) for side in ("left", "right")}
-    for side, key in classes.items():
-        i = np.flatnonzero(c[side] != 0)
-        if len(i):
-            order, start, number = _groups(key[i])
-            i = i[order]
-            g = c["g"][i]
-            active = (np.minimum.reduceat(g, start) != np.maximum.reduceat(g, start)) | (np.maximum.reduceat(c["rep"][i], start) > 0)
-            wanted[i[active[number]]] = True
-    wanted &= ~repeat
-    for side, key in classes.items():  # each class that a wanted phrase is in, by whichever side it came to be wanted
-        i = np.flatnonzero(wanted & (c[side] != 0))
-        if len(i):
-            order, start, _ = _groups(key[i])
-            rep[i[order[start]]] = True
-    return repeat, wanted, rep
+    h = triggers(c)
+    repeat, wanted, chosen = later(mix64(h * _U(0x9E3779B97F4A7C15) ^ c["g"]), c["doc"]), np.zeros(n, np.uint8), np.zeros(n, np.uint8)
+    for k in bins:
+        core = c[f"c{k}"]
+        i = np.flatnonzero(core)
+        if not len(i):
+            continue
+        order, start, number = _groups(mix64((h[i] << _U(16) | core[i].astype(_U)) + _U(k)))
+        i = i[order]
+        g = c["g"][i]
+        active = (np.minimum.reduceat(g, start) != np.maximum.reduceat(g, start)) | (np.maximum.reduceat(c["rep"][i] >> k & 1, start) > 0)
+        mine = active[number] & ~repeat[i]
+        wanted[i[mine]] |= np.uint8(1 << k)
+        first = np.minimum.reduceat(np.where(mine, np.arange(len(i)), len(i)), start)
+        chosen[i[first[first < len(i)]]] |= np.uint8(1 << k)
+    return repeat, wanted, chosen
+
+
+def triggers(c: dict[str, np.ndarray]) -> np.ndarray:
+    return c["h"].astype(_U) << _U(8) | c["hh"].astype(_U)
+
+
+def asked(c: dict[str, np.ndarray], wanted: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The runs of windows in the wanted bins, and of which phrase each is."""
+    at, size, of = [], [], []
+    for k in range(len(CORES)):
+        i = np.flatnonzero(wanted >> k & 1)
+        off, n = c["off"][i].astype(np.int64), c["size"][i].astype(np.int64)
+        far, near = np.minimum(off, BIN * (k + 1) - 1), np.maximum(off - n + 1, BIN * k)
+        at.append(c["at"][i] + (off - far))
+        size.append(far - near + 1)
+        of.append(i)
+    return {"at": np.concatenate(at).astype("<u4"), "size": np.concatenate(size).astype("<u4")}, np.concatenate(of)
 
 
 def _rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -279,6 +307,8 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
     folder, parts = work_dir(spark, "blocks"), n_partitions(spark)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
 
+    hot = _hot_triggers(rows.select("_doc", "_text"), parts)
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count = TaskContext.get().partitionId(), 0
         held: list[pa.RecordBatch] = []
@@ -292,14 +322,20 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
             _write_block(f"{folder}/{number}.docs", batch)
             block = Block(batch)
             c = block.phrases()
-            repeat, wanted, rep = compare(c)
+            repeat, wanted, chosen = compare(c)
             known = io.BytesIO()
-            np.savez(known, **{f"cut_{n}": x for n, x in _intervals(c, repeat, SPAN - 1).items()}, **{f"ask_{n}": x for n, x in _intervals(c, wanted, 0).items()})
+            np.savez(known, **{f"cut_{n}": x for n, x in _intervals(c, repeat, SPAN - 1).items()}, **{f"ask_{n}": x for n, x in asked(c, wanted)[0].items()})
             write_file(f"{folder}/{number}.known", [known.getvalue()])
-            c["rep"] = rep.astype(np.uint8)
-            send = take(c, ~repeat & (~wanted | rep))
+            c["rep"] = wanted
+            full = sum(((c[f"c{k}"] != 0).astype(np.uint8) << k for k in range(len(CORES))), np.zeros(len(wanted), np.uint8))
+            common = np.isin(triggers(c), hot)
+            send = take(c, ~repeat & ~common & (((full & ~wanted) | chosen) != 0))
+            sets = [_split(_PHRASE, send, send["h"].astype(_U), parts, number, "phrases")]
+            for k in range(len(CORES)):  # a trigger of many phrases: by class, of which a block sends one phrase if it is known to be compared
+                send = take(c, ~repeat & common & (((full & ~wanted) | chosen) >> k & 1).astype(bool))
+                sets.append(_split(_PHRASE, send, mix64((triggers(send) << _U(16) | send[f"c{k}"].astype(_U)) + _U(k)), parts, number, f"class{k}"))
             out = [(number % parts, number, "block", b"")]
-            for row in _split(_PHRASE, send, send["h"].astype(_U), parts, number, "phrases"):
+            for row in chain.from_iterable(sets):
                 out.append(row)
                 if len(out) >= 64:
                     yield _rows(out, _BLOB)
@@ -320,55 +356,52 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
             yield from flush()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[tuple[int, bytes]]] = {}
+        blobs: dict[tuple[int, str], list[tuple[int, bytes]]] = {}
         out: list[tuple] = []
         for b in batches:
             for p, block, kind, blob in zip(*(c.to_pylist() for c in b.columns)):
                 if kind == "block":
                     out.append((0, block, "block", b""))
                 else:
-                    blobs.setdefault(p, []).append((block, blob))
+                    blobs.setdefault((p, kind), []).append((block, blob))
         if out:
             yield _rows(out, _BLOB)
-        for mine in blobs.values():
+        for (_, kind), mine in blobs.items():
             c, sizes = unpack(_PHRASE, [x for _, x in mine])
             block = np.repeat(np.array([k for k, _ in mine]), sizes)
-            repeat, wanted, _ = compare(c)
-            wanted &= c["rep"] == 0
-            out = []
-            for kind, which, extra in (("cut", repeat, SPAN - 1), ("ask", wanted, 0)):
-                i = np.flatnonzero(which)
-                i = i[np.argsort(block[i], kind="stable")]
-                for k in np.split(i, np.flatnonzero(np.diff(block[i])) + 1) if len(i) else ():
-                    out.append((0, int(block[k[0]]), kind, pack(_INTERVAL, _intervals(c, k, extra))))
+            repeat, wanted, _ = compare(c, (0, 1, 2) if kind == "phrases" else (int(kind[-1]),))
+            ask, of = asked(c, wanted & ~c["rep"])
+            out = _by_blocks("cut", block[repeat], _intervals(c, repeat, SPAN - 1)) + _by_blocks("ask", block[of], ask)
             if out:
                 yield _rows(out, _BLOB)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, held in _by_block(batches):
             known = np.load(io.BytesIO(read_file(f"{folder}/{number}.known")))
-            asked, _ = unpack(_INTERVAL, held.get("ask", []))
-            at, size = (np.concatenate([known[f"ask_{n}"], asked[n]]) for n in ("at", "size"))
-            if not len(at):
-                continue
+            more, _ = unpack(_INTERVAL, held.get("ask", []))
+            at, size = (np.concatenate([known[f"ask_{n}"], more[n]]) for n in ("at", "size"))
             w = _read_block(f"{folder}/{number}.docs").windows(at, size)
             repeat = later(w["w"] ^ w["v"].astype(_U) << _U(20), w["doc"])
-            out = [(0, number, "cut", pack(_INTERVAL, {"at": w["at"][repeat], "size": np.full(int(repeat.sum()), SPAN, "<u4")}))] if repeat.any() else []
+            write_file(f"{folder}/{number}.more", [pack(_INTERVAL, {"at": w["at"][repeat], "size": np.full(int(repeat.sum()), SPAN, "<u4")})])
             send = take(w, ~repeat)
-            out += _split(_WINDOW, send, send["w"], parts, number, "windows")
+            out = [(number % parts, number, "block", b""), *_split(_WINDOW, send, send["w"], parts, number, "windows")]
             yield _rows(out, _BLOB)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[int, list[tuple[int, bytes]]] = {}
+        out: list[tuple] = []
         for b in batches:
-            for p, block, _, blob in zip(*(c.to_pylist() for c in b.columns)):
-                blobs.setdefault(p, []).append((block, blob))
+            for p, block, kind, blob in zip(*(c.to_pylist() for c in b.columns)):
+                if kind == "block":
+                    out.append((0, block, "block", b""))
+                else:
+                    blobs.setdefault(p, []).append((block, blob))
+        if out:
+            yield _rows(out, _BLOB)
         for mine in blobs.values():
             w, sizes = unpack(_WINDOW, [x for _, x in mine])
-            block = np.repeat(np.array([k for k, _ in mine]), sizes)
-            i = np.flatnonzero(later(w["w"] ^ w["v"].astype(_U) << _U(20), w["doc"]))
-            i = i[np.argsort(block[i], kind="stable")]
-            out = [(0, int(block[k[0]]), "cut", pack(_INTERVAL, {"at": w["at"][k], "size": np.full(len(k), SPAN, "<u4")})) for k in (np.split(i, np.flatnonzero(np.diff(block[i])) + 1) if len(i) else ())]
+            repeat = later(w["w"] ^ w["v"].astype(_U) << _U(20), w["doc"])
+            out = _by_blocks("cut", np.repeat(np.array([k for k, _ in mine]), sizes)[repeat], {"at": w["at"][repeat], "size": np.full(int(repeat.sum()), SPAN, "<u4")})
             if out:
                 yield _rows(out, _BLOB)
 
@@ -378,10 +411,8 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
         for number, held in _by_block(batches):
             block = _read_block(f"{folder}/{number}.docs")
             known = np.load(io.BytesIO(read_file(f"{folder}/{number}.known")))
-            cuts, _ = unpack(_INTERVAL, held.get("cut", []))
-            start, size = (np.concatenate([known[f"cut_{n}"].astype(np.int64), cuts[n].astype(np.int64)]) for n in ("at", "size"))
-            change = np.bincount(start, minlength=len(block.data) + 1)[: len(block.data) + 1] - np.bincount(start + size, minlength=len(block.data) + 1)[: len(block.data) + 1]
-            gone = np.cumsum(change)[:-1] > 0
+            cuts, _ = unpack(_INTERVAL, [*held.get("cut", []), read_file(f"{folder}/{number}.more").to_pybytes()])
+            gone = _covered(len(block.data), *(np.concatenate([known[f"cut_{n}"].astype(np.int64), cuts[n].astype(np.int64)]) for n in ("at", "size")))
             cols = finish(block, gone)
             for k in range(0, block.batch.num_rows, 4096):
                 part = block.batch.slice(k, 4096)
@@ -392,15 +423,50 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
 
     spec = struct(_BLOB_SPEC)
     first = materialise(rows.mapInArrow(parse, spec).repartitionById(parts, F.col("part")).mapInArrow(match, spec), "phrases")
-    second = materialise(together(first.filter("kind IN ('block', 'ask')")).mapInArrow(expand, spec), "windows")
-    third = second.filter("kind = 'windows'").repartitionById(parts, F.col("part")).mapInArrow(settle, spec)
-    answers = first.filter("kind IN ('block', 'cut')").unionByName(second.filter("kind = 'cut'")).unionByName(third)
-    return together(answers).mapInArrow(remove, out)
+    second = materialise(together(first.filter("kind IN ('block', 'ask')")).mapInArrow(expand, spec).repartitionById(parts, F.col("part")).mapInArrow(settle, spec), "windows")
+    return together(first.filter("kind = 'cut'").unionByName(second)).mapInArrow(remove, out)
+
+
+def _by_blocks(kind: str, block: np.ndarray, cols: dict[str, np.ndarray]) -> list[tuple]:
+    order = np.argsort(block, kind="stable")
+    edges = np.flatnonzero(np.diff(block[order])) + 1
+    return [(0, int(block[i[0]]), kind, pack(_INTERVAL, take(cols, i))) for i in np.split(order, edges) if len(i)]
+
+
+def _covered(n: int, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of n bytes the intervals cover."""
+    order = np.argsort(at)
+    start, end = at[order], np.maximum.accumulate(at[order] + size[order]) if len(at) else at
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    change = np.zeros(n + 1, np.int8)
+    change[start[new]] = 1
+    if len(start):
+        change[end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]] = -1  # runs neither overlap nor touch
+    return np.cumsum(change[:-1], dtype=np.int8).view(bool)
+
+
+def _hot_triggers(rows: DataFrame, parts: int) -> np.ndarray:
+    """Triggers that would fill a quarter of a partition, as estimated from one document in 64: at most 4 * parts.
+
+    This only decides how phrases are routed; the result is the same whatever it finds.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(0, b.num_rows, 2000):
+                h, n = np.unique(triggers(Block(b.slice(k, 2000)).phrases()), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(n)], ["h", "n"])
+
+    found = rows.filter(F.rand(17) < 1 / 64).mapInArrow(count, struct("h long, n long")).groupBy("h").agg(F.sum("n").alias("n"))
+    stored = materialise(found, "triggers")
+    least = (stored.agg(F.sum("n")).first()[0] or 0) / (4 * parts)
+    return np.array(sorted(r.h for r in stored.filter(F.col("n") >= max(64, least)).select("h").collect()), _U)
 
 
 def _kept(block: Block, gone: np.ndarray) -> list[bytes]:
     kept = block.data[~gone].tobytes()
-    ends = np.concatenate([[0], np.cumsum(~gone)])[block.starts]
+    ends = np.concatenate([[0], np.cumsum(~gone, dtype=np.int32)])[block.starts]
     return [kept[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
 
@@ -414,7 +480,7 @@ def report(docs: DataFrame) -> DataFrame:
         starts = block.starts[:-1]
         starts = starts[starts < block.starts[1:]]
         first[starts] = gone[starts]
-        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[block.starts])
+        count = lambda x: np.diff(np.concatenate([[0], np.cumsum(x, dtype=np.int32)])[block.starts])
         return [np.diff(block.starts), count(gone), count(first), [hashlib.sha256(x).hexdigest() for x in _kept(block, gone)]]
 
     return _with_repeats(docs, ["doc_id"], out, finish)
