@@ -61,10 +61,10 @@ def remove_dir(uri: str) -> None:
         fs.delete_dir(path)
 
 
-def materialise(df: DataFrame, tag: str, uri: str | None = None) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts the lineage and survives the loss of executors."""
-    uri = uri or work_dir(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(uri)
+def materialise(df: DataFrame, tag: str, compact: bool = True) -> DataFrame:
+    """Writes df to the shared folder and reads it again: cuts the lineage and survives the loss of executors. Not compact: for bytes that hardly compress."""
+    uri = work_dir(df.sparkSession, tag)
+    df.write.options(**{"compression": "zstd"} if compact else {"compression": "snappy", "parquet.enable.dictionary": "false"}).parquet(uri)
     return df.sparkSession.read.schema(df.schema).parquet(uri)
 
 

@@ -15,7 +15,7 @@ from itertools import chain
 import numpy as np
 
 #: Stretches kept in a worker's memo; it starts anew when full, which changes no result.
-MEMO = 800_000
+MEMO = 500_000
 #: White space that patterns know besides space and newline.
 _ASCII_GAPS = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
 _OTHER_GAPS = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -64,8 +64,8 @@ class StretchEncoder:
 
     def _learn(self) -> None:
         new = self.memo.new
-        for k in range(0, len(new), 5000):
-            ids, sizes = self.encode_many([w if w[0] == "\n" else " " + w for w in new[k : k + 5000]])
+        for k in range(0, len(new), 500):
+            ids, sizes = self.encode_many([w if w[0] == "\n" else " " + w for w in new[k : k + 500]])
             while self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             while self.count + len(sizes) > len(self.sizes):
