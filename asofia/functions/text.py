@@ -119,7 +119,7 @@ def plain_text(markup: Column) -> Column:
         c = F.replace(c, F.lit(entity), F.lit(char))
     c = F.regexp_replace(c, r"[ \t\x{00A0}\x{3000}]+", " ")
     c = F.regexp_replace(c, r" *\n *", "\n")
-    return F.trim(F.regexp_replace(c, r"\n{3,}", "\n\n"))
+    return F.regexp_replace(F.regexp_replace(c, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
 # Six number formats, each with rules of its own.

@@ -52,7 +52,7 @@ class Filter:
             ok = v >= self.loose if self.least else v <= self.loose
         else:
             t = F.least((v - self.loose) / (self.tight - self.loose), F.lit(1.0))
-            ok = t >= 0
+            ok = v.isNotNull() & (t >= 0)  # least() passes nulls over
         return F.when(hit(ok & (v > 0) if self.positive else ok), t).otherwise(-1.0)
 
 
@@ -114,28 +114,30 @@ def guard_effect(df: DataFrame, flags: list[str]) -> DataFrame:
 def composite_z(df: DataFrame, weights: tuple[tuple[str, float], ...], name: str = "score") -> DataFrame:
     """Weighted z-scores over all rows. Weight below zero: values of zero or less are missing, and missing gets the largest z, the worst; else missing gets 0. No spread: 0.
 
-    The moments are one aggregate of one row, broadcast.
+    The moments are one aggregate over all rows whose single row becomes literals, so nothing is joined.
     """
     value = {m: F.when(F.col(m) > 0, F.col(m)) if w < 0 else F.col(m) for m, w in weights}
-    moments = df.agg(*[f(v).alias(f"_{n}_{m}") for m, v in value.items() for n, f in (("avg", F.avg), ("sd", F.stddev_pop), ("max", F.max))])
-    both = df.crossJoin(F.broadcast(moments))
+    got = df.agg(*[f(v) for v in value.values() for f in (F.avg, F.stddev_pop, F.max)]).first()
     parts = []
-    for m, w in weights:
-        sd = F.col(f"_sd_{m}")
-        z = lambda v: F.when(hit(sd > 0), (v - F.col(f"_avg_{m}")) / sd).otherwise(F.when(v.isNotNull(), 0.0))  # noqa: B023,E731
-        worst = F.coalesce(z(F.col(f"_max_{m}")), F.lit(0.0)) if w < 0 else F.lit(0.0)
+    for k, (m, w) in enumerate(weights):
+        mean, spread, top = got[3 * k : 3 * k + 3]
+        z = (lambda v: (v - F.lit(mean)) / F.lit(spread)) if spread else (lambda v: F.when(v.isNotNull(), 0.0))  # noqa: B023,E731
+        worst = z(F.lit(top)) if w < 0 and spread else F.lit(0.0)
         parts.append(F.coalesce(z(value[m]), worst) * w)
-    return both.withColumn(name, reduce(lambda a, b: a + b, parts)).drop(*moments.columns)
+    return df.withColumn(name, reduce(lambda a, b: a + b, parts))
 
 
 def resolve_target(gate: Gate, max_tokens: int | None = None, tokens_per_row: int = 1) -> int:
     return gate.target if max_tokens is None else min(gate.target, max(1, max_tokens // tokens_per_row))
 
 
-def tightness(df: DataFrame, gate: Gate, target: int) -> tuple[float, int]:
-    """(t, rows that pass at t): 0 if few enough pass at 0, 1 if still too many do at 1, else just above the largest t of the row that must go."""
-    most = F.col("_most")
-    rows = df.select(reduce(F.least, [f.most() for f in gate.filters]).alias("_most") if len(gate.filters) > 1 else gate.filters[0].most().alias("_most"))
+def _least_most(gate: Gate) -> Column:
+    return reduce(F.least, [f.most() for f in gate.filters]) if len(gate.filters) > 1 else gate.filters[0].most()
+
+
+def tightness(rows: DataFrame, gate: Gate, target: int) -> tuple[float, int]:
+    """(t, rows that pass at t) from rows with tau: 0 if few enough pass at 0, 1 if still too many do at 1, else just above the largest t of the row that must go."""
+    most = F.col("tau")
     at0, at1 = rows.agg(F.count_if(most >= 0), F.count_if(most >= 1)).first()
     if gate.mode == "fixed":
         return 1.0, at1
@@ -143,24 +145,26 @@ def tightness(df: DataFrame, gate: Gate, target: int) -> tuple[float, int]:
         return 0.0, at0
     if at1 >= target:
         return 1.0, at1
-    edge = rows.orderBy(most.desc()).limit(target + 1).agg(F.min("_most")).first()[0]  # bounded by the target
-    above = rows.filter(most > edge).agg(F.min("_most"), F.count(F.lit(1))).first()
+    edge = rows.orderBy(most.desc()).limit(target + 1).agg(F.min("tau")).first()[0]  # bounded by the target
+    above = rows.filter(most > edge).agg(F.min("tau"), F.count(F.lit(1))).first()
     return (float(edge) + (float(above[0]) - float(edge)) * 2**-40 if above[1] else 1.0), above[1]
 
 
 def run(df: DataFrame, gate: Gate, incumbents: DataFrame | None = None, max_tokens: int | None = None, tokens_per_row: int = 1) -> tuple[DataFrame, dict[str, object]]:
-    """(survivors with tau, score and rank, manifest). Incumbents are tested at max(0, t - hysteresis), before the ranking and the cap."""
+    """(survivors with tau, score and rank, manifest). Incumbents are tested at max(0, t - hysteresis), before the ranking and the cap.
+
+    Rows that pass at no tightness go first; the others are kept (memory, then disk) for the few passes over them.
+    """
     target = resolve_target(gate, max_tokens, tokens_per_row)
-    t, n = tightness(df, gate, target)
-    tau = reduce(F.least, [f.most() for f in gate.filters]) if len(gate.filters) > 1 else gate.filters[0].most()
-    marked = df.withColumn("tau", tau)
+    marked = df.withColumn("tau", _least_most(gate)).filter("tau >= 0").persist()
+    t, n = tightness(marked, gate, target)
     passes = F.col("tau") >= t
+    rows = marked
     if incumbents is not None and gate.hysteresis:
         held = incumbents.select("ticker").distinct().withColumn("_held", F.lit(True))
-        marked = marked.join(held, "ticker", "left")
+        rows = rows.join(held, "ticker", "left")
         passes = passes | (F.col("_held").isNotNull() & (F.col("tau") >= max(0.0, t - gate.hysteresis)))
-    kept = marked.filter(passes).drop("_held")
-    ranked = composite_z(kept, gate.ranking)
+    ranked = composite_z(rows.filter(passes).drop("_held"), gate.ranking)
     best = ranked.orderBy(F.col("score").desc(), "ticker").limit(gate.cap)
     best = best.withColumn("rank", F.row_number().over(Window.orderBy(F.col("score").desc(), "ticker")))
     return best, {"t": round(t, 6), "passed": n, "target": target, "converged": abs(n - target) <= gate.tolerance, "thresholds": {f.key: round(f.at(t), 6) for f in gate.filters}}
