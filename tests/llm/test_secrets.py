@@ -1,0 +1,76 @@
+import base64
+import hashlib
+import json
+import random
+import re
+
+from asofia.llm import secrets as S
+
+from .helpers import DOCS, document_rows, documents, odd
+
+
+def brute_base(text):
+    low = lambda w: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+    words = "|".join(low(w) for w in ("password", "passwd", "secret", "token")) + "|" + low("api") + "_?" + low("key")
+    found = [("assign", *m.span()) for m in re.finditer(rf"""({words})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text) if len(m[2]) >= 12]
+    found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found, key=lambda s: (s[1], S.KINDS.index(s[0])))
+
+
+def der(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x82]) + n.to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+PKCS1 = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([k + 1]) * 40) for k in range(8)))
+PKCS8 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2a\x86\x48") + der(5, b"")) + der(4, PKCS1))
+SEC1 = der(0x30, der(2, b"\1") + der(4, b"k" * 32))
+FIELD = lambda b: len(b).to_bytes(4, "big") + b
+SSH = b"openssh-key-v1\0" + FIELD(b"none") + FIELD(b"none") + FIELD(b"") + (1).to_bytes(4, "big") + FIELD(b"p" * 40) + FIELD(b"s" * 60)
+part = lambda o: base64.urlsafe_b64encode(json.dumps(o).encode()).decode().rstrip("=")
+JWT = f"{part({'alg': 'HS256', 'typ': 'JWT'})}.{part({'sub': '1'})}.c2lnbmF0dXJl"
+
+
+def test_keys():
+    for k in (PKCS1, PKCS8, SEC1, SSH):
+        assert S.is_private_key(k) and not S.is_private_key(k[:-1]) and not S.is_private_key(k + b"x")
+    assert not S.is_private_key(b"") and not S.is_private_key(b"0" * 80)
+
+
+def test_structures():
+    b64 = base64.b64encode(PKCS8).decode()
+    pem = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(b64[k : k + 64] for k in range(0, len(b64), 64)) + "\n-----END PRIVATE KEY-----"
+    for text, kind in ((f"é {pem} z", "key"), (f"x {b64} y", "key"), (f"x {SEC1.hex()} y", "key"), (f"x {base64.b64encode(SSH).decode()}", "key"), (f"a {JWT}, b", "jwt")):
+        base, every = S.find_spans(text)
+        assert [k for k, *_ in every if k not in ("assign", "access", "hex")] == [kind], text
+        assert base == brute_base(text)
+        s, e = next((s, e) for k, s, e in every if k == kind)
+        assert text[s:e] in text and e - s > 30
+    for text in ("x " + base64.b64encode(b"just some ordinary bytes that are long enough to be one").decode(), "a.b.c", f"{part({'x': 1})}.{part({'y': 1})}.zzzz", "deadbeef" * 20, "-----BEGIN PRIVATE KEY-----\nabc\n-----END PRIVATE KEY-----"):
+        assert S.find_spans(text)[1] == brute_base(text)
+
+
+def test_against_brute_force():
+    rnd = random.Random(1)
+    bits = ["password", "PassWord", "api_key", "APIKEY", "token", "secret", "=", ":", " ", '"', "'", "AKIA", "ABCDEF12", "0123456789abcdef", "zz", "ſecret", "toKen", "\n", ".", "-", "é", "f" * 9, "A" * 14, "longvalue_1234"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(4000)] + [t or "" for _, t, *_ in document_rows()]
+    for t in texts:
+        assert S.find_spans(t)[0] == brute_base(t), repr(t)
+
+
+def test_long_runs_are_linear():
+    for t in ("a" * 300_000, "A" * 300_000, "AKIA" * 60_000, "password" * 40_000, "token = " + " " * 200_000, "x." * 100_000, "-----BEGIN PRIVATE KEY-----" * 3000):
+        S.find_spans(t)
+
+
+def test_rows(spark):
+    docs = odd(documents(spark))
+    got = S.scan(docs).collect()
+    want = []
+    for r in docs.collect():
+        b = brute_base(r.text or "")
+        want.append((r.doc_id, *(sum(s[0] == k for s in b) for k in S.KINDS[:3]), hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in b).encode()).hexdigest()))
+    assert sorted([tuple(r)[:5] for r in got], key=str) == sorted(want, key=str)
+    assert S.scan(spark.createDataFrame([], DOCS)).collect() == []
