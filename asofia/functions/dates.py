@@ -31,11 +31,11 @@ def expiry(occurred: Column, days: Column, stated: Column) -> Column:
     return F.coalesce(stated, F.date_add(occurred, days.cast("int")))
 
 
-def chunks(start: date, end: date, days: int = 14) -> list[tuple[date, date]]:
-    """start to end, both included, in stretches of so many days."""
+def chunks(first: date, last: date, size: int = 14) -> list:
+    """first to last, both included, in stretches of so many days."""
     out = []
-    while start <= end:
-        last = min(end, start + timedelta(days=days - 1))
-        out.append((start, last))
-        start = last + timedelta(days=1)
+    while first <= last:
+        stop = min(last, first + timedelta(days=size - 1))
+        out.append((first, stop))
+        first = stop + timedelta(days=1)
     return out

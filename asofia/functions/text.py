@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANK = r"[\s　]+"
-AMENDMENTS = ("기재정정", "첨부정정", "첨부추가", "연장결정", "정정명령부과", "변경등록", "취소", "기타정정")
+AMENDMENTS = tuple("기재정정 기타정정 변경등록 연장결정 정정명령부과 첨부정정 첨부추가 취소".split())
 _AMENDED = rf"^\[({'|'.join(AMENDMENTS)})\]"
 
 
@@ -22,7 +22,7 @@ def citation_key(c: Column) -> Column:
 
 
 def segment_key(c: Column) -> Column:
-    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s　·\-&()]", ""))
+    return F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[()&·\-\s　]", ""))
 
 
 def ticker6(c: Column) -> Column:
@@ -45,17 +45,20 @@ def first_match(c: Column, rules: list[tuple[str, str]], default: str | None = N
 def share_class(label: Column) -> Column:
     """'common', 'other' or null (a total, a remark, undecidable). Preferred marks come before common ones, both before voting rights."""
     s = squeeze(F.coalesce(label, F.lit("")))
-    skipped = s.isin("", "합계", "비고", "기타", "기타주", "기타주식", "유통주식", "주식수", "자본주", "종류의 주식") | s.contains("합계")
+    skipped = s.isin("", "종류의 주식", *"기타 기타주 기타주식 비고 유통주식 자본주 주식수".split()) | s.contains("합계")
     voting = F.when(has_any(s, ("없", "무의결권")), "other").otherwise("common")
-    return F.when(skipped, None).when(has_any(s, ("우선", "종류주", "전환주", "상환주", "신형")), "other").when(has_any(s, ("보통", "보톧", "보퉁")), "common").when(s.contains("의결권"), voting)
+    return F.when(skipped, None).when(has_any(s, "상환주 신형 우선 전환주 종류주".split()), "other").when(has_any(s, "보톧 보통 보퉁".split()), "common").when(s.contains("의결권"), voting)
 
 
 #: What happened to the holders, in order of precedence.
 OUTCOMES: list[tuple[str, tuple[str, ...]]] = [
-    ("merged", ("흡수합병", "합병으로", "완전자회사", "완전 자회사", "지주회사", "포괄적 주식교환", "주식의 포괄적")),
-    ("voluntary", ("상장폐지 신청", "신청에 의한 상장폐지", "자진")),
-    ("dissolved", ("스팩", "기업인수목적", "상장예비심사", "존속기간")),
-    ("failed", ("감사의견", "의견거절", "계속성", "경영의 투명성", "상장폐지기준", "해산", "파산", "부도", "자본전액잠식", "자본잠식", "매출액 미달", "시가총액 미달", "주식분산", "분산요건", "회생절차", "사업보고서", "감사범위 제한", "지정자문인")),
+    (outcome, tuple(marks.split("; ")))
+    for outcome, marks in (
+        ("merged", "완전 자회사; 완전자회사; 주식의 포괄적; 지주회사; 포괄적 주식교환; 합병으로; 흡수합병"),
+        ("voluntary", "상장폐지 신청; 신청에 의한 상장폐지; 자진"),
+        ("dissolved", "기업인수목적; 상장예비심사; 스팩; 존속기간"),
+        ("failed", "감사범위 제한; 감사의견; 경영의 투명성; 계속성; 매출액 미달; 부도; 분산요건; 사업보고서; 상장폐지기준; 시가총액 미달; 의견거절; 자본잠식; 자본전액잠식; 주식분산; 지정자문인; 파산; 해산; 회생절차"),
+    )
 ]
 SPAC = "스팩"
 
@@ -109,7 +112,7 @@ _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&
 def plain_text(markup: Column) -> Column:
     """Markup to text: no style or script, cells joined by ' | ', rows and blocks on lines of their own, five entities."""
     c = F.coalesce(markup, F.lit(""))
-    c = F.regexp_replace(c, r"(?is)<(style|script)\b[^>]*>.*?</\1\s*>", " ")
+    c = F.regexp_replace(c, r"(?si)<(script|style)(?:\s[^>]*)?>.*?</\1\s*>", " ")
     c = F.regexp_replace(c, r"(?s)<!--.*?-->", " ")
     attributes = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
     c = F.regexp_replace(c, rf"(?i)</t[dhue]\s*>\s*<t[dhue]\b{attributes}>", " | ")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
-from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from asofia.functions.dates import expiry
 from asofia.functions.nulls import hit
 
-CHECKS = ("grounded", "not_amended", "not_expired", "material", "no_reversal", "numbers_agree")
+CHECKS = tuple("grounded material no_reversal not_amended not_expired numbers_agree".split())
 
 
 @dataclass(frozen=True)
@@ -29,6 +29,9 @@ class Spec:
     own_metric: str | None = None
 
 
+_GAP = r"[|\s]*"  # cells are joined by bars
+
+
 def _major(*names: str) -> tuple[str, ...]:
     return tuple(rf"주요사항보고서\({n}결정\)" for n in names)
 
@@ -73,13 +76,13 @@ def contract(text: Column) -> Column:
     """ratio to revenue, end date and total of a supply contract's plain text; no ratio, no contract."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
     number = lambda p: F.replace(F.regexp_extract(t, p, 1), F.lit(","), F.lit("")).try_cast("double")
-    ratio = number(r"매출액\s*대비\s*\(?%?\)?[\s|]*([\d,]+\.?\d*)")
-    day = [F.regexp_extract(t, r"종료일[\s|]*(\d{4})[-.\s]*(\d{1,2})[-.\s]*(\d{1,2})", k) for k in (1, 2, 3)]
+    ratio = number(rf"매출액\s*대비\s*[(%)]*{_GAP}([0-9][0-9,.]*)")
+    day = [F.regexp_extract(t, rf"종료일{_GAP}([0-9]{{4}})\D{{1,3}}([0-9]{{1,2}})\D{{1,3}}([0-9]{{1,2}})", k) for k in (1, 2, 3)]
     end = F.try_to_date(F.concat_ws("-", day[0], F.lpad(day[1], 2, "0"), F.lpad(day[2], 2, "0")), "yyyy-MM-dd")
-    return F.when(ratio.isNotNull(), F.struct((ratio / 100).alias("ratio"), end.alias("expires_at"), number(r"계약금액\s*총액\s*\(?원?\)?[\s|]*([\d,]+)").alias("total")))
+    return F.when(ratio.isNotNull(), F.struct((ratio / 100).alias("ratio"), end.alias("expires_at"), number(rf"계약금액\s*총액\s*[(원)]*{_GAP}([0-9][0-9,]*)").alias("total")))
 
 
-def build(found: DataFrame, metrics: DataFrame, amended: DataFrame, as_of: date, specs: tuple[Spec, ...] = CATALOG) -> DataFrame:
+def build(found: DataFrame, metrics: DataFrame, amended: DataFrame, as_of: datetime.date, specs: tuple[Spec, ...] = CATALOG) -> DataFrame:
     """found: classified events with raw and stated_expiry (either may be null). Adds magnitude, expires_at, the checks and confidence, the number that hold."""
     c = F.col
     by = {s.id: s for s in specs}
@@ -104,7 +107,7 @@ def build(found: DataFrame, metrics: DataFrame, amended: DataFrame, as_of: date,
     least = per_kind(lambda s: F.lit(s.least).cast("double"))
     agree = F.when(c("_m").isNull(), False).when(c("kind") == "C3", F.coalesce(metric("op_growth_fy") > 0, F.lit(True))).when(c("kind") == "C1", F.coalesce(metric("fcf") > 0, F.lit(True))).otherwise(True)
     rows = rows.withColumns({
-        "grounded": c("rcept_no").isNotNull(), "not_amended": c("_amended").isNull(), "not_expired": c("expires_at").isNull() | (c("expires_at") >= F.lit(as_of)), "material": least.isNull() | hit(c("magnitude") >= least),
+        "grounded": c("rcept_no").isNotNull(), "material": least.isNull() | hit(c("magnitude") >= least), "not_amended": c("_amended").isNull(), "not_expired": c("expires_at").isNull() | (c("expires_at") >= F.lit(as_of)),
         "no_reversal": c("_opposite").isNull() | (c("_opposite") <= c("rcept_dt")), "numbers_agree": agree,
     })
     return rows.withColumn("confidence", reduce(lambda a, b: a + b, [c(k).cast("int") for k in CHECKS])).drop("_m", "_amended", "_opposite")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from asofia import schemas
 from asofia.functions.text import squeeze
 
-# ---- sections -------------------------------------------------------------------------------------------------------
+# sections
 _SECTION = re.compile(r"^\s*(?:II|Ⅱ|2)\s*\.\s*사업의\s*내용", re.M)
 _NEXT = re.compile(r"^\s*(?:III|Ⅲ|3)\s*\.\s*재무", re.M)
 _CROSS = re.compile(r"참조|참고\s*하|기재되어|참고바랍")
@@ -21,16 +21,16 @@ _PRIORITY = (("매출", 0), ("사업의 개요", 1), ("주요 제품", 2), ("수
 LEAST_SLICE = 2000
 
 
-def pick_section(text: str) -> tuple[str | None, int, int]:
+def pick_section(filing: str) -> tuple:
     """(body, where it starts, cross-references passed over): of real starts the one with most subheads, then the longest."""
     best, skipped = None, 0
-    for m in _SECTION.finditer(text):
-        line = text[m.end() : m.end() + 80].split("\n")[0]
+    for m in _SECTION.finditer(filing):
+        line = filing[m.end() : m.end() + 80].split("\n")[0]
         if _CROSS.search(line):
             skipped += 1
             continue
-        end = _NEXT.search(text, m.end())
-        body = text[m.start() : end.start() if end else len(text)]
+        end = _NEXT.search(filing, m.end())
+        body = filing[m.start() : end.start() if end else len(filing)]
         rank = (len(_HEAD.findall(body)) >= 2, len(body))
         if best is None or rank > best[0]:
             best = (rank, body, m.start())
@@ -72,11 +72,11 @@ def section_excerpt(text: pa.Array) -> pa.Array:
     return pa.array([dict(zip(("text", "dropped"), excerpt(t or ""))) for t in text.to_pylist()], pa.struct([("text", pa.string()), ("dropped", pa.list_(pa.string()))]))
 
 
-# ---- segments -------------------------------------------------------------------------------------------------------
+# segments
 _STRONG, _AGAINST = re.compile(r"매출\s*실적|부문별\s*매출|사업부문별"), re.compile(r"가격|단가|주식|자산|생산능력|생산실적|가동률|거래처|인원|설비")
 _TOTAL, _SUB = re.compile(r"^(합\s*계|총\s*계|총합계)$"), re.compile(r"^(소\s*계|계|합\s*계)$")
-_REGION = {"내수", "수출", "국내", "해외"}
-_NUMBER = re.compile(r"^[(△▲-]?[\d,]+(?:\.\d+)?\)?%?$")
+_REGION = set("국내 내수 수출 해외".split())
+_NUMBER = re.compile(r"^[(△▲-]?[0-9][0-9,]*(?:\.[0-9]+)?\)?%?$")
 _PROSE = re.compile(r"([가-힣A-Za-z][가-힣A-Za-z0-9·&() ]{1,30}?)\s*(?:부문|사업)?(?:이|가|은|는)?\s*(?:전체\s*)?매출(?:액)?의?\s*(?:약\s*)?(\d{1,3}(?:\.\d+)?)\s*%")
 _SCALES = (1, 1e3, 1e6, 1e8)
 

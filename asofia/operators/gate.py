@@ -36,8 +36,9 @@ class Filter:
         if (self.tight < self.loose) if self.least else (self.tight > self.loose):
             raise GuardError(f"{self.key}: {self.loose} -> {self.tight} widens")
 
-    def at(self, t: float) -> float:
-        return self.loose + (self.tight - self.loose) * t
+    def at(self, share: float) -> float:
+        width = self.tight - self.loose
+        return self.loose + share * width
 
     def passes(self, t: float) -> Column:
         v = F.col(self.metric)
@@ -67,7 +68,7 @@ class Gate:
     hysteresis: float = 0.0
 
 
-GUARDS = ("capital_impairment", "negative_earnings", "stale_financials", "ttm_incomplete", "is_spac", "is_reit", "is_preferred", "admin_issue", "audit_opinion_bad_admin", "market_cap_implausible", "pbr_implausible", "price_dividend_inconsistent", "market_cap_inconsistent")
+GUARDS = tuple("admin_issue audit_opinion_bad_admin capital_impairment is_preferred is_reit is_spac market_cap_implausible market_cap_inconsistent negative_earnings pbr_implausible price_dividend_inconsistent stale_financials ttm_incomplete".split())
 _ADTV = Filter("adtv_20d", 1e8, 5e8)
 SCREENS: dict[str, Gate] = {
     "deep_value": Gate((Filter("per", 15, 6, False, True), Filter("pbr", 1.2, 0.55, False, True), Filter("fcf_yield", 0, 0.08), _ADTV), (("per", -0.4), ("pbr", -0.3), ("fcf_yield", 0.3)), target=60, cap=100, hysteresis=0.08),

@@ -12,7 +12,7 @@ from asofia.operators.periods import FLOWS
 
 TAX = 0.22
 FIN = ("BANK", "INSURANCE", "SECURITIES", "OTHER_FIN")
-INSTANTS = ("ASSETS", "EQUITY_TOTAL", "EQUITY_CONTROLLING", "CASH_AND_EQUIV", "BORROWINGS_SHORT", "BORROWINGS_LONG", "ASSETS_CURRENT", "LIABILITIES_CURRENT")
+INSTANTS = tuple("ASSETS ASSETS_CURRENT BORROWINGS_LONG BORROWINGS_SHORT CASH_AND_EQUIV EQUITY_CONTROLLING EQUITY_TOTAL LIABILITIES_CURRENT".split())
 ANNUALS = ("DPS", "DIV_YIELD_REPORTED", "PAYOUT_RATIO", "DIV_TOTAL_REPORTED", "OWNER_STAKE_PCT")
 STALE_DAYS = 200
 CAP_LIMIT = 2e15

@@ -10,7 +10,7 @@ from asofia.functions.dates import compact_date, fiscal_end
 from asofia.functions.text import statement_amount
 from asofia.operators.pit import fact_id, fixed_basis
 
-FLOWS = {"REVENUE", "OPERATING_INCOME", "NET_INCOME", "NET_INCOME_CONTROLLING", "CFO", "CAPEX_PPE", "CAPEX_INTANGIBLE"}
+FLOWS = set("CAPEX_INTANGIBLE CAPEX_PPE CFO NET_INCOME NET_INCOME_CONTROLLING OPERATING_INCOME REVENUE".split())
 SUMMED = ("CAPEX_PPE", "CAPEX_INTANGIBLE")
 _ORDER = ("fiscal_end_date", "reported_at", "fact_id")
 
@@ -101,8 +101,8 @@ for _element, _ids in {
     "CAPEX_INTANGIBLE": "ifrs-full_PurchaseOfIntangibleAssetsOtherThanGoodwill ifrs-full_PurchaseOfIntangibleAssetsClassifiedAsInvestingActivities dart_PurchaseOfOtherIntangibleAssets",
 }.items():
     ACCOUNTS |= {a: (_element, k) for k, a in enumerate(_ids.split())}
-KINDS = {"BS": "INSTANT", "SCE": "INSTANT", "IS": "CUM", "CIS": "CUM", "CF": "CUM"}
-MONTHS = {"11013": 3, "11012": 6, "11014": 9, "11011": 12}
+KINDS = dict.fromkeys(("CF", "CIS", "IS"), "CUM") | dict.fromkeys(("BS", "SCE"), "INSTANT")
+MONTHS = dict(zip((f"1101{k}" for k in (1, 2, 3, 4)), (12, 6, 3, 9)))
 
 
 def _lookup(c: Column, values: dict) -> Column:

@@ -39,7 +39,7 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-# ---- facts from orders ----------------------------------------------------------------------------------------------
+# facts from orders
 def facts(spark: SparkSession, d: str) -> DataFrame:
     day = F.to_date("o_orderdate")
     return t(spark, d, "orders").select(
@@ -50,7 +50,7 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 
 FACTS = """facts AS (SELECT CAST(o_custkey AS VARCHAR) AS ticker, o_orderpriority AS element, last_day(make_date(year(o_orderdate), quarter(o_orderdate) * 3, 1)) AS fiscal_end_date, 'INSTANT' AS period_type, 'CFS' AS statement_basis,
   CAST(o_orderdate AS DATE) AS reported_at, CAST(o_orderdate AS DATE) + 1 AS available_at, o_totalprice AS value, lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS fact_id FROM orders)"""
-_SEEN = f"seen AS (SELECT *, row_number() OVER (PARTITION BY ticker, element, fiscal_end_date ORDER BY reported_at DESC, fact_id DESC) AS rn FROM facts WHERE available_at <= {DAY})"
+_SEEN = f"seen AS (SELECT facts.*, row_number() OVER (PARTITION BY element, fiscal_end_date, ticker ORDER BY reported_at DESC, fact_id DESC) AS rn FROM facts WHERE available_at <= {DAY})"
 
 
 @query(f"WITH {FACTS}, {_SEEN} SELECT ticker, element, fiscal_end_date, reported_at, value, fact_id FROM seen WHERE rn = 1")
@@ -64,8 +64,8 @@ def pit_latest_price(spark, d):
     return pit.prices_asof(p, F.lit("2024-01-20 00:00:00").cast("timestamp"), "ts").select("ticker", "close", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
-@query(f"""WITH {FACTS} SELECT ticker, element, fiscal_end_date, reported_at, value, CAST(revision AS INTEGER) AS revision FROM (SELECT *, row_number() OVER (PARTITION BY ticker, element, fiscal_end_date ORDER BY reported_at, fact_id) AS revision,
-  count(*) OVER (PARTITION BY ticker, element, fiscal_end_date) AS n FROM facts) WHERE n > 1""")
+@query(f"""WITH {FACTS} SELECT ticker, element, fiscal_end_date, reported_at, value, CAST(revision AS INTEGER) AS revision FROM (SELECT facts.*, row_number() OVER (PARTITION BY element, fiscal_end_date, ticker ORDER BY reported_at, fact_id) AS revision,
+  count(*) OVER (PARTITION BY element, fiscal_end_date, ticker) AS n FROM facts) WHERE n > 1""")
 def pit_revision_history(spark, d):
     return pit.revision_history(facts(spark, d)).filter("revisions > 1").select("ticker", "element", "fiscal_end_date", "reported_at", "value", "revision")
 
@@ -136,7 +136,7 @@ def basis_preference(spark, d):
     return pit.fixed_basis(rows, ["ticker", "element"], "basis", "A").groupBy("ticker", "element").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
-@query(f"WITH {FACTS}, {_SEEN} SELECT ticker, fiscal_end_date, value FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY fiscal_end_date DESC, reported_at DESC, fact_id DESC) AS k FROM seen WHERE rn = 1 AND element = '2-HIGH') WHERE k = 1")
+@query(f"WITH {FACTS}, {_SEEN} SELECT ticker, fiscal_end_date, value FROM (SELECT seen.*, row_number() OVER (PARTITION BY ticker ORDER BY (fiscal_end_date, reported_at, fact_id) DESC) AS k FROM seen WHERE rn = 1 AND element = '2-HIGH') WHERE k = 1")
 def latest_fact_asof(spark, d):
     return pit.latest_fact_asof(facts(spark, d), AS_OF, "2-HIGH").select("ticker", "fiscal_end_date", "value")
 
@@ -148,7 +148,7 @@ def asof_join_rows(spark, d):
     return pit.asof_join(o.select("o_orderkey", "o_custkey", "o_orderdate"), u, "o_custkey", "o_orderdate", "o_orderdate", ["urgent_orderkey", "urgent_price"], "urgent_orderkey").select("o_orderkey", "urgent_orderkey", "urgent_price")
 
 
-# ---- periods --------------------------------------------------------------------------------------------------------
+# periods
 def cumulative(spark, d) -> DataFrame:
     """Running totals of a nation's orders within each year, by quarter."""
     o = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -189,7 +189,7 @@ def latest_instant(spark, d):
     return periods.latest_instant(pit.facts_asof(facts(spark, d), AS_OF), "3-MEDIUM")
 
 
-# ---- companies from suppliers ---------------------------------------------------------------------------------------
+# companies from suppliers
 def companies(spark, d) -> DataFrame:
     dec = lambda c, k: F.col(c).cast(f"decimal({k},2)")
     s = t(spark, d, "lineitem").groupBy("l_suppkey").agg(
@@ -255,7 +255,7 @@ def null_rates(spark, d):
     return metrics.null_rates(wide(spark, d), list(RATIOS)).select("name", F.round("rate", 6).alias("rate"))
 
 
-_HARD = ["capital_impairment", "negative_earnings", "stale_financials", "ttm_incomplete", "pbr_implausible", "admin_issue"]
+_HARD = "admin_issue capital_impairment negative_earnings pbr_implausible stale_financials ttm_incomplete".split()
 _MIN = 5e6
 
 
@@ -350,7 +350,7 @@ def basket_drift(spark, d):
     return gate.drift(o.filter("y = 1996"), o.filter("y = 1997"))
 
 
-# ---- prices ---------------------------------------------------------------------------------------------------------
+# prices
 @query("SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 8) AS adtv_20d FROM events")
 def adtv20(spark, d):
     return t(spark, d, "events").select("event_id", F.round(prices.trailing_mean(F.col("value"), "user_id", ["ts", "event_id"]), 8).alias("adtv_20d"))
@@ -371,7 +371,7 @@ def preferred_rollup(spark, d):
     return r.select("date", "ticker", *[F.col(c).cast("double").alias(c) for c in ("cap", "preferred_cap", "total_cap")])
 
 
-# ---- labels and classifiers -----------------------------------------------------------------------------------------
+# labels and classifiers
 _RULES = [("BRASS|COPPER|STEEL|TIN|NICKEL", "METAL"), ("^PROMO", "PROMO"), ("POLISHED|BRUSHED", "FINISHED"), ("STANDARD|SMALL|LARGE", "PLAIN")]
 
 
@@ -433,7 +433,7 @@ def catalyst_topk(spark, d):
     return catalysts.top_per_kind(catalysts.live(catalysts.keep(built(spark, d), _SPECS))).select("kind", "rank", "rcept_no", "confidence", "more")
 
 
-# ---- themes and evidence --------------------------------------------------------------------------------------------
+# themes and evidence
 _THEMES = [themes.Theme("english", ("en",), 0.2, ("the ", " of ", " with ")), themes.Theme("german", ("de",), 0.2, (" der ", " nicht ", "lich ")), themes.Theme("french", "NOT [en, de, es]", None, (" de ", " que ", " pour ")), themes.Theme("spanish", ("es",), 0.3, (" los ", "ción", " de ")), themes.Theme("junk", ("xx",), None, ("###", "***", "%%%", "!!"))]
 _UNIVERSE = {"en", "de", "fr", "es", "xx"}
 _ALLOWED = {"english": ("en",), "german": ("de",), "french": ("fr", "xx"), "spanish": ("es",), "junk": ("xx",)}
@@ -509,7 +509,7 @@ def golden_scores(spark, d):
     return verify.golden_scores(gold, t(spark, d, "documents").filter(F.col("text").rlike("[#*%]{3}|!!")).select(F.col("doc_id").alias("ticker"), F.lit("bad").alias("theme")))
 
 
-# ---- values and roll-ups --------------------------------------------------------------------------------------------
+# values and roll-ups
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def json_props(spark, d):
     return t(spark, d, "events").select("event_id", F.from_json("props", "k int").getField("k").alias("k"))

@@ -73,7 +73,7 @@ def main_document(name: str, content: bytes) -> str:
 
 
 def decode(raw: bytes) -> str:
-    for codec in ("utf-8", "euc-kr", "cp949"):
+    for codec in "utf-8 euc-kr cp949".split():
         try:
             return raw.decode(codec)
         except UnicodeDecodeError:
@@ -177,8 +177,8 @@ def write_json(path: str, value: object) -> None:
 
 
 def log_line(path: str, **fields: object) -> None:
-    with open(path, "a", encoding="utf-8") as f:
-        f.write(json.dumps(fields, ensure_ascii=False, default=str) + "\n")
+    with open(path, mode="a", encoding="utf-8") as log:
+        print(json.dumps(fields, default=str, ensure_ascii=False), file=log)
 
 
 def save_basket(path: str, tickers: list[str], rebalanced_at: str) -> None:
