@@ -9,7 +9,8 @@ precision on the original vectors; the best k over all shards stay, ties to the
 
 The index is approximate; recall against brute force is measured in tests (0.9 at least). Every row is indexed. A
 vector that is null, empty, zero, holds a null or non-finite component, or has another length than most takes no part,
-nor does a null vec_id. Rows that repeat a vec_id are candidates each, for each other too. With fewer candidates than k
+nor does a null vec_id. Equal vectors of a shard are one point of its graph with a list of rows, so copies, however
+many, don't crowd out edges; of a point's rows the k + 1 of the smallest vec_id can be wanted. Rows that repeat a vec_id are candidates each, for each other too. With fewer candidates than k
 all are returned. An empty table gives no rows; extra columns are ignored.
 """
 
@@ -200,10 +201,12 @@ def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int =
         def close() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held.clear()
-            v = _matrix(t.column("v"))
+            v, point = np.unique(_matrix(t.column("v")), axis=0, return_inverse=True)
+            vec_id, row, point = t.column("vec_id").to_numpy(), t.column("row").to_numpy(), point.ravel()
+            order = np.lexsort((row, vec_id, point))
             g = build(v)
             sink = io.BytesIO()
-            np.savez(sink, vectors=v, points=g.points, edges=g.edges, entry=np.array(g.entry), vec_id=t.column("vec_id").to_numpy(), row=t.column("row").to_numpy())
+            np.savez(sink, vectors=v, points=g.points, edges=g.edges, entry=np.array(g.entry), vec_id=vec_id[order], row=row[order], first=np.searchsorted(point[order], np.arange(len(v) + 1)))
             write_file(f"{folder}/{now}.npz", [sink.getvalue()])
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32())], ["shard"])
 
@@ -238,15 +241,20 @@ def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int =
                 s = int(shard[i])
                 if s not in loaded:
                     z = np.load(io.BytesIO(read_file(f"{folder}/{s}.npz")))
-                    loaded = {s: (Graph(z["points"], z["edges"], int(z["entry"])), z["vectors"], z["vec_id"], z["row"])}
-                g, vectors, vec_id, row = loaded[s]
+                    loaded = {s: (Graph(z["points"], z["edges"], int(z["entry"])), z["vectors"], z["vec_id"], z["row"], z["first"])}
+                g, vectors, vec_id, row, first = loaded[s]
                 for a in range(i, j, 256):
                     part = b.slice(a, min(256, j - a))
                     q, own, ids = _matrix(part.column("v")), part.column("row").to_numpy(), part.column("vec_id").to_numpy()
-                    found, score = nearest(g, vectors, q, min(width, len(vec_id)), beam)
-                    ok = (found >= 0) & (row[np.maximum(found, 0)] != own[:, None])
-                    r, c = np.nonzero(ok)
-                    yield pa.RecordBatch.from_arrays([pa.array(own[r]), pa.array(ids[r]), pa.array(vec_id[found[r, c]]), pa.array(score[r, c]), pa.array(row[found[r, c]])], ["own", "query_id", "vec_id", "score", "row"])
+                    found, score = nearest(g, vectors, q, min(width, len(vectors)), beam)
+                    r, c = np.nonzero(found >= 0)
+                    point = found[r, c]
+                    n = np.minimum(first[point + 1] - first[point], k + 1)
+                    r, value = np.repeat(r, n), np.repeat(score[r, c], n)
+                    m = np.repeat(first[point] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    ok = row[m] != own[r]
+                    r, m, value = r[ok], m[ok], value[ok]
+                    yield pa.RecordBatch.from_arrays([pa.array(own[r]), pa.array(ids[r]), pa.array(vec_id[m]), pa.array(value), pa.array(row[m])], ["own", "query_id", "vec_id", "score", "row"])
 
     hits = asked.select("shard", "block", "row", "vec_id", "v").mapInArrow(ask, struct("own long, query_id long, vec_id long, score double, row long"))
     best = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row")
