@@ -17,6 +17,7 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from asofia.llm.common import append_columns, table
@@ -139,8 +140,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def rank_encoder(path: str, pattern: str) -> tuple[RankEncoder, StretchEncoder]:
     r = RankEncoder(read_ranks(path), pattern)
 
-    def many(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [r.encode(w) for w in words]
+    def many(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        ids = [r.encode(w) for w in words.to_pylist()]
         return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
 
     return r, StretchEncoder(r.encode, many)

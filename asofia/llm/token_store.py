@@ -118,6 +118,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
         ids: list[int | None] = []
         parts: list[bytes] = []
         made: list[tuple[str, int, int]] = []
+        size = 0
 
         def flush() -> None:
             uri = f"{folder}/{task:08d}-{len(made):06d}.tok"
@@ -126,14 +127,13 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
             ids.clear(), parts.clear()
 
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for k, d in enumerate(b.column(0).to_pylist()):
-                if k % 512 == 0:
-                    coded = encoder.many(texts[k : k + 512])
-                    if sum(map(len, parts)) > 4 * file_ids:
-                        flush()
+            for d, coded in zip(b.column(0).to_pylist(), encoder.stream(b.column(1))):
+                if size > file_ids:
+                    flush()
+                    size = 0
                 ids.append(d)
-                parts.append(coded[k % 512] + end)
+                parts.append(coded + end)
+                size += len(coded) // 4 + 1
         if ids:
             flush()
         yield pa.RecordBatch.from_arrays([pa.array([m[c] for m in made], t) for c, t in enumerate((pa.string(), pa.int64(), pa.int64()))], ["file", "n_docs", "n_ids"])

@@ -8,93 +8,100 @@ can be cut there and each stretch encoded once; any other text is encoded in one
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Stretches kept in a worker's memo; it starts anew when full, which changes no result.
-MEMO = 500_000
-#: White space that patterns know besides space and newline.
-_ASCII_GAPS = tuple("\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
-_OTHER_GAPS = tuple("\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+MEMO = 1_000_000
+#: Bytes of text cut at a time; words that repeat among them are looked up once.
+TOGETHER = 8_000_000
+#: A gap of more than one space or newline, one at an end, other white space, or nothing at all.
+_UNSAFE = "^$|^[ \n]|[ \n]$|[ \n][ \n]|[\\x{9}\\x{b}-\\x{d}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
-def stretches(text: str) -> list[str] | None:
-    """text cut before each space and newline, as if a newline came first; what follows a space comes without it. None if any gap is longer or of another kind."""
-    for c in _ASCII_GAPS:
-        if c in text:
-            return None
-    if not text.isascii():
-        for c in _OTHER_GAPS:
-            if c in text:
-                return None
-    cut = ("\n" + text).replace("\n", " \n").split(" ")
-    return None if "" in cut[1:] or "\n" in cut else cut[1:]
-
-
-class _Memo(dict):
-    """Stretch -> number; new ones get the next number and are listed until they are encoded."""
-
-    def __init__(self) -> None:
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self.new.append(word)
-        n = self[word] = len(self)
-        return n
+def stretches(texts: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
+    """Which texts can be cut, and those texts, as if a newline came first, cut before each space and newline; what follows a space comes without it."""
+    safe = pc.invert(pc.match_substring_regex(texts, f"(?-m){_UNSAFE}"))
+    cut = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts.filter(safe), "\n", " \n"), ""), " ")
+    return safe.to_numpy(zero_copy_only=False), cut
 
 
 class StretchEncoder:
     """text -> ids as little-endian unsigned 32-bit integers.
 
-    encode does so for any text by itself; encode_many takes a list of stretches that start with a space or newline and
-    returns all their ids and how many each has. A newline is one id.
+    encode does so for any text by itself; encode_many takes stretches that start with a space or newline and returns
+    all their ids and how many each has. A newline is one id. The memo is a column of stretches with their ids beside
+    it, so lookups run in Arrow and no word becomes an object.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray]]):
         self.encode, self.encode_many = encode, encode_many
         self._clear()
 
     def _clear(self) -> None:
-        self.memo = _Memo()
-        self.flat, self.starts, self.sizes = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used, self.count = 0, 0
-
-    def _learn(self) -> None:
-        new = self.memo.new
-        for k in range(0, len(new), 500):
-            ids, sizes = self.encode_many([w if w[0] == "\n" else " " + w for w in new[k : k + 500]])
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while self.count + len(sizes) > len(self.sizes):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            self.flat[self.used : self.used + len(ids)] = ids
-            at = slice(self.count, self.count + len(sizes))
-            self.sizes[at], self.starts[at] = sizes, self.used + np.cumsum(sizes) - sizes
-            self.used, self.count = self.used + len(ids), self.count + len(sizes)
-        new.clear()
-
-    def many(self, texts: Sequence[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), 256):
-            if len(self.memo) > MEMO:
-                self._clear()
-            cut = [stretches(t) if t else None for t in texts[k : k + 256]]
-            n = np.array([len(c or ()) for c in cut], np.int64)
-            word = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(filter(None, cut))), np.int64, int(n.sum()))
-            if self.memo.new:
-                self._learn()
-            size, start = self.sizes[word], self.starts[word]
-            before = np.concatenate([[0], np.cumsum(size)])
-            ids = self.flat[np.repeat(start - before[:-1], size) + np.arange(before[-1])].tobytes()
-            ends = before[np.cumsum(n)]
-            at = 0
-            for t, c, end in zip(texts[k : k + 256], cut, (ends * 4).tolist()):
-                out.append(self.encode(t) if c is None else ids[at + 4 : end])  # without the newline put first
+        self.words = pa.array([], pa.string())
+        self.flat, self.starts, self.sizes, self.used = np.zeros(1 << 16, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+
+    def _learn(self, new: pa.StringArray) -> None:
+        lead = pc.if_else(pc.starts_with(new, "\n"), "", " ")
+        ids, sizes = self.encode_many(pc.binary_join_element_wise(lead, new, ""))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
+        self.words = pa.concat_arrays([self.words, new])
+        self.used += len(ids)
+
+    def many(self, texts: Sequence[str] | pa.Array) -> list[bytes]:
+        return list(self.stream(texts))
+
+    def stream(self, texts: Sequence[str] | pa.Array) -> Iterator[bytes]:
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        size = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64) if len(column) else []
+        at = 0
+        while at < len(column):
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + TOGETHER, "right")))
+            yield from self._some(column.slice(at, end - at))
+            at = end
+
+    def _some(self, texts: pa.Array) -> Iterator[bytes]:
+        if len(self.words) > MEMO:
+            self._clear()
+        safe, cut = stretches(texts)
+        words = cut.flatten().dictionary_encode()
+        known = pc.index_in(words.dictionary, value_set=self.words)
+        lack = pc.is_null(known)
+        number = known.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if known.null_count:
+            number[lack.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(known.null_count)
+            self._learn(words.dictionary.filter(lack))
+        number = number[words.indices.to_numpy()]
+        size = self.sizes[number]
+        before = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        ids = self.flat[np.repeat(self.starts[number] - before[:-1], size) + np.arange(before[-1])].tobytes()
+        ends = iter((before[np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)] * 4).tolist())
+        at = 0
+        for k, sound in enumerate(safe.tolist()):
+            if sound:
+                end = next(ends)
+                yield ids[at + 4 : end]  # without the newline put first
                 at = end
-        return out
+            else:
+                yield self.encode(texts[k].as_py())
+
+
+def joined(words: pa.StringArray, most: int) -> Iterator[tuple[str, np.ndarray]]:
+    """Words one after the other as texts of at most so many words, and where each word ends, in bytes."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    data = words.buffers()[2]
+    for k in range(0, len(words), most):
+        o = offsets[k : k + most + 1]
+        yield data[int(o[0]) : int(o[-1])].to_pybytes().decode(), o[1:] - o[0]
 
 
 @lru_cache(2)
@@ -113,10 +120,13 @@ def library_encoder(path: str) -> StretchEncoder:
     def one(text: str) -> bytes:
         return np.array(batch([text], add_special_tokens=False)[0].ids, "<u4").tobytes() if text else b""
 
-    def many(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(batch(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.searchsorted(np.cumsum(width[ids]), np.cumsum([len(w.encode()) for w in words])) + 1
-        return ids, np.diff(ends, prepend=0)
+    def many(words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [], []
+        for text, ends in joined(words, 500):
+            some = np.array(batch([text], add_special_tokens=False)[0].ids, "<u4")
+            ids.append(some)
+            sizes.append(np.diff(np.searchsorted(np.cumsum(width[some]), ends) + 1, prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     return StretchEncoder(one, many)
 
