@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -24,14 +26,35 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="asofia-")
+        folder = tempfile.mkdtemp(prefix="asofia-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        found = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def work_dir(spark: SparkSession, tag: str) -> str:
     """A new folder's URI below the shared one."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def made() -> list[str]:
+    """The folders that this driver asked for and that weren't removed, oldest first."""
+    return list(_MADE)
+
+
+def remove_dirs(uris: Iterable[str]) -> None:
+    """For folders that nothing reads any more."""
+    for uri in uris:
+        fs, path = filesystem(uri)
+        if fs.get_file_info(path).type == pafs.FileType.Directory:
+            fs.delete_dir(path)
+        if uri in _MADE:
+            _MADE.remove(uri)
 
 
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -55,12 +78,6 @@ def read_file(uri: str) -> pa.Buffer:
         return f.read_buffer()
 
 
-def remove_dir(uri: str) -> None:
-    fs, path = filesystem(uri)
-    if fs.get_file_info(path).type == pafs.FileType.Directory:
-        fs.delete_dir(path)
-
-
 def materialise(df: DataFrame, tag: str, compact: bool = True) -> DataFrame:
     """Writes df to the shared folder and reads it again: cuts the lineage and survives the loss of executors. Not compact: for bytes that hardly compress."""
     uri = work_dir(df.sparkSession, tag)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from asofia.llm import hilbert_pack, pii, prefix_free, quality_rules, simhash_forest
-from asofia.llm.common import materialise, table
+from asofia.llm.common import made, materialise, remove_dirs, table
 from asofia.session import ready
 
 
@@ -49,9 +49,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage left in the shared folder goes as soon as its result is written."""
     docs = table(ready(spark), sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialise(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        before = set(made())
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        remove_dirs(u for u in made()[:-1] if u not in before or "/stage-" in u)
+    return STAGES[-1][1](spark, docs, sf_dir)
