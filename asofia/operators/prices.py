@@ -20,7 +20,7 @@ def trailing_mean(value: Column, key: str, order: list[str], rows: int = 20) ->
 def share_counts(lines: DataFrame) -> DataFrame:
     """ticker, common, other from labelled lines (ticker, label, shares, ord): classes add up, of common lines the last one counts."""
     kind = lines.withColumn("kind", share_class(F.col("label"))).filter("kind IS NOT NULL AND shares IS NOT NULL")
-    return kind.groupBy("ticker").agg(F.max_by("shares", F.when(F.col("kind") == "common", F.col("ord"))).alias("common"), F.sum(F.when(F.col("kind") == "other", F.col("shares"))).alias("other"))
+    return kind.groupBy("ticker").agg(F.max_by("shares", F.when(F.col("kind") == "common", F.struct("ord", "shares"))).alias("common"), F.sum(F.when(F.col("kind") == "other", F.col("shares"))).alias("other"))
 
 
 def price_table(prices: DataFrame, shares: DataFrame) -> DataFrame:

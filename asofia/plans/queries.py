@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from asofia.functions import dates, nulls, text
-from asofia.operators import catalysts, checks, documents, gate, metrics, periods, pit, prices, themes, verify
+from asofia.operators import catalysts, checks, documents, gate, metrics, periods, pit, prices, themes, universe, verify
 from asofia.operators.report import roll_up
 from asofia.sources.store import unseen, upserted
+from asofia.streaming import ingest
 
 AS_OF = date(1998, 6, 30)
 DAY = "DATE '1998-06-30'"
@@ -562,6 +563,74 @@ def golden_top_errors(spark, d):
     return verify.top_errors(gold, docs.filter("hit").select("ticker", "theme"))
 
 
+# universe, labels, verdicts
+_MASTER = """master AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker, c_mktsegment AS industry, c_custkey % 7 = 0 AS is_preferred, c_custkey % 11 = 0 AS is_spac, l.day AS listing_date FROM customer LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS day FROM orders GROUP BY 1) l ON l.o_custkey = c_custkey)"""
+
+
+def _master(spark, d) -> DataFrame:
+    first = t(spark, d, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("listing_date"))
+    c = t(spark, d, "customer").join(first, F.col("o_custkey") == F.col("c_custkey"), "left")
+    return c.select(F.col("c_custkey").cast("string").alias("ticker"), F.lit(None).cast("string").alias("name"), F.col("c_mktsegment").alias("industry"), (F.col("c_custkey") % 7 == 0).alias("is_preferred"), (F.col("c_custkey") % 11 == 0).alias("is_spac"), "listing_date")
+
+
+@query(f"WITH {_MASTER} SELECT ticker, listing_date FROM master WHERE NOT is_preferred AND NOT is_spac AND (listing_date IS NULL OR listing_date < DATE '1996-01-01')")
+def pre_ingest_filter(spark, d):
+    return universe.eligible(_master(spark, d), date(1996, 1, 1)).select("ticker", "listing_date")
+
+
+_SECTORS = [("^AUTO", "AUTO"), ("MACHIN", "MACHINERY"), ("^(BUILD|HOUSE)", "CONSTRUCTION")]
+
+
+@query("WITH s AS (SELECT CASE WHEN regexp_matches(c_mktsegment, '^AUTO') THEN 'AUTO' WHEN regexp_matches(c_mktsegment, 'MACHIN') THEN 'MACHINERY' WHEN regexp_matches(c_mktsegment, '^(BUILD|HOUSE)') THEN 'CONSTRUCTION' END AS sector_code FROM customer) SELECT sector_code, count(*) AS n, round(count(*) / CAST((SELECT count(*) FROM s) AS DOUBLE), 4) AS share FROM s GROUP BY 1")
+def sector_coverage(spark, d):
+    return universe.sector_coverage(universe.annotate(_master(spark, d), _SECTORS))
+
+
+@query(f"SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(o_orderkey AS VARCHAR) AS source_doc_id, CAST(o_orderdate AS DATE) AS reported_at FROM orders WHERE CAST(o_orderdate AS DATE) + 1 <= {DAY} AND o_orderpriority = '1-URGENT' QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY last_day(make_date(year(o_orderdate), quarter(o_orderdate) * 3, 1)) DESC, o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1")
+def latest_filing(spark, d):
+    f = facts(spark, d).filter("element = '1-URGENT'").withColumn("period_type", F.lit("FY")).withColumn("source_doc_id", F.col("fact_id").cast("long").cast("string"))
+    return universe.latest_filing(f, AS_OF).select("ticker", "source_doc_id", "reported_at")
+
+
+@query("SELECT count(*) AS universe, count(p.user_id) AS priced, round(count(p.user_id) / CAST(count(*) AS DOUBLE), 4) AS coverage FROM customer LEFT JOIN (SELECT DISTINCT user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10') p ON p.user_id = c_custkey")
+def price_coverage(spark, d):
+    p = t(spark, d, "events").select(F.to_date("ts").alias("date"), F.col("user_id").cast("string").alias("ticker"))
+    return universe.coverage(p, _master(spark, d), date(2024, 1, 10))
+
+
+@query("""WITH w AS (SELECT CAST(l_orderkey AS VARCHAR) AS ticker, l_linenumber AS ord, CAST(l_quantity AS BIGINT) AS shares, CASE WHEN l_returnflag = 'N' THEN 'common' WHEN l_returnflag = 'R' THEN 'other' END AS kind FROM lineitem)
+  SELECT ticker, arg_max(shares, (ord, shares)) FILTER (kind = 'common') AS common, CAST(sum(shares) FILTER (kind = 'other') AS BIGINT) AS other FROM w WHERE kind IS NOT NULL GROUP BY 1""")
+def share_counts(spark, d):
+    label = F.when(F.col("l_returnflag") == "N", "보통주").when(F.col("l_returnflag") == "R", "1종 종류주식").otherwise("합계")
+    return prices.share_counts(t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("ticker"), label.alias("label"), F.col("l_quantity").cast("long").alias("shares"), F.col("l_linenumber").alias("ord")))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name ELSE trim(p_name) END AS report_key, p_size % 2 = 1 AS is_amendment FROM part""")
+def report_names(spark, d):
+    name = F.when(F.col("p_size") % 2 == 1, F.concat(F.lit("[기재정정] "), F.col("p_name"))).otherwise(F.col("p_name"))
+    return t(spark, d, "part").select("p_partkey", text.report_key(name).alias("report_key"), text.is_amendment(name).alias("is_amendment"))
+
+
+@query("""WITH v AS (SELECT conv_id, role, turn, CASE WHEN turn % 5 = 4 THEN NULL WHEN turn % 5 = 3 THEN 0.1 ELSE 0.5 END AS actual, CASE WHEN turn % 2 = 0 THEN 0.4 ELSE 0.0 END AS claim, length(text) > 40 AS cited FROM conversations)
+  SELECT conv_id, turn, CASE WHEN NOT cited THEN 'core' WHEN actual < 0.3 THEN CASE WHEN actual >= 0.15 THEN 'adjacent' ELSE 'peripheral' END ELSE 'core' END AS role, CASE WHEN cited THEN 'verified' ELSE 'rejected' END AS status, CASE WHEN NOT cited THEN 'hallucinated_citation' END AS reject_reason,
+  CASE WHEN NOT cited THEN NULL WHEN actual IS NOT NULL THEN CASE WHEN actual < 0.3 THEN 'below_floor' ELSE 'confirmed' END WHEN claim = 0 THEN 'not_claimed' ELSE 'unavailable' END AS share_evidence FROM v""")
+def verdicts(spark, d):
+    c = t(spark, d, "conversations")
+    n = F.col("turn") % 5
+    rows = c.select(
+        F.concat_ws(":", "conv_id", "turn").alias("ticker"), F.col("role").alias("theme_id"), F.lit("core").alias("role"), F.lit(1.0).alias("confidence"), F.lit("business").alias("evidence_source"), F.lit("business").alias("cited_as"), F.lit(True).alias("known"), (F.length("text") > 40).alias("cited"),
+        F.lit("SEMI").alias("sector_code"), F.lit(True).alias("sector_ok"), F.lit(0.3).alias("floor"), F.when(n == 4, None).when(n == 3, 0.1).otherwise(0.5).alias("actual"), F.when(F.col("turn") % 2 == 0, 0.4).otherwise(0.0).alias("revenue_share_claim"), F.lit(False).alias("has_segments"), F.lit(False).alias("unverified_segments"),
+    )
+    parts = F.split("ticker", ":")
+    return verify.judge(rows).select(parts[0].cast("long").alias("conv_id"), parts[1].cast("long").alias("turn"), "role", "status", "reject_reason", "share_evidence")
+
+
+@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2")
+def windowed_counts(spark, d):
+    e = t(spark, d, "events").withColumn("v", F.col("value").cast("decimal(18,2)"))
+    return ingest.windowed(e, "ts", "event_type", "v").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.col("total").cast("double").alias("total"))
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers as companies: derived metrics, guards, the adaptive gate and the ranking."""
     eligible, _ = gate.guard(flagged(spark, d), ["capital_impairment", "stale_financials"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from asofia import schemas
 from asofia.functions import dates, nulls, text
-from asofia.operators import catalysts, checks, documents, gate, metrics, periods, pit, prices, report, themes, verify
+from asofia.operators import catalysts, checks, documents, gate, metrics, periods, pit, prices, report, themes, universe, verify
 from asofia.sources import readers
 from asofia.sources.store import Store
 from asofia.streaming import ingest
@@ -376,3 +376,29 @@ def test_readers(spark, tmp_path):
     (tmp_path / "f.json").write_text('{"status": "900", "message": "x", "list": []}')
     with pytest.raises(Exception, match="status 900"):
         readers.filings(spark, str(tmp_path / "f.json")).collect()
+
+
+def test_universe(spark):
+    rows = [("A", "가홀딩스", "반도체 제조", False, False, date(2000, 1, 1)), ("B", "나", "은행", False, False, date(2024, 1, 1)), ("C", "다스팩", "x", False, True, None), ("D", "라", None, True, False, None)]
+    m = spark.createDataFrame(rows, "ticker string, name string, industry string, is_preferred boolean, is_spac boolean, listing_date date")
+    assert [r.ticker for r in universe.eligible(m, date(2010, 1, 1)).collect()] == ["A"] and [r.ticker for r in universe.eligible(m, head=1).collect()] == ["A"]
+    assert universe.eligible(m, sample=1, seed=3).collect() == universe.eligible(m, sample=1, seed=3).collect() and universe.eligible(m, tickers=["B"]).count() == 1
+    got = {r.ticker: r for r in universe.annotate(m, [("반도체", "SEMI"), ("은행", "BANK")]).collect()}
+    assert (got["A"].sector_code, got["B"].sector_code, got["D"].sector_code) == ("HOLDING", "BANK", None) and got["B"].is_financial and got["C"].is_spac and got["D"].unmapped_industry
+    f = spark.createDataFrame([(*FILED[0], "d1"), (*FILED[3], "d2")], FACT + ", source_doc_id string")
+    assert universe.latest_filing(f, date(2025, 4, 1)).first().source_doc_id == "d1" and universe.latest_filing(f, date(2025, 9, 1)).first().source_doc_id == "d2"
+    assert universe.available_sources(f, date(2025, 4, 1), {"a": (NI,), "b": ("DPS",)}) == {"a"}
+
+
+def test_config(tmp_path):
+    import json
+
+    from asofia import config
+
+    c = {"checks": [{"id": "x", "op": ">", "threshold": 1, "expr": "a / b", "polarity": "neutral"}], "gate": {"target": 5}, "filters": [{"metric": "per", "loose": 15, "tight": 6, "least": False}], "ranking": [{"metric": "per", "weight": -1}], "events": [{"id": "E", "polarity": "positive", "types": ["B"], "patterns": ["^x"]}]}
+    (tmp_path / "c.json").write_text(json.dumps(c))
+    c = config.read(str(tmp_path / "c.json"))
+    assert config.checks(c)[0].expr == "a / b" and config.gate(c).target == 5 and config.events(c)[0].patterns == ("^x",)
+    for bad in ({"id": "x", "op": "~", "threshold": 1, "metric": "a"}, {"id": "x", "op": ">", "threshold": 1, "metric": "a", "nope": 1}, {"id": "x", "op": ">", "threshold": 1, "expr": "f(a)", "polarity": "neutral"}):
+        with pytest.raises(checks.CheckError):
+            config.checks({"checks": [bad]})
