@@ -90,9 +90,9 @@ def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
         for b in batches:
-            for k in range(0, b.num_rows, 512):
-                part = b.slice(k, 512)
-                raw = [x + end for x in encoder.many(part.column(1).to_pylist())]
+            for k in range(0, b.num_rows, 2048):
+                part = b.slice(k, 2048)
+                raw = [x + end for x in encoder.stream(part.column(1))]
                 flat = np.frombuffer(b"".join(raw), "<u4")
                 total = np.array([len(x) // 4 for x in raw], np.int64)
                 first = np.cumsum(total) - total
