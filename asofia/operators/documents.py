@@ -16,7 +16,7 @@ from asofia.functions.text import squeeze
 _SECTION = re.compile(r"^\s*(?:II|Ⅱ|2)\s*\.\s*사업의\s*내용", re.M)
 _NEXT = re.compile(r"^\s*(?:III|Ⅲ|3)\s*\.\s*재무", re.M)
 _CROSS = re.compile(r"참조|참고\s*하|기재되어|참고바랍")
-_HEAD = re.compile(r"^\s*\d{1,2}\s*\.\s*((?:\([^)]{1,20}\)\s*)?[가-힣A-Za-z][^\n]{1,40})$", re.M)
+_HEAD = re.compile(r"^\s*\d{1,2}\s*\.\s*((?:\([^)]{1,20}\)\s*)?[A-Za-z가-힣][^\n]{1,40})$", re.M)
 _PRIORITY = (("매출", 0), ("사업의 개요", 1), ("주요 제품", 2), ("수주", 3))
 LEAST_SLICE = 2000
 
@@ -77,7 +77,7 @@ _STRONG, _AGAINST = re.compile(r"매출\s*실적|부문별\s*매출|사업부문
 _TOTAL, _SUB = re.compile(r"^(합\s*계|총\s*계|총합계)$"), re.compile(r"^(소\s*계|계|합\s*계)$")
 _REGION = set("국내 내수 수출 해외".split())
 _NUMBER = re.compile(r"^[(△▲-]?[0-9][0-9,]*(?:\.[0-9]+)?\)?%?$")
-_PROSE = re.compile(r"([가-힣A-Za-z][가-힣A-Za-z0-9·&() ]{1,30}?)\s*(?:부문|사업)?(?:이|가|은|는)?\s*(?:전체\s*)?매출(?:액)?의?\s*(?:약\s*)?(\d{1,3}(?:\.\d+)?)\s*%")
+_PROSE = re.compile(r"([A-Za-z가-힣][ ()&·0-9A-Za-z가-힣]{1,30}?)\s*(?:부문|사업)?(?:이|가|은|는)?\s*(?:전체\s*)?매출(?:액)?의?\s*(?:약\s*)?(\d{1,3}(?:\.\d+)?)\s*%")
 _SCALES = (1, 1e3, 1e6, 1e8)
 
 

@@ -13,7 +13,7 @@ from asofia.operators.metrics import FIN
 from asofia.operators.pit import newest
 
 
-def eligible(master: DataFrame, listed_before: date | None = None, tickers: list[str] | None = None, sample: int | None = None, seed: int = 0, head: int | None = None) -> DataFrame:
+def eligible(master: DataFrame, listed_before: date | None = None, *, seed: int = 0, sample: int | None = None, head: int | None = None, tickers: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """Common lines that are no shell companies; listed before a date, of a list, a seeded sample or the first few by ticker, where asked for."""
     rows = master.filter(~hit(F.col("is_preferred")) & ~hit(F.col("is_spac")))
     if listed_before is not None:

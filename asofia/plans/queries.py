@@ -423,9 +423,9 @@ def built(spark, d) -> DataFrame:
     return catalysts.build(found, m, catalysts.amendments(disclosures(spark, d)), _CDAY, _SPECS)
 
 
-@query(f"WITH {_DISC}, {_KINDS}, {_CAT} SELECT rcept_no, ticker, kind, round(magnitude, 6) AS magnitude, expires_at, not_amended, not_expired, material, no_reversal, numbers_agree, CAST(confidence AS INTEGER) AS confidence FROM r")
+@query(f"WITH {_DISC}, {_KINDS}, {_CAT} SELECT rcept_no, ticker, kind, round(magnitude, 6) AS magnitude, expires_at, material, no_reversal, not_amended, not_expired, numbers_agree, CAST(confidence AS INTEGER) AS confidence FROM r")
 def catalyst_confidence(spark, d):
-    return built(spark, d).select("rcept_no", "ticker", "kind", F.round("magnitude", 6).alias("magnitude"), "expires_at", "not_amended", "not_expired", "material", "no_reversal", "numbers_agree", "confidence")
+    return built(spark, d).select("rcept_no", "ticker", "kind", F.round("magnitude", 6).alias("magnitude"), "expires_at", "material", "no_reversal", "not_amended", "not_expired", "numbers_agree", "confidence")
 
 
 @query(f"""WITH {_DISC}, {_KINDS}, {_CAT}, l AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY confidence DESC, magnitude DESC NULLS LAST, rcept_no) AS rank, greatest(count(*) OVER (PARTITION BY kind) - 15, 0) AS more FROM r WHERE magnitude IS NOT NULL AND not_expired AND confidence >= 4)

@@ -26,7 +26,7 @@ SEGMENT = schema(name="s", share="f", amount="s", path="s")
 SEGMENTS = T.StructType([T.StructField("segments", T.ArrayType(SEGMENT)), *schema(complete="b", corroborated="b", method="s", source_line="s")])
 PACK = T.StructType([*schema(ticker="s", business="s", segments_text="s"), T.StructField("segments", SEGMENTS), T.StructField("disclosures", T.ArrayType(schema(date="d", title="s")))])
 VERDICT = T.StructType([*schema(ticker="s", theme_id="s", role="s", status="s", reject_reason="s", confidence="f", actual_share="f", claimed_share="f", share_evidence="s"), T.StructField("flags", T.ArrayType(T.StringType())), T.StructField("segments", T.ArrayType(T.StringType()))])
-CATALYSTS = schema(ticker="s", kind="s", rcept_no="s", occurred_at="d", expires_at="d", magnitude="f", magnitude_basis="s", grounded="b", not_amended="b", not_expired="b", material="b", no_reversal="b", numbers_agree="b", confidence="i")
+CATALYSTS = schema(ticker="s", kind="s", rcept_no="s", occurred_at="d", expires_at="d", magnitude="f", magnitude_basis="s", grounded="b", material="b", no_reversal="b", not_amended="b", not_expired="b", numbers_agree="b", confidence="i")
 LABELS = T.StructType([*schema(ticker="s", name="s"), T.StructField("core", T.ArrayType(T.StringType())), *schema(confidence="s", note="s", evidence_defect="b")])
 FILING_LINE = schema(rcept_no="s", reprt_code="s", bsns_year="s", corp_code="s", sj_div="s", sj_nm="s", account_id="s", account_nm="s", thstrm_nm="s", thstrm_amount="s", thstrm_add_amount="s", frmtrm_nm="s", frmtrm_amount="s", frmtrm_add_amount="s", frmtrm_q_amount="s", currency="s", ord="s")
 FILING = T.StructType([*schema(status="s", message="s"), T.StructField("list", T.ArrayType(FILING_LINE))])
