@@ -94,7 +94,7 @@ def _name(cell: str) -> str:
     return cell.replace(" ", "") if re.fullmatch(r"(?:[가-힣] )+[가-힣]", cell) else cell
 
 
-def _tables(text: str) -> list[tuple[str, list[list[str]]]]:
+def _tables(text: str) -> list:
     """(the nearest heading within 80 lines, rows of cells) of each run of piped lines; blank lines don't end it."""
     out, rows, heading, age = [], [], "", 0
     for line in text.split("\n"):
@@ -109,7 +109,7 @@ def _tables(text: str) -> list[tuple[str, list[list[str]]]]:
     return [*out, (heading, rows)] if rows else out
 
 
-def _groups(rows: list[list[str]]) -> list[tuple[str, float]]:
+def _groups(rows: list) -> list:
     """Segments of a table with their current period: numbers count from the right, rows without a segment cell belong to the one above, its first subtotal is its value; a grand total ends it."""
     periods = max((sum(_value(c) is not None for c in r) for r in rows), default=0)
     labels = max((sum(_value(c) is None for c in r) for r in rows if any(_value(c) is not None for c in r)), default=0)
@@ -133,16 +133,16 @@ def _groups(rows: list[list[str]]) -> list[tuple[str, float]]:
     return [(n, v) for n, v, _ in groups]
 
 
-def parse_segments(text: str, revenue: float | None = None) -> dict:
+def read_segments(body: str, sales: float | None = None) -> dict:
     """segments with shares, how they were found, whether revenue bears them out. Tables of amounts are normalised to shares.
 
     prose and table_amount (which match the revenue within a fifth, in some unit) rank above table_pct and unverified tables.
     """
     found: list[tuple[int, str, list[tuple[str, float]], bool, str]] = []
-    prose = [(m[1].strip(), float(m[2]) / 100) for m in _PROSE.finditer(text)]
+    prose = [(m[1].strip(), float(m[2]) / 100) for m in _PROSE.finditer(body)]
     if prose and sum(v for _, v in prose) <= 1.05:
         found.append((3, "prose", prose, True, "prose"))
-    for heading, rows in _tables(text):
+    for heading, rows in _tables(body):
         header = " ".join(c for r in rows[:3] for c in r)
         if _AGAINST.search(heading) and not _STRONG.search(heading) or not re.search(r"부문|품목|제품|매출", header):
             continue
@@ -153,7 +153,7 @@ def parse_segments(text: str, revenue: float | None = None) -> dict:
             continue
         shares = [(n, v / total) for n, v in groups]
         percents = any("%" in c for r in rows for c in r if _value(c) is not None)
-        matches = revenue is not None and any(abs(total * s - revenue) <= 0.2 * revenue for s in _SCALES)
+        matches = sales is not None and any(abs(total * s - sales) <= 0.2 * sales for s in _SCALES)
         if percents and abs(total - 100) <= 2:
             found.append((2, "table_pct", shares, False, heading))
         elif matches:
@@ -170,7 +170,7 @@ def parse_segments(text: str, revenue: float | None = None) -> dict:
 def segments(text: pa.Array, revenue: pa.Array) -> pa.Array:
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return pa.array([parse_segments(t or "", r) for t, r in zip(text.to_pylist(), revenue.to_pylist())], to_arrow_type(schemas.SEGMENTS))
+    return pa.array([read_segments(t or "", r) for t, r in zip(text.to_pylist(), revenue.to_pylist())], to_arrow_type(schemas.SEGMENTS))
 
 
 def segment_lines(text: Column, words: str = "부문|매출|비중", most: int = 40) -> Column:

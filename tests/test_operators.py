@@ -260,16 +260,16 @@ SPAN = "나. 매출 실적\n\n" + piped(("(단위 : 백만원)",), ("부문", "
 
 
 def test_segments(spark):
-    got = documents.parse_segments(TABLE, 1000e6)
+    got = documents.read_segments(TABLE, 1000e6)
     shares = {s["name"]: s["share"] for s in got["segments"]}
     assert got["method"] == "table_amount" and got["corroborated"] and shares == {"철강": 0.54, "목재": 0.12, "수산": 0.34}
-    assert documents.parse_segments(TABLE, 99e12)["method"] == "table_amount_unverified"
-    assert documents.parse_segments(TABLE.replace("나. 매출 실적", "나. 제품 단가"), 1000e6)["segments"] == []
+    assert documents.read_segments(TABLE, 99e12)["method"] == "table_amount_unverified"
+    assert documents.read_segments(TABLE.replace("나. 매출 실적", "나. 제품 단가"), 1000e6)["segments"] == []
     for extra in ("", piped(("합 계", "1,200", "1,060"))):
-        got = documents.parse_segments(SPAN + extra, 1200e6)
+        got = documents.read_segments(SPAN + extra, 1200e6)
         assert {s["name"]: s["share"] for s in got["segments"]} == {"과자부": 0.62, "음료부": 0.38} and got["corroborated"]
-    assert documents.parse_segments(TABLE.replace("철 강", "내수").replace("수 산", "수출").replace("목재", "국내"), 1000e6)["segments"] == []
-    assert documents.parse_segments("", None)["segments"] == []
+    assert documents.read_segments(TABLE.replace("철 강", "내수").replace("수 산", "수출").replace("목재", "국내"), 1000e6)["segments"] == []
+    assert documents.read_segments("", None)["segments"] == []
     df = spark.createDataFrame([(TABLE, 1000e6, "철강"), (None, None, "x")], "t string, r double, n string").select(documents.segments("t", "r").alias("s"), "n")
     assert [None if r[0] is None else round(r[0], 3) for r in df.select(documents.share_of(F.col("s.segments"), F.col("n"))).collect()] == [0.54, None]
 
