@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asofia import schemas
-from asofia.functions.text import squeeze
+from asofia.functions.text import segment_key, squeeze
 
 # sections
 _SECTION = re.compile(r"^\s*(?:II|Ⅱ|2)\s*\.\s*사업의\s*내용", re.M)
@@ -181,7 +181,7 @@ def segment_lines(text: Column, words: str = "부문|매출|비중", most: int =
 
 def share_of(segment_list: Column, name: Column) -> Column:
     """A named segment's share: by its key, else by containment either way; different shares for one name are missing."""
-    key = lambda c: F.lower(F.regexp_replace(c, r"[\s　·\-&()]", ""))
+    key = segment_key
     exact = F.filter(segment_list, lambda s: key(s["name"]) == key(name))
     near = F.filter(segment_list, lambda s: key(s["name"]).contains(key(name)) | key(name).contains(key(s["name"])))
     shares = F.array_distinct(F.transform(F.when(F.size(exact) > 0, exact).otherwise(near), lambda s: s["share"]))
