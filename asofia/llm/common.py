@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share: spark.checkpoint.dir. Where it is unset, a temporary one, in local mode only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="asofia-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
