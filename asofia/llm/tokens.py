@@ -16,9 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Stretches kept in a worker's memo; it starts anew when full, which changes no result.
-MEMO = 1_000_000
+MEMO = 600_000
 #: Bytes of text cut at a time; words that repeat among them are looked up once.
-TOGETHER = 8_000_000
+TOGETHER = 4_000_000
 #: A gap of more than one space or newline, one at an end, other white space, or nothing at all.
 _UNSAFE = "^$|^[ \n]|[ \n]$|[ \n][ \n]|[\\x{9}\\x{b}-\\x{d}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
