@@ -7,13 +7,14 @@ components of links and copies, named by their smallest doc_id.
 
 Candidates: each trie holds the fingerprints in an order of bits of its own; two are candidates if they share a prefix
 in any trie. The depth follows the density: it starts where a node would hold NODE fingerprints on average and climbs
-to shorter prefixes until, with at most MAX_TRIES tries, a pair at the distance DESIGN is found with probability
-RECALL; the tries are as many as that takes. Candidates are then verified on all bits. Every pair is counted in the
+to shorter prefixes until, with at most MAX_TRIES tries, a pair at the distance DESIGN, which is the link's own, is found
+with probability RECALL; the tries are as many as that takes, so closer pairs are found more surely at any input size. Candidates are then verified on all bits. Every pair is counted in the
 first trie that proposes it.
 
 Scale: exact copies collapse by text hash and equal fingerprints by value, both pre-aggregated, before anything is
 compared, so a group of copies of any size is one row. A dense node is cut into blocks of at most about BLOCK rows and
-each pair of blocks is a task's group of its own, so no node is gathered in one task and none of its pairs is skipped.
+each pair of blocks is a task's group of its own, so no node is gathered in one task and none of its pairs is skipped; dense
+nodes, at most 1 / BLOCK of a trie's rows, are sent around by broadcast.
 Groups emit per row a count and the root of its component within the group, not pairs. Components are then joined by
 alternating large and small stars, a table in the shared folder after each round. Joins that bring classes back to
 rows send hot keys around by broadcast, at most 1 / HOT_SHARE of them.
@@ -38,7 +39,7 @@ from asofia.llm.common import append_columns, left_join_hot, materialise, mix64,
 BITS = 256
 DISTANCE = 54
 MIN_WORDS = 5
-DESIGN, RECALL, MAX_TRIES, MIN_TRIES = 41, 0.99, 256, 12
+DESIGN, RECALL, MAX_TRIES, MIN_TRIES = DISTANCE, 0.99, 256, 12
 NODE, BLOCK = 1024, 4096
 _STRIP = ".,;:!?*$%&#|<>()[]{}\"'`~^_+=/\\-"
 _ROW = "_asofia_row"
@@ -81,7 +82,7 @@ def shape(n: int) -> tuple[int, int]:
     """(depth, tries) for n fingerprints."""
     depth = max(0, min(48, int(math.log2(max(n, 1) / NODE)) if n > NODE else 0))
     while True:
-        hit = (1 - DESIGN / BITS) ** depth
+        hit = math.prod((BITS - DESIGN - i) / (BITS - i) for i in range(depth))  # an order's bits are drawn without repeats
         tries = 1 if hit >= RECALL else math.ceil(math.log(1 - RECALL) / math.log(1 - hit))
         if tries <= MAX_TRIES or depth == 0:
             return depth, 1 if depth == 0 else max(MIN_TRIES, tries)
@@ -159,7 +160,7 @@ def _compare(nodes: DataFrame, depth: int, tries: int) -> DataFrame:
 
     rows = nodes.select("node", "weight", "_words", "_print").mapInArrow(spread, struct("t int, prefix long, node long, weight long, _words int, _print binary"))
     dense = rows.groupBy("t", "prefix").count().filter(F.col("count") > BLOCK).select("t", "prefix", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    cut = rows.join(dense, ["t", "prefix"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node", "t"), F.col("blocks").cast("long")).cast("int"))
+    cut = rows.join(F.broadcast(dense), ["t", "prefix"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("node", "t"), F.col("blocks").cast("long")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
     cut = cut.withColumn("side", F.when(F.col("low") == F.col("high"), 0).otherwise((F.col("own") == F.col("high")).cast("int")))
     key = ["t", "prefix", "low", "high"]

@@ -85,6 +85,18 @@ def test_shape_climbs():
         assert tries <= S.MAX_TRIES and 1 - (1 - (1 - S.DESIGN / S.BITS) ** depth) ** tries >= S.RECALL
 
 
+def test_recall_at_the_distance_of_a_link():
+    assert S.DESIGN == S.DISTANCE
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2, (4000, S.BITS), np.uint8)
+    b = a.copy()
+    np.put_along_axis(b, (apart := np.argsort(rng.random(a.shape), axis=1)[:, : S.DISTANCE]), 1 - np.take_along_axis(a, apart, axis=1), axis=1)
+    for n in (50_000, 10**6, 10**7, 10**8):
+        orders = S.permutations(*reversed(S.shape(n)))
+        found = (S.prefixes(np.packbits(a, axis=1), orders) == S.prefixes(np.packbits(b, axis=1), orders)).any(axis=1)
+        assert found.mean() >= S.RECALL - 0.005, n
+
+
 def test_awkward_rows(spark):
     docs = odd(documents(spark))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
