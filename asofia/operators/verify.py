@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,33 @@ LEAST_QUOTE, FUZZY, GAP = 8, 92.0, 0.2
 ROLES = ("peripheral", "adjacent", "core")
 
 
+LONG = 64
+
+
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _combed(a: str, b: str) -> float:
+    """partial_ratio of a, the shorter, with b: the longest common subsequences of a with every stretch of b from one combing of strands, a diagonal of cells at a time."""
+    n, m = len(a), len(b)
+    x, y = _codes(a)[::-1].copy(), _codes(b)
+    across, down = np.arange(n, dtype=np.int32), np.arange(n, n + m, dtype=np.int32)
+    for d in range(n + m - 1):
+        low, high = max(0, n - 1 - d), min(n, n - 1 - d + m)
+        j = low + d - (n - 1)
+        h, v = across[low:high], down[j : j + high - low]
+        turn = (x[low:high] == y[j : j + high - low]) | (h > v)
+        across[low:high], down[j : j + high - low] = np.where(turn, v, h), np.where(turn, h, v)
+    end, start = np.arange(m), down - n  # the strand that leaves below at end came in above at start, from the left if negative
+    size = np.concatenate([np.arange(1, n), np.full(m - n + 1, n), np.arange(n - 1, 0, -1)])  # of the stretches that begin at 1 - n, 2 - n ...
+    inside = (start >= 0) & (end < start + n)
+    change = np.zeros(n + m + 1, np.int64)  # a strand that begins and ends within a stretch is a character of it without a partner
+    np.add.at(change, end[inside], 1)
+    np.add.at(change, start[inside] + n, -1)
+    return float((200.0 * (size - np.cumsum(change)[: n + m - 1]) / (n + size)).max())
+
+
 def partial_ratio(a: str, b: str) -> float:
     """100 * the best normalised indel similarity of the shorter text with a stretch of the longer, as long or cut off by its ends."""
     if len(a) > len(b):
@@ -22,6 +50,8 @@ def partial_ratio(a: str, b: str) -> float:
     if a in b:
         return 100.0
     n = len(a)
+    if n > LONG:
+        return _combed(a, b)
     masks: dict[str, int] = {}
     for i, c in enumerate(a):
         masks[c] = masks.get(c, 0) | 1 << i
@@ -53,7 +83,9 @@ def verify_citations(rows: DataFrame, quote: str, source: str) -> DataFrame:
     """cited and similarity: the exact test is native; just what fails it reaches Python."""
     marked = rows.withColumn("_exact", cited_exactly(F.col(quote), F.col(source))).withColumn("_long", F.length(citation_key(F.col(quote))) >= LEAST_QUOTE)
     sure = marked.filter("_exact OR NOT _long").withColumn("similarity", F.when(F.col("_exact"), 100.0).otherwise(0.0))
-    rest = marked.filter("NOT _exact AND _long").withColumn("similarity", fuzzy(citation_key(F.col(quote)), citation_key(F.col(source))))
+    spark = rows.sparkSession
+    spread = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work: as many tasks as keep all cores busy
+    rest = marked.filter("NOT _exact AND _long").repartition(spread).withColumn("similarity", fuzzy(citation_key(F.col(quote)), citation_key(F.col(source))))
     return sure.unionByName(rest).withColumn("cited", F.col("similarity") >= FUZZY).drop("_exact", "_long")
 
 

@@ -476,9 +476,9 @@ def verify_exact_citation(spark, d):
 
 @query()
 def verify_fuzzy_citation(spark, d):
-    """Each turn's opening against the turn before it."""
+    """Each turn, whole, against the turn before it."""
     w = Window.partitionBy("conv_id").orderBy("turn")
-    rows = t(spark, d, "conversations").withColumn("source", F.lag("text").over(w)).withColumn("quote", F.substring("text", 1, 40)).filter("source IS NOT NULL")
+    rows = t(spark, d, "conversations").withColumn("source", F.lag("text").over(w)).withColumn("quote", F.col("text")).filter("source IS NOT NULL")
     return verify.verify_citations(rows, "quote", "source").select("conv_id", "turn", F.round("similarity", 4).alias("similarity"), "cited")
 
 

@@ -310,6 +310,41 @@ def test_partial_ratio():
     assert verify.partial_ratio("hello world", "say hello wurld now") > 85 and verify.partial_ratio("abc", "xyz") == 0
 
 
+def brute_ratio(a, b):
+    a, b = sorted((a, b), key=len)
+    best = 0.0
+    for start in range(1 - len(a), len(b)):
+        part, row = b[max(0, start) : start + len(a)], [0] * (len(a) + 1)
+        for c in part:
+            last = 0
+            for k, x in enumerate(a):
+                last, row[k + 1] = row[k + 1], last + 1 if x == c else max(row[k + 1], row[k])
+        best = max(best, 200.0 * row[-1] / (len(a) + len(part)))
+    return best
+
+
+def test_partial_ratio_of_long_quotes():
+    import random
+
+    rnd = random.Random(4)
+    for n, m in ((65, 65), (70, 90), (80, 71), (66, 130)):
+        a, b = ("".join(rnd.choice("abcdé😀") for _ in range(k)) for k in (n, m))
+        assert verify.partial_ratio(a, b) == brute_ratio(a, b)
+
+
+def test_fuzzy_citation_of_whole_turns(spark, tmp_path):
+    from asofia.plans.queries import QUERIES
+
+    opening = "the very same opening of forty characters and "
+    turns = [opening + "then nothing that is like the other", opening + "73 quokkas jumped by 19 foxy wizards", "zig 5 " * 9 + "then nothing that is like the other", "short one here"]
+    spark.createDataFrame([(1, k, "user", x) for k, x in enumerate(turns)], "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.turn: r for r in QUERIES["verify_fuzzy_citation"](spark, str(tmp_path)).collect()}
+    bare = ["".join(x.split()) for x in turns]
+    assert set(got) == {1, 2, 3} and not got[1].cited
+    for k in got:
+        assert got[k].similarity == pytest.approx(brute_ratio(bare[k], bare[k - 1]), abs=1e-4)
+
+
 def test_verdicts(spark):
     cols = "ticker string, theme_id string, role string, confidence double, evidence_source string, cited_as string, known boolean, cited boolean, sector_code string, sector_ok boolean, floor double, actual double, revenue_share_claim double, has_segments boolean, unverified_segments boolean"
     rows = [("a", "t", "core", 0.9, "business", "business", True, True, "SEMI", True, 0.3, 0.72, 0.72, True, False), ("b", "t", "core", 0.9, "business", "segments", True, True, None, None, 0.3, 0.2, 0.7, True, False), ("c", "t", "core", 0.9, "business", None, True, False, "SEMI", True, 0.3, None, 0.0, False, False), ("d", "t", "core", 0.9, "business", "business", False, True, "SEMI", True, None, None, 0.0, False, False), ("e", "t", "core", 0.9, "business", "business", True, True, "SEMI", False, 0.3, None, 0.1, True, False), ("f", "t", "core", 0.9, "business", "business", True, True, "SEMI", True, 0.3, 0.1, 0.1, True, False)]
