@@ -12,8 +12,10 @@ Order. A suffix array of the corpus is needed only as far as it brings together
 SPAN bytes, and which document comes first in each such run. For suffixes that start in equal phrases the parse gives
 that: all but the first document's are repeats. Only suffixes of different phrases that agree beyond the trigger (over
 SPAN - 12 bytes, in one of three places) are ordered one by one, over the dictionary rather than over the corpus:
-the suffixes' windows are sorted and each run's first document kept. Runs are found by sorting 104-bit (phrase) and
-96-bit (window) hashes of the bytes; lexicographic order isn't needed, since no run depends on its neighbours.
+the suffixes' windows are sorted and each run's first document kept. Runs are found by sorting 64-bit keys,
+folded from 104-bit (phrase) and 96-bit (window) hashes of the bytes, which aren't compared themselves; lexicographic
+order isn't needed, since no run depends on its neighbours. With at most one key of each sort a byte, 30 GB spread evenly
+over P partitions are expected to have under 24 / P pairs of different strings with equal keys, by sort (computed).
 
 Scale. Documents are parsed in blocks of BLOCK_BYTES where they are read; each block is written once to the shared
 folder, and what follows shuffles only hashes, a row per block and partition. Within a block equal phrases, and equal
