@@ -150,6 +150,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def with_plain_names(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], roles: Iterable[str] = ("doc_id", "text", "n_chars")) -> DataFrame:
+    """What stage makes of docs while all columns but roles have names that clash with nothing. stage returns the columns of its input."""
+    plain = docs.toDF(*[c if c in roles else f"x{k}" for k, c in enumerate(docs.columns)])
+    return stage(plain).toDF(*docs.columns)
+
+
 def append_columns(df: DataFrame, text: str, keep: list[str], start: Callable[[], Callable[[list[str]], list[list]]], fields: str) -> DataFrame:
     """keep's columns of df and, after them, columns computed from whole texts (null: empty). start() runs once a task.
 

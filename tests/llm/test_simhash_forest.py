@@ -60,47 +60,88 @@ def got(df):
     return sorted([(r.doc_id, r.class_id, r.n_links, r.class_size) for r in df.collect()], key=str)
 
 
+def agreement(df, rows):
+    """The share of linked rows that come out as by brute force."""
+    have, want = got(df), brute(rows)
+    linked = [w for w in want if w[2]]
+    return len(set(have) & set(linked)) / max(1, len(set(linked)))
+
+
 def test_against_brute_force(spark, monkeypatch):
+    """Links at up to 20 bits are sure to be found, so that rows are those of brute force."""
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert got(S.near_duplicates(df)) == brute(rows)
-    monkeypatch.setattr(S, "BLOCK", 40)  # dense nodes in blocks
-    assert got(S.near_duplicates(df)) == brute(rows)
+    monkeypatch.setattr(S, "DISTANCE", 20)  # for brute()
+    want = brute(rows)
+    for forest in (S.Forest(20, 1 - 1e-9), S.Forest(20, 1 - 1e-9, block=40), S.Forest(20, 1 - 1e-9, row=1)):  # as it is, dense nodes in blocks, long prefixes
+        assert got(S.near_duplicates(df, forest)) == want
 
 
-def test_tries_reach_their_recall(spark, monkeypatch):
-    monkeypatch.setattr(S, "NODE", 16)
-    depth, tries = S.shape(260)
-    assert depth == 4 and tries >= S.MIN_TRIES
+def test_at_the_distance_of_links(spark):
     rows = corpus()
-    have = {(a, b) for a, b, *_ in got(S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))}
-    want = {(a, b) for a, b, *_ in brute(rows)}
-    assert len(have & want) >= 0.97 * len(want)
-
-
-def test_shape_climbs():
-    assert S.shape(0) == (0, 1) and S.shape(1000) == (0, 1)
-    for n in (10**5, 10**7, 10**9, 10**12):
-        depth, tries = S.shape(n)
-        assert tries <= S.MAX_TRIES and 1 - (1 - (1 - S.DESIGN / S.BITS) ** depth) ** tries >= S.RECALL
+    assert agreement(S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), rows) >= 0.97
 
 
-def test_recall_at_the_distance_of_a_link():
-    assert S.DESIGN == S.DISTANCE
+def test_tries_reach_their_recall():
     rng = np.random.default_rng(3)
     a = rng.integers(0, 2, (4000, S.BITS), np.uint8)
     b = a.copy()
     np.put_along_axis(b, (apart := np.argsort(rng.random(a.shape), axis=1)[:, : S.DISTANCE]), 1 - np.take_along_axis(a, apart, axis=1), axis=1)
-    for n in (50_000, 10**6, 10**7, 10**8):
-        orders = S.permutations(*reversed(S.shape(n)))
+    for depth in (2, 8, 14):
+        orders = S.permutations(S.Forest().tries(depth), depth)
         found = (S.prefixes(np.packbits(a, axis=1), orders) == S.prefixes(np.packbits(b, axis=1), orders)).any(axis=1)
-        assert found.mean() >= S.RECALL - 0.005, n
+        assert found.mean() >= S.RECALL - 0.005, depth
+
+
+def planted(n, dense, pairs, seed=5):
+    """Distinct fingerprints: random ones, a group around one centre, and pairs at 49 to 54 bits."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2, (n, S.BITS), np.uint8)
+    centre = rng.integers(0, 2, S.BITS, np.uint8)
+    base[:dense] = centre ^ (rng.random((dense, S.BITS)) < 0.2)  # some 82 bits from each other
+    other = base[:pairs * (n // pairs) : n // pairs].copy()
+    for row in other:
+        row[rng.permutation(S.BITS)[: rng.integers(49, 55)]] ^= 1
+    return np.packbits(np.concatenate([base, other]), axis=1)
+
+
+def all_links(prints):
+    """Links by row, from all pairs."""
+    wide, links = prints.view(np.uint64), np.zeros(len(prints), np.int64)
+    for k in range(0, len(wide), 256):
+        apart = sum(np.bitwise_count(wide[k : k + 256, None, w] ^ wide[None, :, w]).astype(np.uint16) for w in range(4))
+        links[k : k + 256] = (apart <= S.DISTANCE).sum(axis=1) - 1
+    return links
+
+
+def found_links(spark, prints):
+    nodes = spark.createDataFrame([(bytearray(p.tobytes()), 50, 1) for p in prints], "_print binary, _words int, weight long").repartition(4)
+    return {r.node: r.links for r in S._compare(nodes, len(prints)).groupBy("node").sum("links").withColumnRenamed("sum(links)", "links").collect()}
+
+
+def test_recall_at_the_distance_of_a_link(spark):
+    """Over 50,000 different fingerprints, pairs at 49 to 54 bits; a fifth of the rows crowd around one centre."""
+    prints = planted(50_000, 10_000, 2_000)
+    want = all_links(prints)
+    found = found_links(spark, prints)
+    have = np.array([found.get(x, 0) for x in S.node_ids(prints).tolist()])
+    assert want.sum() >= 4_000 and (have <= want).all() and have.sum() >= 0.975 * want.sum()
+
+
+def test_depth_follows_density(spark):
+    prints = planted(20_000, 4_000, 10)
+    nodes = spark.createDataFrame([(bytearray(p.tobytes()), 50, 1) for p in prints], "_print binary, _words int, weight long").repartition(3)
+    plan, sent = S.make_plan(nodes, len(prints), S.Forest(row=50))
+    level = plan.level(prints)
+    assert level[:4_000].mean() > level[4_000:].mean() and len(set(level.tolist())) > 1 and sent > len(prints)
+    few, _ = S.make_plan(nodes.limit(2), 2)
+    assert len(few.orders(few.first)[0]) >= 2  # two rows meet in tries as well
 
 
 def test_awkward_rows(spark):
     docs = odd(documents(spark))
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert got(S.near_duplicates(docs)) == brute(rows)
+    assert got(S.near_duplicates(docs)) == brute(rows)  # no link here is near the limit
     kept = S.drop_near_duplicates(docs)
     assert kept.dtypes == docs.dtypes
     classes = {r.class_id if r.class_size > 1 else ("own", r.doc_id) for r in S.near_duplicates(docs).collect()}
