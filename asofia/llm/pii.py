@@ -11,7 +11,7 @@ Kinds, in the order in which they are listed:
 Scores: each kind has one to begin with; a word of its context within WINDOW code points before it, or half of that
 after it, adds to it, words of the counter-context (order, version, serial numbers ...) take from it. Base spans are
 reported whatever their score. Spans are code points, end exclusive. Every pattern is linear: a run is entered at its
-start only. Null texts are empty; no spans are the empty string. Repeated rows are reported each; an empty table gives
+start only, and overlaps are found by bisection. Null texts are empty; no spans are the empty string. Repeated rows are reported each; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -19,11 +19,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from asofia.llm.common import append_columns, table
+from asofia.llm.common import append_columns, table, with_plain_names
 
 KINDS = ("email", "ip", "card", "phone", "iban", "part", "short", "ident")
 BASE = 4
@@ -109,8 +111,15 @@ def score(text: str, span: Span) -> float:
     return min(1.0, max(0.0, SCORE[kind] + 0.3 * up - 0.3 * down))
 
 
-def _overlaps(a: Span, spans: list[Span]) -> bool:
-    return any(a[1] < e and s < a[2] for _, s, e in spans)
+def overlapping(spans: list[Span], others: list[Span]) -> list[bool]:
+    """Of each span, whether it overlaps any of the others: by bisection, as those that start before it ends reach so far."""
+    rest = sorted((s, e) for _, s, e in others)
+    reach = list(accumulate((e for _, e in rest), max))
+    out = []
+    for _, s, e in spans:
+        k = bisect_left(rest, (e, -1))
+        out.append(k > 0 and reach[k - 1] > s)
+    return out
 
 
 def ibans(text: str) -> list[Span]:
@@ -151,7 +160,7 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
                     if 16 <= len(g[0]) <= 19 and luhn(g[0]):
                         found.append(("part", m.start() + g.start(), m.start() + g.end()))
     found += [("ident", *m.span()) for m in _IDENT.finditer(text)]
-    return [f for f in found if (f[0] == "iban" or not _overlaps(f, base)) and score(text, f) >= THRESHOLD]
+    return [f for f, over in zip(found, overlapping(found, base)) if (f[0] == "iban" or not over) and score(text, f) >= THRESHOLD]
 
 
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
@@ -196,7 +205,11 @@ def redact_text(text: str) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with personal data in text replaced and n_chars, where there is such a column, counted anew. Null texts stay null."""
+    """docs with personal data in text replaced and n_chars, where there is such a column, counted anew. Null texts stay null. Extra columns may have any names."""
+    return with_plain_names(docs, _redact)
+
+
+def _redact(docs: DataFrame) -> DataFrame:
     cols = docs.columns
     rest = [c for c in cols if c != "text"]
 
