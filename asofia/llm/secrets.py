@@ -4,7 +4,8 @@ Kinds, in the order in which they are listed:
 
 - assign, access, hex: the base patterns, leftmost and non-overlapping per kind; failing matches are dropped.
 - jwt: a signed token: header and payload decode from base64url to JSON objects, the header names an algorithm.
-- key: base64 or hex (a PEM body, line breaks allowed, or a bare run) that decodes to a private key: DER whose nested
+- key: base64 or hex (a PEM body, line breaks or their escapes allowed, lines without armour, or a bare run, of either
+  base64 alphabet) that decodes to a private key: DER whose nested
   lengths add up (PKCS#1, PKCS#8, SEC 1) or an openssh-key-v1 container whose length-prefixed fields add up.
 
 Spans are code points, end exclusive, of the whole match. Nothing here is quadratic: runs are entered at their start
@@ -19,7 +20,9 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -32,8 +35,10 @@ _ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*+[:=
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # a shorter run would fail, and no later start in it is longer
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{12,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]*+")
-_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----([A-Za-z0-9+/=\s]*+)-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\[nr])*+)-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}+={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,80}(?:\r?\n[A-Za-z0-9+/]{40,80}+)*+\r?\n[A-Za-z0-9+/]{1,80}={0,2}")
+_URL64 = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{40,}+={0,2}")
 _LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}+")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"api")
 
@@ -114,26 +119,40 @@ def is_signed_token(candidate: str) -> bool:
 
 
 def _decoded(run: str) -> bytes | None:
-    run = "".join(run.split()).rstrip("=")
+    run = "".join(run.replace("\\n", "").replace("\\r", "").split()).rstrip("=")
     try:
         return base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
     except (ValueError, binascii.Error):
         return None
 
 
+_STANDARD = str.maketrans("-_", "+/")
+
+
+def inside(spans: list[tuple[int, int]], keys: list[tuple[int, int]]) -> list[bool]:
+    """Of each span, whether it lies within one of the keys: by bisection, as those that start no later reach so far."""
+    rest = sorted(keys)
+    reach = list(accumulate((b for _, b in rest), max))
+    out = []
+    for a, b in spans:
+        k = bisect_left(rest, (a + 1,))
+        out.append(k > 0 and reach[k - 1] >= b)
+    return out
+
+
 def confirmed_spans(text: str) -> list[Span]:
     """What structure confirms: signed tokens and private keys."""
     found = [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m[0])] if "." in text else []
     keys: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
         keys += [m.span() for m in _PEM.finditer(text) if (d := _decoded(m[1])) and is_private_key(d)]
-    inside = lambda a, b: any(x <= a and b <= y for x, y in keys)
-    for m in _LONG_HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and not inside(*m.span()) and is_private_key(bytes.fromhex(m[0])):
-            keys.append(m.span())
-    for m in _BASE64.finditer(text):
-        if not inside(*m.span()) and (d := _decoded(m[0])) and is_private_key(d):
-            keys.append(m.span())
+    bare = [m.span() for m in _LONG_HEX.finditer(text) if len(m[0]) % 2 == 0]
+    keys += [(a, b) for (a, b), known in zip(bare, inside(bare, keys)) if not known and is_private_key(bytes.fromhex(text[a:b]))]
+    for pattern in (_WRAPPED, _BASE64, _URL64):
+        bare = [m.span() for m in pattern.finditer(text)] if pattern is not _WRAPPED or "\n" in text else []
+        for (a, b), known in zip(bare, inside(bare, keys)):
+            if not known and (d := _decoded(text[a:b] if pattern is not _URL64 else text[a:b].translate(_STANDARD))) and is_private_key(d):
+                keys.append((a, b))
     return found + [("key", *s) for s in keys]
 
 
@@ -150,7 +169,7 @@ def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     return base, sorted(base + confirmed_spans(text), key=order)
 
 
-_SUSPECT = re.compile(r"[0-9a-f]{16}|AKIA|[A-Za-z0-9+/]{40}|[A-Za-z0-9_-]{12}\.[A-Za-z0-9_-]{2}|[0-9A-Fa-f]{64}").search
+_SUSPECT = re.compile(r"[0-9a-f]{16}|AKIA|[A-Za-z0-9+/]{40}|[A-Za-z0-9_-]{12}\.[A-Za-z0-9_-]{2}|[0-9A-Fa-f]{64}|[A-Za-z0-9_-]{40}").search
 
 
 def joined(spans: list[Span]) -> str:
