@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from asofia.llm.common import append_columns, table
+from asofia.llm.common import append_columns, table, with_plain_names
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_lines", "n_distinct", "n_upper", "n_marks")
@@ -220,7 +220,4 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """docs, all its columns, without the rejected rows. Null texts are rejected, as they have no words."""
-    cols = docs.columns
-    renamed = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(cols)], F.col("text").alias("text"))
-    kept = judge(renamed, rules, [f"_k{i}" for i in range(len(cols))]).filter("kept")
-    return kept.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(cols)])
+    return with_plain_names(docs, lambda d: judge(d, rules, d.columns).filter("kept").select(*d.columns))

@@ -29,7 +29,7 @@ def odd(df):
     """The same with columns whose names clash with what operators compute."""
     from pyspark.sql import functions as F
 
-    clash = ["start", "length", "n_words", "kept", "rule", "spans", "scores", "hash", "node", "root", "links", "block", "kind", "part", "row", "_key", "ids", "total", "shard", "score", "rank", "digest", "first", "copies"]
+    clash = ["start", "length", "n_words", "kept", "rule", "spans", "scores", "hash", "node", "root", "links", "block", "kind", "part", "row", "_key", "ids", "total", "shard", "score", "rank", "digest", "first", "copies", "_null", "_text", "dotted.name", "_hash", "_print", "_words", "_text_kept", "_asofia_row", "_doc", "x0", "weight", "a`tick"]
     return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(clash) if c not in df.columns])
 
 
