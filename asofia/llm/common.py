@@ -89,6 +89,12 @@ def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions_for(df: DataFrame, each: int) -> int:
+    """As many partitions as keep about so many bytes of df's files each, by the optimizer's own estimate, or the session's setting if that is more."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(n_partitions(df.sparkSession), size // each if size < 1 << 55 else 0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
