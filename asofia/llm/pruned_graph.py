@@ -1,11 +1,14 @@
 """5. Nearest neighbours by inner product on robust-pruned directed graphs, one a shard.
 
-Rows are dealt to shards by hash. A shard's task adds its vectors in batches that double in size: a greedy beam search
+Rows are dealt to shards by hash, of SHARD_ROWS each or fewer if the session has tasks for more; each shard is one task's.
+That task adds its vectors in batches that double in size: a greedy beam search
 on the graph so far proposes neighbours for a whole batch at once, robust pruning with the relaxed factor ALPHA keeps
 diverse edges, and reverse edges are added and pruned alike. Inner products become distances by one more component,
-sqrt(M^2 - |x|^2) with M the shard's largest norm. The graphs are written to the shared folder. Queries go to every
-shard in blocks, beam-search it from its entry point, and the best WIDTH of each shard are scored again in double
-precision on the original vectors; the best k over all shards stay, ties to the smaller vec_id.
+sqrt(M^2 - |x|^2) with M the shard's largest norm. The graphs are written to the shared folder, and so are the queries,
+once, in blocks. A task then takes a tile of some shards and some blocks: it reads each graph and each block, beam-searches
+every query from the shard's entry point, scores the best WIDTH again in double precision on the original vectors and
+keeps the best k over its shards, so just k rows a query and tile are shuffled. The best k over all tiles stay, ties to
+the smaller vec_id.
 
 The index is approximate; recall against brute force is measured in tests (0.9 at least). Every row is indexed. A
 vector that is null, empty, zero, holds a null or non-finite component, or has another length than most takes no part,
@@ -26,12 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from asofia.llm.common import materialise, n_partitions, read_file, struct, table, work_dir, write_file
+from asofia.llm.common import filesystem, materialise, n_partitions, read_file, struct, table, work_dir, write_file
 
 DEGREE, BEAM, ALPHA = 32, 64, 1.2
 QUERY_BEAM = 160
 WIDTH = 48
-SHARD_ROWS, BLOCK_ROWS = 16_384, 2_048
+#: Rows of a shard, at most and at least; queries of a block; shards and blocks of a tile at most.
+SHARD_ROWS, LEAST_ROWS, BLOCK_ROWS, TILE_SHARDS, TILE_BLOCKS = 65_536, 8_192, 512, 8, 128
 BATCH = 512
 EXPAND = 4
 
@@ -183,7 +187,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int = 20, shard_rows: int = SHARD_ROWS, width: int = WIDTH, beam: int = QUERY_BEAM) -> DataFrame:
+def _runs(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows come sorted by a column: each of its values with all its rows."""
+    held: list[pa.RecordBatch] = []
+    now = None
+    for b in batches:
+        s = b.column(by).to_numpy()
+        edges = np.flatnonzero(np.diff(s)) + 1
+        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(s)]):
+            if i == j:
+                continue
+            if held and s[i] != now:
+                yield now, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            now = int(s[i])
+            held.append(b.slice(i, j - i))
+    if held:
+        yield now, pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int = 20, shard_rows: int = SHARD_ROWS, least_rows: int = LEAST_ROWS, width: int = WIDTH, beam: int = QUERY_BEAM) -> DataFrame:
     """query_id, rank, vec_id, score for the rows whose vec_id is divisible by every, against all rows."""
     spark = rows.sparkSession
     out = T.StructType([*struct("query_id long, rank int, vec_id long, score double")])
@@ -191,16 +214,12 @@ def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int =
     n = stored.count()
     if not n:
         return spark.createDataFrame([], out)
-    shards, folder, parts = -(-n // shard_rows), work_dir(spark, "graphs"), n_partitions(spark)
-    dealt = stored.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).repartition(min(shards, parts), "shard").sortWithinPartitions("shard", "row")
+    folder, parts = work_dir(spark, "graphs"), n_partitions(spark)
+    shards = max(-(-n // shard_rows), min(parts, -(-n // least_rows)))
+    dealt = stored.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")).repartitionById(shards, F.col("shard")).sortWithinPartitions("row")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        now = None
-
-        def close() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held.clear()
+        for now, t in _runs(batches, "shard"):
             v, point = np.unique(_matrix(t.column("v")), axis=0, return_inverse=True)
             vec_id, row, point = t.column("vec_id").to_numpy(), t.column("row").to_numpy(), point.ravel()
             order = np.lexsort((row, vec_id, point))
@@ -208,57 +227,78 @@ def search(rows: DataFrame, vector: str = "embedding", k: int = 20, every: int =
             sink = io.BytesIO()
             np.savez(sink, vectors=v, points=g.points, edges=g.edges, entry=np.array(g.entry), vec_id=vec_id[order], row=row[order], first=np.searchsorted(point[order], np.arange(len(v) + 1)))
             write_file(f"{folder}/{now}.npz", [sink.getvalue()])
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32())], ["shard"])
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32())], ["shard"])
 
-        for b in batches:
-            s = b.column("shard").to_numpy()
-            edges = np.flatnonzero(np.diff(s)) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(s)]):
-                if i == j:
-                    continue
-                if held and s[i] != now:
-                    yield close()
-                now = int(s[i])
-                held.append(b.slice(i, j - i))
-        if held:
-            yield close()
-
-    made = materialise(dealt.mapInArrow(index, struct("shard int")), "shards")
+    made = materialise(dealt.mapInArrow(index, struct("shard int")), "shards").count()  # before any search
     queries = stored.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-queries.count() // BLOCK_ROWS))
-    cut = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int"))
-    asked = cut.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    asked = asked.join(made, "shard", "left_semi").repartition(parts, "shard", "block").sortWithinPartitions("shard", "block")
+    cut = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")).repartition(min(blocks, parts), "block").sortWithinPartitions("block", "row")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for now, t in _runs(batches, "block"):
+            sink = io.BytesIO()
+            np.savez(sink, v=_matrix(t.column("v")), row=t.column("row").to_numpy(), vec_id=t.column("vec_id").to_numpy())
+            write_file(f"{folder}/block-{now}.npz", [sink.getvalue()])
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32())], ["block"])
+
+    asked = sorted(r.block for r in materialise(cut.mapInArrow(keep, struct("block int")), "blocks").collect()) if made else []  # a number a block, not its rows
+    high = max(1, min(TILE_SHARDS, shards * len(asked) // (4 * parts)))
+    wide = max(1, min(TILE_BLOCKS, shards * len(asked) // (4 * parts * high)))
+    across = -(-len(asked) // wide)
+    tiles = spark.range(0, -(-shards // high) * across, 1, max(1, min(4 * parts, -(-shards // high) * across)))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded: dict[int, tuple] = {}
         for b in batches:
-            shard = b.column("shard").to_numpy()
-            edges = np.flatnonzero(np.diff(shard)) + 1
-            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(shard)]):
-                if i == j:
-                    continue
-                s = int(shard[i])
-                if s not in loaded:
-                    z = np.load(io.BytesIO(read_file(f"{folder}/{s}.npz")))
-                    loaded = {s: (Graph(z["points"], z["edges"], int(z["entry"])), z["vectors"], z["vec_id"], z["row"], z["first"])}
-                g, vectors, vec_id, row, first = loaded[s]
-                for a in range(i, j, 256):
-                    part = b.slice(a, min(256, j - a))
-                    q, own, ids = _matrix(part.column("v")), part.column("row").to_numpy(), part.column("vec_id").to_numpy()
-                    found, score = nearest(g, vectors, q, min(width, len(vectors)), beam)
-                    r, c = np.nonzero(found >= 0)
-                    point = found[r, c]
-                    n = np.minimum(first[point + 1] - first[point], k + 1)
-                    r, value = np.repeat(r, n), np.repeat(score[r, c], n)
-                    m = np.repeat(first[point] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    ok = row[m] != own[r]
-                    r, m, value = r[ok], m[ok], value[ok]
-                    yield pa.RecordBatch.from_arrays([pa.array(own[r]), pa.array(ids[r]), pa.array(vec_id[m]), pa.array(value), pa.array(row[m])], ["own", "query_id", "vec_id", "score", "row"])
-
-    hits = asked.select("shard", "block", "row", "vec_id", "v").mapInArrow(ask, struct("own long, query_id long, vec_id long, score double, row long"))
-    best = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row")
-    return hits.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for tile in b.column(0).to_pylist():
+                s, x = tile // across * high, tile % across * wide
+                best: dict[int, list[np.ndarray]] = {}
+                for shard in range(s, min(s + high, shards)):
+                    if not (graph := _graph(f"{folder}/{shard}.npz")):
+                        continue
+                    for block in asked[x : x + wide]:
+                        z = np.load(io.BytesIO(read_file(f"{folder}/block-{block}.npz")))
+                        for a in range(0, len(z["row"]), 256):
+                            new = _hits(graph, z["v"][a : a + 256], z["row"][a : a + 256], z["vec_id"][a : a + 256], k, width, beam)
+                            held = best.get(a << 32 | block)
+                            best[a << 32 | block] = _top(new if held is None else [np.concatenate(c) for c in zip(held, new)], k)
+                for cols in best.values():
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["own", "query_id", "vec_id", "score", "row"])
+
+    hits = tiles.mapInArrow(ask, struct("own long, query_id long, vec_id long, score double, row long"))
+    first = Window.partitionBy("own").orderBy(F.desc("score"), "vec_id", "row")
+    return hits.withColumn("rank", F.row_number().over(first).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _graph(uri: str) -> tuple | None:
+    """Graph, vectors, ids, rows, and where each point's rows begin; None for a shard that got no rows."""
+    fs, path = filesystem(uri)
+    if not fs.get_file_info(path).is_file:
+        return None
+    z = np.load(io.BytesIO(read_file(uri)))
+    return Graph(z["points"], z["edges"], int(z["entry"])), z["vectors"], z["vec_id"], z["row"], z["first"]
+
+
+def _hits(graph: tuple, q: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, width: int, beam: int) -> list[np.ndarray]:
+    """own, query_id, vec_id, score, row of what one shard has for some queries."""
+    g, vectors, vec_id, row, first = graph
+    found, score = nearest(g, vectors, q, min(width, len(vectors)), beam)
+    r, c = np.nonzero(found >= 0)
+    point = found[r, c]
+    n = np.minimum(first[point + 1] - first[point], k + 1)
+    r, value = np.repeat(r, n), np.repeat(score[r, c], n)
+    m = np.repeat(first[point] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    ok = row[m] != own[r]
+    r, m, value = r[ok], m[ok], value[ok]
+    return [own[r], ids[r], vec_id[m], value, row[m]]
+
+
+def _top(cols: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The best k of each query."""
+    own, _, vec_id, score, row = cols
+    order = np.lexsort((row, vec_id, -score, own))
+    start = np.flatnonzero(np.diff(own[order], prepend=own[order][:1] - 1))
+    place = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
+    return [c[order[place < k]] for c in cols]
 
 
 def op5_pruned_graph(spark, sf_dir: str) -> DataFrame:

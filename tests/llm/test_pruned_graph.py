@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from asofia.llm import pruned_graph as G
 
@@ -19,10 +20,11 @@ def brute(rows, k=20, every=20):
     return out
 
 
-def test_recall_and_scores(spark):
+@pytest.mark.parametrize("shards", [1, 3, 12])
+def test_recall_and_scores(spark, shards):
     rng = np.random.default_rng(2)
     rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(3000, 24)) * rng.uniform(0.5, 2, (3000, 1)))]
-    got = G.search(odd(vectors(spark, [(i, v, 0) for i, v in rows])), shard_rows=1100).collect()
+    got = G.search(odd(vectors(spark, [(i, v, 0) for i, v in rows])), shard_rows=-(-3000 // shards), least_rows=3000).collect()
     want, found = brute(rows), {}
     for r in sorted(got, key=lambda r: r.rank):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -33,6 +35,18 @@ def test_recall_and_scores(spark):
     assert np.mean([len({j for j, _ in found[q]} & {j for j, _ in want[q][0]}) / 20 for q in want]) >= 0.9
 
 
+def test_tiles(spark, monkeypatch):
+    """Several shards and blocks a tile give the rows of one each."""
+    rng = np.random.default_rng(4)
+    df = vectors(spark, [(k, v.tolist(), 0) for k, v in enumerate(rng.normal(size=(900, 8)))])
+    monkeypatch.setattr(G, "BLOCK_ROWS", 4)
+    fine = sorted(map(tuple, G.search(df, shard_rows=60, least_rows=60).collect()))
+    for shards, blocks in ((1, 1), (3, 2)):
+        monkeypatch.setattr(G, "TILE_SHARDS", shards)
+        monkeypatch.setattr(G, "TILE_BLOCKS", blocks)
+        assert sorted(map(tuple, G.search(df, shard_rows=60, least_rows=60).collect())) == fine
+
+
 def test_awkward_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (3, [0.5, 0.5]), (4, [0.5, 0.5]), (5, None), (6, []), (7, [0.0, 0.0]), (8, [nan, 1.0]), (9, [inf, 1.0]), (10, [None, 1.0]), (11, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (40, [nan, 1.0]), (3, [0.5, 0.5]), (-20, [-1.0, 0.0])]
