@@ -93,7 +93,7 @@ def pack(fields: list[tuple[str, str]], cols: dict[str, np.ndarray], text: bytes
     """Column after column, places as differences, then text, compressed."""
     n = len(cols["at"])
     parts = [np.diff(cols["at"], prepend=np.uint32(0)) if name == "at" else cols[name] for name, _ in fields]
-    return np.uint32(n).tobytes() + zstandard.ZstdCompressor(1).compress(b"".join([*(np.ascontiguousarray(x, k).tobytes() for x, (_, k) in zip(parts, fields)), text]))
+    return np.uint32(n).tobytes() + zstandard.ZstdCompressor(3).compress(b"".join([*(np.ascontiguousarray(x, k).tobytes() for x, (_, k) in zip(parts, fields)), text]))
 
 
 def unpack(fields: list[tuple[str, str]], blobs: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
@@ -120,6 +120,17 @@ def _view(data: np.ndarray, kind: str) -> np.ndarray:
     return np.ndarray((max(len(data) - 7, 0),), kind, data.data if len(data) else b"", 0, (1,))
 
 
+def _inside(size: np.ndarray) -> np.ndarray:
+    return np.arange(LONG) < size.astype(np.int64)[:, None]
+
+
+def padded(text: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Strings one after the other, each padded with zeros to LONG."""
+    out = np.zeros((len(size), LONG), np.uint8)
+    out[_inside(size)] = text
+    return out.ravel()
+
+
 class Block:
     """Documents one after the other: their bytes, where each starts, and their ids."""
 
@@ -182,12 +193,10 @@ class Block:
         return {"h": h[place] >> _U(_PLACE), "g": g, "doc": self.doc[doc], "at": (at + a).astype(np.uint32), "size": size.astype(np.uint8), "off": (place - at).astype(np.uint8)}
 
     def text(self, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """size bytes from each place, padded with zeros to LONG."""
+        """size bytes from each place, one string after the other."""
         if self.padded is None:
             self.padded = np.concatenate([self.data, np.zeros(LONG, np.uint8)])
-        out = np.lib.stride_tricks.sliding_window_view(self.padded, LONG)[at]
-        out[np.arange(LONG) >= size.astype(np.int64)[:, None]] = 0
-        return out
+        return np.lib.stride_tricks.sliding_window_view(self.padded, LONG)[at][_inside(size)]
 
     def windows(self, at: np.ndarray, size: np.ndarray) -> dict[str, np.ndarray]:
         """The windows of phrases, with a hash."""
@@ -447,7 +456,7 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
             c, sizes, text = unpack(_PHRASE if kind == "phrases" else _WINDOW, [x for _, x in mine])
             block = np.repeat(np.array([k for k, _ in mine]), sizes)
             if kind == "phrases":
-                which, begin, size = repeats(c, text)
+                which, begin, size = repeats(c, padded(text, c["size"].astype(np.uint32) + np.uint32(SPAN - 1)))
             else:
                 view = _view(text, ">u8")
                 d = c["doc"].astype(np.int64)

@@ -104,7 +104,7 @@ def pieces(docs, per_block, mix, monkeypatch):
         c = b.phrases()
         repeat, alone, stands = b.combined(c["g"], c["at"], c["size"].astype(int) + 49, c["doc"])
         i = np.flatnonzero(alone)
-        sent.append(P.take(c, i)), number.append(np.full(len(i), k)), texts.append(b.text(c["at"][i], c["size"][i].astype(int) + 49).ravel())
+        sent.append(P.take(c, i)), number.append(np.full(len(i), k)), texts.append(P.padded(b.text(c["at"][i], c["size"][i].astype(int) + 49), c["size"][i].astype(int) + 49))
         twin = np.flatnonzero(~repeat & ~alone)
         gone.append((np.stack([c["at"][repeat], c["size"][repeat].astype(int) + 49]).astype(int), c["at"][twin].astype(int), c["at"][stands[twin]].astype(int), c["size"][twin].astype(int)))
     c, number = {n: np.concatenate([x[n] for x in sent]) for n in sent[0]}, np.concatenate(number)
