@@ -180,17 +180,19 @@ def segment_lines(text: Column, words: str = "부문|매출|비중", most: int =
 
 
 def share_of(segment_list: Column, name: Column) -> Column:
-    """A named segment's share: by its key, else by containment either way; different shares for one name are missing."""
+    """A named segment's share: by its key, else by containment of name or path either way; different shares for one name, or a key of one character, are missing."""
     key = segment_key
     exact = F.filter(segment_list, lambda s: key(s["name"]) == key(name))
-    near = F.filter(segment_list, lambda s: key(s["name"]).contains(key(name)) | key(name).contains(key(s["name"])))
-    shares = F.array_distinct(F.transform(F.when(F.size(exact) > 0, exact).otherwise(near), lambda s: s["share"]))
-    return F.when(F.size(shares) == 1, shares[0])
+    meets = lambda c: (F.length(key(c)) >= 2) & (key(c).contains(key(name)) | key(name).contains(key(c)))
+    near = F.transform(F.filter(segment_list, lambda s: meets(s["name"]) | meets(s["path"])), lambda s: s["share"])
+    alike = F.when((F.size(near) > 0) & (F.array_max(near) - F.array_min(near) < 1e-9), near[0])
+    return F.when(F.length(key(name)) >= 2, F.when(F.size(exact) > 0, exact[0]["share"]).otherwise(alike))
 
 
 def pack_hash(ticker: Column, business: Column, segments_text: Column, disclosures: Column) -> Column:
-    """Of what an evidence pack says, not of prices; 32 hex digits."""
-    return F.substring(F.sha2(F.concat_ws("\0", F.coalesce(ticker, F.lit("")), F.coalesce(business, F.lit("")), F.coalesce(segments_text, F.lit("")), disclosures), 256), 1, 32)
+    """Of what an evidence pack says, not of prices: every part ended by NUL; 32 hex digits."""
+    ended = [x for p in (ticker, business, segments_text, disclosures) for x in (F.coalesce(p, F.lit("")), F.lit("\0"))]
+    return F.substring(F.sha2(F.concat(*ended), 256), 1, 32)
 
 
 def evidence(filings: DataFrame, budget: int = 12_000) -> DataFrame:

@@ -96,7 +96,9 @@ def _reasons(df: DataFrame, flags: list[str], min_cap: float | None, sectors: li
             raise GuardError("no column with a market capitalisation")
         out.append(F.when(~hit(F.col(have[0]) >= min_cap), F.lit("below_min_market_cap_or_missing")))
     if sectors is not None:
-        out.append(F.when(~hit(F.col("sector_code").isin(*sectors)), F.lit("sector_not_included")))
+        if "sector_code" not in df.columns:
+            raise GuardError("an allow-list of sectors needs sector_code")
+        out.append(F.when(~hit(F.col("sector_code").isin(*sectors)), F.lit("sector_not_in_scope")))
     return F.array_compact(F.array(*out))
 
 

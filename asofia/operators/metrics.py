@@ -8,32 +8,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asofia.functions.nulls import hit, ratio, zero
+from asofia.operators import periods
 from asofia.operators.periods import FLOWS
+from asofia.operators.pit import fixed_basis
 
 TAX = 0.22
 FIN = ("BANK", "INSURANCE", "SECURITIES", "OTHER_FIN")
 INSTANTS = tuple("ASSETS ASSETS_CURRENT BORROWINGS_LONG BORROWINGS_SHORT CASH_AND_EQUIV EQUITY_CONTROLLING EQUITY_TOTAL LIABILITIES_CURRENT".split())
-ANNUALS = ("DPS", "DIV_YIELD_REPORTED", "PAYOUT_RATIO", "DIV_TOTAL_REPORTED", "OWNER_STAKE_PCT")
+#: Element of a year's report -> column.
+ANNUALS = {"DPS": "dps", "DIV_YIELD_REPORTED": "div_yield_pct", "PAYOUT_RATIO": "payout_pct", "DIV_TOTAL_REPORTED": "dividend_total_reported_m", "OWNER_STAKE_PCT": "owner_stake_pct"}
+MASTER = ("name", "sector_code", "is_financial", "is_holding", "fiscal_month", "is_spac", "is_reit", "is_preferred")
+STATUS_FLAGS = ("admin_issue", "audit_opinion_bad_admin")
 STALE_DAYS = 200
 CAP_LIMIT = 2e15
 
 
+_TTM = {"NET_INCOME": "net_income_ttm_total"}
+
+
 class MetricsError(ValueError):
     pass
 
 
 def fact_pivot(facts: DataFrame) -> DataFrame:
-    """One row a ticker from its visible facts in one grouped pass: balances, annual values and the latest period of each flow.
+    """One row a ticker from facts that are already as of a date: twelve months of each flow, growth of revenue and operating
+    income, the last balances (consolidated before separate), the last annual values (whatever their basis), the last report.
 
-    facts: already as of a date and of one basis. Flows come as the newest FY and, if newer, the rolled cumulative value.
+    Partitioned by ticker once: windows and both groupings within it need no further shuffle.
     """
+    rows = facts.repartition("ticker")
+    flow = periods.flows(rows)
+    pick = lambda e, c: F.max_by(c, F.when(F.col("element") == e, 1))
+    wide = [pick(e, "ttm").alias(f"{_TTM.get(e, e.lower() + '_ttm')}") for e in sorted(FLOWS)] + [pick("NET_INCOME_CONTROLLING", "ttm_reason").alias("ttm_reason"), pick("CFO", "ttm_reason").alias("cfo_ttm_reason")]
+    for short, e in (("rev", "REVENUE"), ("op", "OPERATING_INCOME")):
+        wide += [pick(e, c).alias(f"{short}_{c}") for c in ("growth_fy", "growth_q", "delta_fy", "delta_q", "turnaround", "growth_reason")]
+    flow = flow.groupBy("ticker").agg(*wide)
+    balances = fixed_basis(rows.filter((F.col("period_type") == "INSTANT") & F.col("element").isin(*INSTANTS)), ["ticker", "element"])
     order = F.struct("fiscal_end_date", "reported_at", "fact_id")
 
-    def last(condition: Column, value: str = "value") -> Column:
-        return F.max_by(F.when(condition, F.col(value)), F.when(condition & F.col(value).isNotNull(), order))
+    def last(e: str, value: str) -> Column:
+        return F.max_by(value, F.when((F.col("element") == e) & F.col("value").isNotNull(), order))
+
+    balance = balances.groupBy("ticker").agg(*[last(e, "value").alias(e.lower()) for e in INSTANTS], last("EQUITY_CONTROLLING", "statement_basis").alias("equity_basis"))
+    fy = F.col("period_type") == "FY"
+    annual = rows.groupBy("ticker").agg(*[F.max_by("value", F.when(fy & (F.col("element") == e) & F.col("value").isNotNull(), order)).alias(c) for e, c in ANNUALS.items()], F.max("reported_at").alias("last_reported"))
+    return annual.join(flow, "ticker", "left").join(balance, "ticker", "left")
+
 
-    is_ = lambda e, t: (F.col("element") == e) & (F.col("period_type") == t)
-    return facts.groupBy("ticker").agg(*[last(is_(e, "INSTANT")).alias(e.lower()) for e in INSTANTS], *[last(is_(e, "FY")).alias(e.lower()) for e in ANNUALS], *[last(is_(e, "FY")).alias(f"{e.lower()}_fy") for e in sorted(FLOWS)], F.max("reported_at").alias("last_reported"))
+def assemble(facts: DataFrame, prices: DataFrame, master: DataFrame, as_of: date, status: DataFrame | None = None) -> DataFrame:
+    """The derived metrics and flags of every priced ticker. facts: already as of as_of; prices: one row a ticker; status: as of as_of."""
+    own = [c for c in ("close", "market_cap_common", "market_cap_total", "shares_common", "adtv_20d") if c in prices.columns]
+    treasury = [F.col("treasury_shares").alias("shares_treasury")] if "treasury_shares" in prices.columns else []
+    wide = prices.select("ticker", *own, *treasury).join(fact_pivot(facts), "ticker", "left")
+    kinds = {"name": "string", "sector_code": "string", "fiscal_month": "int"}
+    listed = master.select("ticker", *[F.col(c) if c in master.columns else F.lit(None).cast(kinds.get(c, "boolean")).alias(c) for c in MASTER])
+    return add_flags(derive(wide).join(listed, "ticker", "left").withColumn("as_of", F.lit(as_of)), as_of, status)
 
 
 def derive(wide: DataFrame) -> DataFrame:
@@ -42,11 +71,16 @@ def derive(wide: DataFrame) -> DataFrame:
     df = wide.withColumns({c: F.lit(None).cast("double") for c in need if c not in wide.columns})
     c = F.col
     df = df.withColumns({
-        "net_income_ttm": F.coalesce("net_income_controlling_ttm", "net_income_ttm_total"), "used_total_income": c("net_income_controlling_ttm").isNull() & c("net_income_ttm_total").isNotNull(),
+        "net_income_ttm": F.coalesce("net_income_controlling_ttm", "net_income_ttm_total"), "ni_fallback_used": c("net_income_controlling_ttm").isNull() & c("net_income_ttm_total").isNotNull(), "equity_fallback_used": c("equity_controlling").isNull() & c("equity_total").isNotNull(),
         "equity_used": F.coalesce("equity_controlling", "equity_total"), "market_cap_used": F.coalesce("market_cap_total", "market_cap_common"),
-        "capex_unmapped": c("capex_ppe_ttm").isNull() & c("capex_intangible_ttm").isNull(), "net_cash": zero(c("cash_and_equiv")) - zero(c("borrowings_short")) - zero(c("borrowings_long")),
+        "net_cash": zero(c("cash_and_equiv")) - zero(c("borrowings_short")) - zero(c("borrowings_long")),
     })
-    df = df.withColumn("fcf", F.when(~c("capex_unmapped"), c("cfo_ttm") - (zero(F.abs("capex_ppe_ttm")) + zero(F.abs("capex_intangible_ttm")))))
+    if "ttm_reason" in df.columns:
+        df = df.withColumn("ttm_reason", F.when(c("ni_fallback_used"), "fallback:total").otherwise(c("ttm_reason")))
+    if "op_turnaround" in df.columns:  # a base of zero or less is a loss in operating income, missing data in revenue
+        df = df.withColumn("turnaround", hit(c("op_turnaround")))
+    spent = c("capex_ppe_ttm").isNotNull() | c("capex_intangible_ttm").isNotNull()
+    df = df.withColumn("fcf", F.when(spent, c("cfo_ttm") - (zero(F.abs("capex_ppe_ttm")) + zero(F.abs("capex_intangible_ttm")))))
     invested = c("equity_total") - c("net_cash")
     implied = F.when((c("dps") > 0) & (c("div_yield_pct") >= 0.1), c("dps") / (c("div_yield_pct") / 100))
     total = c("dps") * (c("shares_common") - zero(c("shares_treasury")))
@@ -62,25 +96,37 @@ def derive(wide: DataFrame) -> DataFrame:
     })
 
 
-#: The order matters: what a financial company has no meaning for is blanked last.
-FLAGS = ["capital_impairment", "negative_earnings", "market_cap_implausible", "pbr_implausible", "dividend_data_impossible", "market_cap_inconsistent", "price_dividend_inconsistent", "stale_financials", "financials_missing", "ttm_incomplete", "oneoff_profit_suspect", "per_op_divergence", "minority_interest_large", "financial_sector"]
+FLAGS = [
+    "capital_impairment", "negative_earnings", "market_cap_implausible", "pbr_implausible", "dividend_data_impossible", "market_cap_inconsistent", "price_dividend_inconsistent", "stale_financials", "financials_missing", "ttm_incomplete", "oneoff_profit_suspect",
+    "per_op_divergence", "minority_interest_large", "capex_unmapped", "ni_fallback_used", "equity_fallback_used", "cfs_missing_used_ofs", "non_standard_fiscal_month", "unmapped_industry", "financial_sector", "holding_company",
+]
 
 
-def add_flags(df: DataFrame, as_of: date) -> DataFrame:
+def add_flags(df: DataFrame, as_of: date, status: DataFrame | None = None) -> DataFrame:
+    """Hard and soft flags. status (ticker, status), as of as_of, sets the STATUS_FLAGS; without it those that df has are kept, others are
+    false, and status_source_missing says so. What a financial company has no meaning for is blanked last."""
     c = F.col
-    have = {n: F.lit(None).cast(k) for n, k in (("sector_code", "string"), ("last_reported", "date"), ("ttm_reason", "string"), ("net_income_ttm_total", "double"), ("equity_total", "double")) if n not in df.columns}
+    kinds = {"sector_code": "string", "last_reported": "date", "ttm_reason": "string", "equity_basis": "string", "fiscal_month": "int", "is_holding": "boolean", "dps": "double", "div_yield_pct": "double"}
+    have = {n: F.lit(None).cast(k) for n, k in kinds.items() if n not in df.columns}
     df = df.withColumns(have) if have else df
-    financial = hit(c("sector_code").isin(*FIN))
-    impossible = hit((c("div_yield_pct") > 20) | (c("dps") > c("close"))) if "dps" in df.columns else F.lit(False)
+    empty = status is None or status.isEmpty()
+    if not empty:
+        found = status.filter(F.col("status").isin(*STATUS_FLAGS)).groupBy("ticker").agg(*[F.bool_or(F.col("status") == f).alias(f) for f in STATUS_FLAGS])
+        df = df.drop(*STATUS_FLAGS).join(found, "ticker", "left")
+    df = df.withColumns({f: hit(c(f)) if f in df.columns else F.lit(False) for f in STATUS_FLAGS} | {"status_source_missing": F.lit(empty)})
+    financial = hit(c("is_financial")) if "is_financial" in df.columns else hit(c("sector_code").isin(*FIN))
+    impossible = hit(c("div_yield_pct") > 20) | hit(c("dps") > c("close"))
     days = F.datediff(F.lit(as_of), "last_reported")
-    minority = ratio(c("net_income_ttm_total") - c("net_income_controlling_ttm"), c("net_income_ttm_total"))
+    minority = ratio(c("equity_total") - c("equity_used"), c("equity_total"))
     flagged = df.withColumns({
         "capital_impairment": hit(c("equity_used") <= 0), "negative_earnings": hit(c("net_income_ttm") <= 0), "market_cap_implausible": hit(c("market_cap_used") > CAP_LIMIT),
         "pbr_implausible": hit((c("pbr") > 200) | ((c("pbr") > 0) & (c("pbr") < 0.02))), "dividend_data_impossible": impossible,
         "market_cap_inconsistent": hit((c("pbr") > 0) & (c("pbr") < 0.15) & (c("psr") > 0) & (c("psr") < 0.08)) & ~financial,
         "price_dividend_inconsistent": hit((c("price_divergence") > 5) | (c("price_divergence") < 0.2)) & ~impossible,
         "stale_financials": F.coalesce(days > STALE_DAYS, F.lit(True)), "financials_missing": c("ttm_reason").isNull(), "ttm_incomplete": hit(c("ttm_reason").startswith("incomplete")),
-        "oneoff_profit_suspect": hit(c("net_income_ttm") > 1.5 * c("operating_income_ttm")), "per_op_divergence": hit(ratio(c("per_op"), c("per")) > 3), "minority_interest_large": hit(minority > 0.2), "financial_sector": financial,
+        "oneoff_profit_suspect": hit(c("net_income_ttm") > 1.5 * c("operating_income_ttm")), "per_op_divergence": hit(ratio(c("per_op"), c("per")) > 3), "minority_interest_large": hit(minority > 0.2),
+        "capex_unmapped": c("fcf").isNull() & c("cfo_ttm").isNotNull(), "cfs_missing_used_ofs": hit(c("equity_basis") == "OFS"), "non_standard_fiscal_month": hit(c("fiscal_month") != 12), "unmapped_industry": c("sector_code").isNull(),
+        "financial_sector": financial, "holding_company": hit(c("is_holding")), **{f: hit(c(f)) for f in ("is_spac", "is_reit", "is_preferred") if f in df.columns},
     })
     return flagged.withColumns({n: F.when(~c("financial_sector"), c(n)) for n in ("fcf", "fcf_yield", "net_cash", "net_cash_to_cap")})
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -19,28 +21,10 @@ def _latest(condition: Column, value: Column) -> Column:
     return F.max_by(F.when(condition, value), F.when(condition, F.struct(*_ORDER)))
 
 
-def _flow(facts: DataFrame, element: str, strict: bool = True) -> DataFrame:
+def _flow(element: str, strict: bool) -> tuple[str, ...]:
     if strict and element not in FLOWS:
         raise ValueError(f"{element} is no flow")
-    rows = facts.filter((F.col("element") == element) & F.col("period_type").isin("FY", "CUM"))
-    return fixed_basis(rows, ["ticker"]).withColumn("_m", F.coalesce("period_months", F.lit(12)))
-
-
-def ttm(facts: DataFrame, element: str, strict: bool = True) -> DataFrame:
-    """ticker, ttm, reason. The latest period decides: a year is taken as it is, m months roll last year's figure forward."""
-    rows = _flow(facts, element, strict)
-    latest = F.max(F.struct(*_ORDER, F.col("fiscal_year").alias("y"), F.col("_m").alias("m"))).over(Window.partitionBy("ticker"))
-    rows = rows.withColumn("_l", latest)
-    y, m = F.col("fiscal_year"), F.col("_m")
-    parts = rows.groupBy("ticker").agg(
-        F.max("_l.y").alias("y"), F.max("_l.m").alias("m"),
-        _latest((y == F.col("_l.y")) & (m == F.col("_l.m")), F.col("value")).alias("now"),
-        _latest((y == F.col("_l.y") - 1) & (m == 12), F.col("value")).alias("year_before"),
-        _latest((y == F.col("_l.y") - 1) & (m == F.col("_l.m")) & (m < 12), F.col("value")).alias("same_before"),
-    )
-    reason = F.when(F.col("m") == 12, "annual").when(F.col("year_before").isNull(), "incomplete:prev_fy").when(F.col("same_before").isNull(), "incomplete:prev_cum").otherwise(F.concat(F.lit("rolled:"), F.col("m").cast("string"), F.lit("m")))
-    value = F.when(F.col("m") == 12, F.col("now")).otherwise(F.col("year_before") - F.col("same_before") + F.col("now"))
-    return parts.select("ticker", value.alias("ttm"), reason.alias("reason"))
+    return (element,)
 
 
 def _change(now: Column, before: Column) -> tuple[Column, Column, Column]:
@@ -48,25 +32,50 @@ def _change(now: Column, before: Column) -> tuple[Column, Column, Column]:
     return rate, now - before, F.coalesce((before <= 0) & (now > 0), F.lit(False))
 
 
-def growth(facts: DataFrame, element: str, strict: bool = True) -> DataFrame:
-    """Year on year, and cumulative months on the same months a year before. No rate on a base of zero or less; the delta always."""
-    rows = _flow(facts, element, strict)
-    w = Window.partitionBy("ticker")
-    fy, cum = F.col("_m") == 12, F.col("_m") < 12
-    rows = rows.withColumn("_fy", F.max(F.when(fy, F.col("fiscal_year"))).over(w)).withColumn("_c", F.max(F.when(cum, F.struct(*_ORDER, F.col("fiscal_year").alias("y"), F.col("_m").alias("m")))).over(w))
+def flows(facts: DataFrame, elements: Iterable[str] = tuple(sorted(FLOWS))) -> DataFrame:
+    """ticker, element: trailing twelve months and growth of every flow in one grouped pass.
+
+    Twelve months: the latest period decides: a year is taken as it is, m months roll last year's figure forward. Growth:
+    year on year, and cumulative months on the same months a year before; no rate on a base of zero or less, the delta
+    always. Consolidated figures of a ticker's element are never mixed with separate ones.
+    """
+    key = ["ticker", "element"]
+    rows = fixed_basis(facts.filter(F.col("element").isin(*elements) & F.col("period_type").isin("FY", "CUM")), key).withColumn("_m", F.coalesce("period_months", F.lit(12)))
+    w = Window.partitionBy(*key)
     y, m = F.col("fiscal_year"), F.col("_m")
-    parts = rows.groupBy("ticker").agg(
-        F.min("statement_basis").alias("basis"),
+    order = F.struct(*_ORDER, y.alias("y"), m.alias("m"))
+    fy, cum = m == 12, m < 12
+    rows = rows.withColumns({"_l": F.max(order).over(w), "_fy": F.max(F.when(fy, y)).over(w), "_c": F.max(F.when(cum, order)).over(w)})
+    parts = rows.groupBy(*key).agg(
+        F.min("statement_basis").alias("basis"), F.max("_l.m").alias("m"),
+        _latest((y == F.col("_l.y")) & (m == F.col("_l.m")), F.col("value")).alias("now"),
+        _latest((y == F.col("_l.y") - 1) & fy, F.col("value")).alias("year_before"),
+        _latest((y == F.col("_l.y") - 1) & (m == F.col("_l.m")) & cum, F.col("value")).alias("same_before"),
         _latest(fy & (y == F.col("_fy")), F.col("value")).alias("f1"), _latest(fy & (y == F.col("_fy") - 1), F.col("value")).alias("f0"),
         _latest(cum & (y == F.col("_c.y")) & (m == F.col("_c.m")), F.col("value")).alias("q1"), _latest(cum & (y == F.col("_c.y") - 1) & (m == F.col("_c.m")), F.col("value")).alias("q0"),
     )
+    reason = F.when(F.col("m") == 12, "annual").when(F.col("year_before").isNull(), "incomplete:prev_fy").when(F.col("same_before").isNull(), "incomplete:prev_cum").otherwise(F.concat(F.lit("rolled:"), F.col("m").cast("string"), F.lit("m")))
+    value = F.when(F.col("m") == 12, F.col("now")).otherwise(F.col("year_before") - F.col("same_before") + F.col("now"))
     rate_f, delta_f, turn_f = _change(F.col("f1"), F.col("f0"))
     rate_q, delta_q, _ = _change(F.col("q1"), F.col("q0"))
     tags = F.array_compact(F.array(
         F.when(F.col("f1").isNull(), "no_fy").when(F.col("f0").isNull(), "no_prev_fy").when(F.col("f0") <= 0, "fy_base_nonpositive"),
         F.when(F.col("q1").isNull(), "no_cum").when(F.col("q0").isNull(), "no_prev_cum").when(F.col("q0") <= 0, "q_base_nonpositive"),
     ))
-    return parts.select("ticker", rate_f.alias("growth_fy"), delta_f.alias("delta_fy"), rate_q.alias("growth_q"), delta_q.alias("delta_q"), turn_f.alias("turnaround"), F.concat("basis", F.lit(":"), F.array_join(tags, "|")).alias("reason"))
+    return parts.select(
+        "ticker", "element", value.alias("ttm"), reason.alias("ttm_reason"), rate_f.alias("growth_fy"), delta_f.alias("delta_fy"), rate_q.alias("growth_q"), delta_q.alias("delta_q"), turn_f.alias("turnaround"),
+        F.concat("basis", F.lit(":"), F.array_join(tags, "|")).alias("growth_reason"),
+    )
+
+
+def ttm(facts: DataFrame, element: str, strict: bool = True) -> DataFrame:
+    """ticker, ttm, reason of one flow."""
+    return flows(facts, _flow(element, strict)).select("ticker", "ttm", F.col("ttm_reason").alias("reason"))
+
+
+def growth(facts: DataFrame, element: str, strict: bool = True) -> DataFrame:
+    """ticker and the growth of one flow."""
+    return flows(facts, _flow(element, strict)).select("ticker", "growth_fy", "delta_fy", "growth_q", "delta_q", "turnaround", F.col("growth_reason").alias("reason"))
 
 
 def latest_annual(facts: DataFrame, element: str) -> DataFrame:

@@ -63,21 +63,32 @@ def disclosures_asof(disclosures: DataFrame, as_of: date, since: date | None = N
 
 
 def listed_asof(master: DataFrame, delistings: DataFrame, as_of: date) -> DataFrame:
-    """Tickers listed at as_of: those alive today that were listed by then, and those delisted later. alive tells which."""
-    day = F.lit(as_of)
-    alive = master.filter(F.col("listing_date").isNull() | (F.col("listing_date") <= day)).select("ticker", F.lit(True).alias("alive"))
-    gone = delistings.filter((F.col("listing_date") <= day) & (F.col("delisting_date") > day)).select("ticker").distinct()
-    return alive.unionByName(gone.join(master.select("ticker"), "ticker", "left_anti").withColumn("alive", F.lit(False)))
+    """Lines listed at as_of: those alive today that were listed by then, and those delisted later. alive tells which.
+
+    A line without a listing date was there from the start. A ticker of the master is alive whatever the delistings say;
+    a line that was delisted twice later counts twice, as the list has it.
+    """
+    by_then = F.col("listing_date").isNull() | (F.col("listing_date") <= F.lit(as_of))
+    more = lambda df, *extra: [F.col(c) if c in df.columns else F.lit(None).cast(k).alias(c) for c, k in (("listing_date", "date"), *extra)]
+    ends = (("delisting_date", "date"), ("outcome", "string"))
+    alive = master.filter(by_then).select("ticker", F.lit(True).alias("alive"), *more(master), *[F.lit(None).cast(k).alias(c) for c, k in ends])
+    gone = delistings.filter(by_then & (F.col("delisting_date") > F.lit(as_of))).join(master.select("ticker"), "ticker", "left_anti")
+    return alive.unionByName(gone.select("ticker", F.lit(False).alias("alive"), *more(delistings, *ends)))
 
 
 def survivorship(master: DataFrame, delistings: DataFrame, facts: DataFrame, as_of: date) -> DataFrame:
-    """One row: how many were listed, how many of them are gone today, and how many of those have facts."""
+    """One row: how many were listed, how many of them are gone today and by which outcome, and how many have facts that were available at as_of."""
     then = listed_asof(master, delistings, as_of)
-    known = facts.select("ticker").distinct().withColumn("has_facts", F.lit(True))
-    counted = then.join(known, "ticker", "left").agg(
-        F.count(F.lit(1)).alias("listed"), F.count_if(F.col("alive")).alias("alive"), F.count_if(~F.col("alive")).alias("gone"), F.count_if(~F.col("alive") & F.col("has_facts").isNotNull()).alias("gone_with_facts")
-    )
-    return counted.withColumn("coverage", F.round(F.try_divide(F.col("gone_with_facts").cast("double"), F.col("gone").cast("double")), 4))
+    known = facts.filter(F.col("available_at") <= F.lit(as_of)).select("ticker").distinct().withColumn("has_facts", F.lit(True))
+    own = then.join(known, "ticker", "left")
+    total = own.groupBy("alive", "outcome").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("k"))
+    seen = own.filter("has_facts").select("ticker").distinct().agg(F.lit(None).cast("boolean").alias("alive"), F.lit(None).cast("string").alias("outcome"), F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("k"))
+    some = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    by = F.array_sort(F.collect_list(F.when(~F.col("alive") & F.col("outcome").isNotNull(), F.struct("outcome", "n"))))  # one entry an outcome
+    whole = total.unionByName(seen).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("listed"), some(F.col("alive")).alias("alive"), some(~F.col("alive")).alias("gone"), by.alias("by"), F.sum("k").alias("with_facts"))
+    outcomes = F.array_join(F.transform("by", lambda o: F.concat(o["outcome"], F.lit(":"), o["n"].cast("string"))), "|")
+    share = F.when(F.col("listed") > 0, F.round(F.col("with_facts") / F.col("listed"), 4)).otherwise(0.0)
+    return whole.select("listed", "alive", "gone", outcomes.alias("outcomes"), "with_facts", (F.col("listed") - F.col("with_facts")).alias("missing"), share.alias("coverage"))
 
 
 def revision_history(facts: DataFrame, element: str | None = None) -> DataFrame:

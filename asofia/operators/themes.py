@@ -94,10 +94,20 @@ def keyword_likeness(keywords: DataFrame, least: float = 0.35) -> DataFrame:
     return both.withColumn("jaccard", F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).filter(F.col("jaccard") >= least).select("a", "b", "jaccard")
 
 
-def escalate(tags: DataFrame) -> DataFrame:
-    """reason, in order: a proposed theme, low confidence, a core role; else null."""
-    a = F.col("assignments")
-    return tags.withColumn("reason", F.when(F.exists(a, lambda x: x["theme_id"].startswith("proposed:")), "proposed_theme").when(F.exists(a, lambda x: x["confidence"] < 0.75), "low_confidence").when(F.exists(a, lambda x: x["role"] == "core"), "core_role"))
+def escalate(tags: DataFrame, confident: float = 0.75, apart: float = 0.2) -> DataFrame:
+    """reason why a result goes to the better model, else null: a newly proposed theme; then the first assignment that gives
+    one: low confidence, a core role, or a claimed revenue share that is far from the segment's (theme_segment_share, by theme)."""
+    named = {f.name for f in tags.schema["assignments"].dataType.elementType.fields}
+
+    def why(x: Column) -> Column:
+        out = F.when(x["confidence"] < confident, "low_confidence").when(x["role"] == "core", "core_assignment")
+        if "theme_segment_share" in tags.columns and "revenue_share_claim" in named:
+            out = out.when(F.abs(x["revenue_share_claim"] - F.try_element_at(F.col("theme_segment_share"), x["theme_id"])) > apart, "share_mismatch")
+        return out
+
+    first = F.try_element_at(F.array_compact(F.transform(F.coalesce("assignments", F.array()), why)), F.lit(1))
+    proposed = F.length(F.coalesce("proposed_new_theme", F.lit(""))) > 0 if "proposed_new_theme" in tags.columns else F.lit(False)
+    return tags.withColumn("reason", F.when(proposed, "proposed_new_theme").otherwise(first))
 
 
 def cache_key(*parts: Column) -> Column:

@@ -2,36 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark.sql.pandas.types import to_arrow_type
+
 from asofia.functions.text import citation_key
+from asofia.operators.documents import share_of
+from asofia.operators.themes import Theme, resolve_sectors
+from asofia.session import spread
 
 LEAST_QUOTE, FUZZY, GAP = 8, 92.0, 0.2
 ROLES = ("peripheral", "adjacent", "core")
 
 
-LONG = 64
-
-
 def _codes(s: str) -> np.ndarray:
     return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _combed(a: str, b: str) -> float:
-    """partial_ratio of a, the shorter, with b: the longest common subsequences of a with every stretch of b from one combing of strands, a diagonal of cells at a time."""
-    n, m = len(a), len(b)
-    x, y = _codes(a)[::-1].copy(), _codes(b)
-    across, down = np.arange(n, dtype=np.int32), np.arange(n, n + m, dtype=np.int32)
-    for d in range(n + m - 1):
-        low, high = max(0, n - 1 - d), min(n, n - 1 - d + m)
-        j = low + d - (n - 1)
-        h, v = across[low:high], down[j : j + high - low]
-        turn = (x[low:high] == y[j : j + high - low]) | (h > v)
-        across[low:high], down[j : j + high - low] = np.where(turn, v, h), np.where(turn, h, v)
+def _combed(pairs: list[tuple[str, str]]) -> list[float]:
+    """partial_ratio of pairs, the shorter first: the longest common subsequences of a with every stretch of b from one
+    combing of strands, a diagonal of cells of all pairs at a time. Rows that a shorter text lacks change nothing."""
+    n, m = np.array([len(a) for a, _ in pairs]), np.array([len(b) for _, b in pairs])
+    rows, cols = int(n.max()), int(m.max())
+    x, y = np.zeros((len(pairs), rows), np.uint32), np.full((len(pairs), cols), 0xFFFFFFFF, np.uint32)
+    for k, (a, b) in enumerate(pairs):
+        x[k, : len(a)], y[k, : len(b)] = _codes(a)[::-1], _codes(b)
+    own = np.arange(rows) < n[:, None]
+    across = np.tile(np.arange(rows, dtype=np.int32), (len(pairs), 1))
+    down = (n[:, None] + np.arange(cols)).astype(np.int32)
+    for d in range(rows + cols - 1):
+        low, high = max(0, rows - 1 - d), min(rows, rows - 1 - d + cols)
+        j = low + d - (rows - 1)
+        h, v = across[:, low:high], down[:, j : j + high - low]
+        turn = ((x[:, low:high] == y[:, j : j + high - low]) | (h > v)) & own[:, low:high]
+        across[:, low:high], down[:, j : j + high - low] = np.where(turn, v, h), np.where(turn, h, v)
+    return [_best(int(a), int(b), down[k, :b]) for k, (a, b) in enumerate(zip(n, m))]
+
+
+def _best(n: int, m: int, down: np.ndarray) -> float:
     end, start = np.arange(m), down - n  # the strand that leaves below at end came in above at start, from the left if negative
     size = np.concatenate([np.arange(1, n), np.full(m - n + 1, n), np.arange(n - 1, 0, -1)])  # of the stretches that begin at 1 - n, 2 - n ...
     inside = (start >= 0) & (end < start + n)
@@ -41,37 +55,69 @@ def _combed(a: str, b: str) -> float:
     return float((200.0 * (size - np.cumsum(change)[: n + m - 1]) / (n + size)).max())
 
 
+#: Pairs combed together; they are alike in length, so little is padded.
+TOGETHER = 48
+
+
+def partial_ratios(pairs: list[tuple[str, str]]) -> list[float]:
+    """100 * the best normalised indel similarity of the shorter text of each pair with a stretch of the longer, as long or cut off by its ends."""
+    ordered = [(a, b) if len(a) <= len(b) else (b, a) for a, b in pairs]
+    out = [100.0 if a and a in b else 0.0 for a, b in ordered]
+    rest = sorted((k for k, (a, b) in enumerate(ordered) if a and not out[k]), key=lambda k: (len(ordered[k][0]) // 16, len(ordered[k][1])))
+    for at in range(0, len(rest), TOGETHER):
+        some = rest[at : at + TOGETHER]
+        for k, value in zip(some, _combed([ordered[k] for k in some])):
+            out[k] = value
+    return out
+
+
 def partial_ratio(a: str, b: str) -> float:
-    """100 * the best normalised indel similarity of the shorter text with a stretch of the longer, as long or cut off by its ends."""
+    return partial_ratios([(a, b)])[0]
+
+
+GRAM = 3
+
+
+def _grams(a: str) -> np.ndarray:
+    x = _codes(a).astype(np.uint64)
+    return x[:-2] << np.uint64(42) | x[1:-1] << np.uint64(21) | x[2:]
+
+
+def may_reach(a: str, b: str, least: float = FUZZY) -> bool:
+    """Whether partial_ratio may be least or more: False only if it can't.
+
+    At a similarity of p the shorter text's n characters and a stretch's differ by at most 2 n (1 - p) insertions and
+    deletions; each spoils at most GRAM of the shorter's grams, and what is left of them stands in the longer text.
+    """
     if len(a) > len(b):
         a, b = b, a
-    if not a:
-        return 0.0
-    if a in b:
-        return 100.0
-    n = len(a)
-    if n > LONG:
-        return _combed(a, b)
-    masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
-    full, best = (1 << n) - 1, 0.0
-    for start in range(1 - n, len(b)):
-        part = b[max(0, start) : start + n]
-        if 2 * len(part) / (n + len(part)) * 100 <= best or part[-1] not in masks and part[0] not in masks:
-            continue
-        s = full
-        for c in part:  # longest common subsequence, a word of bits at a time
-            u = s & masks.get(c, 0)
-            s = (s + u) | (s - u)
-        lcs = n - (s & full).bit_count()
-        best = max(best, 200.0 * lcs / (n + len(part)))
-    return best
+    spoiled = GRAM * int(2 * len(a) * (1 - least / 100) + 1e-9)
+    need = len(a) - GRAM + 1 - spoiled
+    return need <= 0 or int(np.isin(_grams(a), _grams(b)).sum()) >= need
+
+
+def cites(quote: str, source: str) -> bool:
+    """Whether partial_ratio is FUZZY or more; the count of common grams decides where it can."""
+    return quote in source or bool(quote and source) and may_reach(quote, source) and partial_ratio(quote, source) >= FUZZY
 
 
 @F.arrow_udf(T.DoubleType())
 def fuzzy(quote: pa.Array, source: pa.Array) -> pa.Array:
-    return pa.array([partial_ratio(q or "", s or "") for q, s in zip(quote.to_pylist(), source.to_pylist())], pa.float64())
+    return pa.array(partial_ratios([(q or "", s or "") for q, s in zip(quote.to_pylist(), source.to_pylist())]), pa.float64())
+
+
+SOURCES = ("business", "segments", "disclosures")
+
+
+@F.arrow_udf(T.StringType())
+def cited_as(quote: pa.Array, claimed: pa.Array, business: pa.Array, segments: pa.Array, disclosures: pa.Array) -> pa.Array:
+    """The source that holds the quote: the claimed one if it does, else the first that does."""
+    out = []
+    for q, c, *texts in zip(*(x.to_pylist() for x in (quote, claimed, business, segments, disclosures))):
+        have = dict(zip(SOURCES, texts))
+        order = [*(n for n in (c,) if n in have), *(n for n in SOURCES if n != c)]
+        out.append(next((n for n in order if len(q or "") >= LEAST_QUOTE and cites(q, have[n] or "")), None))
+    return pa.array(out, pa.string())
 
 
 def cited_exactly(quote: Column, source: Column) -> Column:
@@ -89,6 +135,57 @@ def verify_citations(rows: DataFrame, quote: str, source: str) -> DataFrame:
     return sure.unionByName(rest).withColumn("cited", F.col("similarity") >= FUZZY).drop("_exact", "_long")
 
 
+def _window_hashes(s: str) -> np.ndarray:
+    """A hash of the LEAST_QUOTE characters from each place on."""
+    x = _codes(s).astype(np.uint64)
+    n = len(x) - LEAST_QUOTE + 1
+    h = np.zeros(max(n, 0), np.uint64)
+    for k in range(LEAST_QUOTE if n > 0 else 0):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : k + n]
+    return h
+
+
+#: Bytes of quotes that a pass sends to the tasks.
+PASS_BYTES = 64_000_000
+
+
+def quoted_items(docs: DataFrame, items: DataFrame, doc: str = "doc_id", item: str = "item_id", pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """(doc, item) wherever a document's text holds an item's, white space apart, of LEAST_QUOTE characters or more: every item against every whole text.
+
+    Items are read in passes of a bounded size. In a pass each document's windows are looked up among the items' first
+    LEAST_QUOTE characters at once, and only what meets is compared, so the cost follows the texts, not texts times items.
+    """
+    keyed = items.select(F.col(item).alias("i"), citation_key(F.col("text")).alias("q")).filter(F.length("q") >= LEAST_QUOTE)
+    size = keyed.agg(F.sum(F.octet_length("q") + 16)).first()[0] or 0
+    passes = max(1, -(-int(size) // pass_bytes))
+    texts = docs.select(F.col(doc).alias("d"), citation_key(F.col("text")).alias("t")).filter(F.length("t") >= LEAST_QUOTE)
+    schema = T.StructType([T.StructField(doc, docs.schema[doc].dataType), T.StructField(item, items.schema[item].dataType)])
+    spark, out = docs.sparkSession, None
+    for k in range(passes):
+        found = sorted((r.q, r.i) for r in keyed.filter(F.pmod(F.xxhash64("q"), F.lit(passes)) == k).collect())  # some pass_bytes
+        heads = np.array([int(_window_hashes(q[:LEAST_QUOTE])[0]) for q, _ in found], np.uint64)
+        order = np.argsort(heads, kind="stable")
+        sent = spark.sparkContext.broadcast((heads[order], [found[i] for i in order]))
+
+        def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            heads, quotes = sent.value
+            firsts = np.unique(heads)
+            for b in batches:
+                rows: list[tuple] = []
+                for d, t in zip(b.column("d").to_pylist(), b.column("t").to_pylist()):
+                    h = _window_hashes(t)
+                    at = np.flatnonzero(np.isin(h, firsts))
+                    held: set = set()
+                    for p, lo, hi in zip(at.tolist(), np.searchsorted(heads, h[at]).tolist(), np.searchsorted(heads, h[at], "right").tolist()):
+                        held.update(k for k in range(lo, hi) if k not in held and t.startswith(quotes[k][0], p))
+                    rows += [(d, quotes[k][1]) for k in sorted(held)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], to_arrow_type(f.dataType)) for c, f in enumerate(schema)], names=schema.names)
+
+        part = spread(texts).mapInArrow(look, schema)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def rank_of(role: Column) -> Column:
     return F.coalesce(F.array_position(F.array(*[F.lit(r) for r in ROLES]), role), F.lit(0)).cast("int")
 
@@ -109,29 +206,59 @@ def merge_assignments(rows: DataFrame, key: str = "ticker", order: str = "pos")
 
 
 def judge(rows: DataFrame) -> DataFrame:
-    """Verdicts over merged rows that carry known, cited, cited_as (source where it was found), sector_code, sector_ok, floor, actual and has_segments, unverified_segments.
+    """Verdicts over merged rows that carry known, cited, cited_as (source where it was found), sector_code, sector_ok, floor, actual, segments (names) and has_segments, unverified_segments.
 
-    Only an unknown theme or a citation found nowhere rejects; the rest are flags and roles.
+    Only an unknown theme or a citation found nowhere rejects; the rest are flags and roles. Flags name what they saw after a colon.
     """
     c = F.col
     known, claim, core = F.coalesce("known", F.lit(False)), F.coalesce("revenue_share_claim", F.lit(0.0)), c("role") == "core"
     low = core & c("floor").isNotNull() & c("actual").isNotNull() & (c("actual") < c("floor"))
     claimed_low = core & c("floor").isNotNull() & c("actual").isNull() & (claim > 0) & (claim < c("floor"))
-    status = F.when(known & F.coalesce("cited", F.lit(False)), "verified").otherwise("rejected")
-    role = F.when(low, F.when(c("actual") >= c("floor") / 2, "adjacent").otherwise("peripheral")).when(claimed_low, "adjacent").otherwise(c("role"))
-    evidence = F.when(c("actual").isNotNull(), F.when(low, "below_floor").otherwise("confirmed")).when(core & (claim == 0), "not_claimed").when(c("has_segments"), "segment_not_found").when(c("unverified_segments"), "segment_unverified").otherwise("unavailable")
+    silent = c("actual").isNull() & core & (claim == 0)
+    verified = known & F.coalesce("cited", F.lit(False))
+    lower = F.when(c("actual") >= c("floor") / 2, "adjacent").otherwise("peripheral")
+    role = F.when(low, lower).when(claimed_low, "adjacent").otherwise(c("role"))
+    evidence = F.when(c("actual").isNotNull(), F.when(low, "below_floor").otherwise("confirmed")).when(silent, "not_claimed").when(c("has_segments"), "not_found").when(c("unverified_segments"), "unverified").otherwise("unavailable")
+    two = lambda x: F.format_string("%.2f", x.cast("double"))
+    names = c("segments") if "segments" in rows.columns else F.array().cast("array<string>")
+    lacking = F.when(c("has_segments"), F.when(F.size(names) > 0, F.concat(F.lit("segment_not_found:"), F.array_join(names, ","))).otherwise("segment_name_missing")).when(c("unverified_segments"), "segment_data_unverified").otherwise("segment_data_unavailable")
     flags = F.array_compact(F.array(
         F.when(c("cited_as") != c("evidence_source"), F.concat(F.lit("citation_source_mismatch:"), c("evidence_source"), F.lit("->"), c("cited_as"))),
         F.when(c("sector_code").isNotNull() & ~c("sector_ok"), "sector_conflict"), F.when(c("sector_code").isNull(), "sector_unknown"),
-        F.when(F.abs(c("actual") - claim) > GAP, "share_claim_gap"), F.when(low, "role_downgraded_by_actual"), F.when(claimed_low, "role_downgraded"), F.when(c("actual").isNull() & core & (claim == 0), "core_without_share_evidence"),
+        F.when(F.abs(c("actual") - claim) > GAP, F.concat(F.lit("share_claim_gap:claim="), two(claim), F.lit("/actual="), two(c("actual")))),
+        F.when(low, F.concat(F.lit("role_downgraded_by_actual:core->"), lower, F.lit("(actual="), two(c("actual")), F.lit("<"), c("floor").cast("string"), F.lit(")"))),
+        F.when(c("actual").isNull(), lacking), F.when(claimed_low, F.concat(F.lit("role_downgraded:core->adjacent(claim="), two(claim), F.lit("<"), c("floor").cast("string"), F.lit(")"))), F.when(silent, "core_without_share_evidence"),
     ))
-    verified = status == "verified"
     return rows.select(
-        "ticker", "theme_id", F.when(verified, role).otherwise(c("role")).alias("role"), status.alias("status"), F.when(~known, "unknown_theme").when(~verified, "hallucinated_citation").alias("reject_reason"), "confidence",
-        F.when(verified, c("actual")).alias("actual_share"), F.when(claim != 0, claim).alias("claimed_share"), F.when(verified, evidence).alias("share_evidence"), F.when(verified, flags).otherwise(F.array().cast("array<string>")).alias("flags"),
+        "ticker", "theme_id", F.when(verified, role).otherwise(c("role")).alias("role"), F.when(verified, "verified").otherwise("rejected").alias("status"), F.when(~known, "unknown_theme").when(~verified, "hallucinated_citation").alias("reject_reason"), "confidence",
+        F.when(verified, c("actual")).alias("actual_share"), F.when(verified & (claim != 0), claim).alias("claimed_share"), F.when(verified, evidence).otherwise("unavailable").alias("share_evidence"), F.when(verified, flags).otherwise(F.array().cast("array<string>")).alias("flags"),
     )
 
 
+def verify_assignments(assignments: DataFrame, packs: DataFrame, taxonomy: list[Theme], universe: set[str]) -> DataFrame:
+    """Verdicts from tagged assignments and evidence, nothing taken on trust: themes are looked up in the taxonomy, quotes in the
+    claimed source and then in any, sectors in the theme's own, and the share is the sum of the segments named that are corroborated.
+
+    assignments: ticker, theme_id, pos, role, confidence, evidence_quote, evidence_source, revenue_share_claim, segment_name, rationale; one
+    row each, merged by ticker and theme first. packs: ticker, sector_code, business, segments_text, disclosures (text), segments
+    (struct of segments and corroborated). Assignments of tickers without a pack are left out.
+    """
+    merged = merge_assignments(assignments).withColumn("evidence_source", F.coalesce("evidence_source", F.lit("business")))
+    c = F.col
+    rows = merged.join(packs.select("ticker", "sector_code", "business", "segments_text", "disclosures", F.col("segments").alias("_s")), "ticker")
+    allowed = F.create_map(*[x for th in taxonomy for x in (F.lit(th.id), F.array(*[F.lit(s) for s in sorted(resolve_sectors(th.sectors, universe))]).cast("array<string>"))])
+    floors = F.create_map(*[x for th in taxonomy for x in (F.lit(th.id), F.lit(th.floor).cast("double"))])
+    found = F.coalesce(F.size("_s.segments") > 0, F.lit(False))
+    sure = found & F.coalesce("_s.corroborated", F.lit(False))
+    shares = F.filter(F.transform("segments", lambda n: share_of(F.col("_s.segments"), n)), lambda s: s.isNotNull())
+    rows = rows.withColumns({
+        "known": c("theme_id").isin(*[th.id for th in taxonomy]), "sector_ok": F.coalesce(F.array_contains(F.try_element_at(allowed, c("theme_id")), c("sector_code")), F.lit(False)), "floor": F.try_element_at(floors, c("theme_id")),
+        "cited_as": cited_as(citation_key(c("evidence_quote")), c("evidence_source"), citation_key(c("business")), citation_key(c("segments_text")), citation_key(c("disclosures"))),
+        "has_segments": sure, "unverified_segments": found & ~sure, "actual": F.when(sure & (F.size(shares) > 0), F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)),
+    })
+    return judge(rows.withColumn("cited", c("cited_as").isNotNull()))
+
+
 def verification_metrics(verdicts: DataFrame) -> DataFrame:
     """kind, name, n: statuses, evidence and flags by what stands before their colon."""
     flags = verdicts.select(F.explode("flags").alias("f")).select(F.lit("flag").alias("kind"), F.split("f", ":")[0].alias("name"))

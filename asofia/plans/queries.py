@@ -100,23 +100,30 @@ def fact_id_hash(spark, d):
     return o.select("o_orderkey", pit.fact_id(F.col("o_custkey"), F.col("o_orderpriority"), F.to_date("o_orderdate"), F.lit("INSTANT"), F.lit("CFS"), F.col("o_orderkey")).alias("fact_id"))
 
 
-_LISTS = """spans AS (SELECT CAST(o_custkey AS VARCHAR) AS ticker, CAST(min(o_orderdate) AS DATE) AS listing_date, CAST(max(o_orderdate) AS DATE) AS last FROM orders GROUP BY 1), delistings AS (SELECT ticker, listing_date, last AS delisting_date FROM spans WHERE last < DATE '2000-01-01'),
-  master AS (SELECT ticker, listing_date FROM spans WHERE last >= DATE '2000-01-01'), then_ AS (SELECT ticker, true AS alive FROM master WHERE listing_date <= {0} UNION ALL SELECT ticker, false FROM delistings WHERE listing_date <= {0} AND delisting_date > {0})""".format(DAY)
+_LISTS = """spans AS (SELECT CAST(o_custkey AS VARCHAR) AS ticker, CASE WHEN o_custkey % 10 <> 3 THEN CAST(min(o_orderdate) AS DATE) END AS listing_date, CAST(max(o_orderdate) AS DATE) AS last, CASE o_custkey % 3 WHEN 0 THEN 'merged' WHEN 1 THEN 'failed' ELSE 'other' END AS outcome FROM orders GROUP BY o_custkey),
+  delistings AS (SELECT ticker, listing_date, last AS delisting_date, outcome FROM spans WHERE last < DATE '2000-01-01' OR ticker LIKE '%7'), master AS (SELECT ticker, listing_date FROM spans WHERE last >= DATE '2000-01-01'),
+  then_ AS (SELECT ticker, true AS alive, listing_date, CAST(NULL AS VARCHAR) AS outcome FROM master WHERE listing_date IS NULL OR listing_date <= {0}
+  UNION ALL SELECT ticker, false, listing_date, outcome FROM delistings WHERE delisting_date > {0} AND (listing_date IS NULL OR listing_date <= {0}) AND ticker NOT IN (SELECT ticker FROM master))""".format(DAY)
 
 
 def _lists(spark, d):
-    s = t(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("ticker")).agg(F.to_date(F.min("o_orderdate")).alias("listing_date"), F.to_date(F.max("o_orderdate")).alias("last"))
+    """Some have no listing date, and some of those listed today are on the list of delistings too."""
+    k = F.col("o_custkey")
+    s = t(spark, d, "orders").groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last"))
+    s = s.select(k.cast("string").alias("ticker"), F.when(k % 10 != 3, F.col("first")).alias("listing_date"), "last", F.when(k % 3 == 0, "merged").when(k % 3 == 1, "failed").otherwise("other").alias("outcome"))
     edge = F.lit(date(2000, 1, 1))
-    return s.filter(F.col("last") >= edge).select("ticker", "listing_date"), s.filter(F.col("last") < edge).select("ticker", "listing_date", F.col("last").alias("delisting_date"))
+    return s.filter(F.col("last") >= edge).select("ticker", "listing_date"), s.filter((F.col("last") < edge) | F.col("ticker").like("%7")).select("ticker", "listing_date", F.col("last").alias("delisting_date"), "outcome")
 
 
 @query(f"WITH {_LISTS} SELECT * FROM then_")
 def listed_asof(spark, d):
-    return pit.listed_asof(*_lists(spark, d), AS_OF)
+    return pit.listed_asof(*_lists(spark, d), AS_OF).select("ticker", "alive", "listing_date", "outcome")
 
 
-@query(f"""WITH {_LISTS}, known AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ticker FROM orders WHERE o_orderpriority = '1-URGENT') SELECT count(*) AS listed, count(*) FILTER (alive) AS alive, count(*) FILTER (NOT alive) AS gone, count(*) FILTER (NOT alive AND k.ticker IS NOT NULL) AS gone_with_facts,
-  round(count(*) FILTER (NOT alive AND k.ticker IS NOT NULL) / CAST(nullif(count(*) FILTER (NOT alive), 0) AS DOUBLE), 4) AS coverage FROM then_ t LEFT JOIN known k ON k.ticker = t.ticker""")
+@query(f"""WITH {_LISTS}, known AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS ticker FROM orders WHERE o_orderpriority = '1-URGENT' AND CAST(o_orderdate AS DATE) + 1 <= {DAY}),
+  n AS (SELECT count(*) AS listed, count(*) FILTER (alive) AS alive, count(*) FILTER (NOT alive) AS gone, (SELECT count(*) FROM known WHERE ticker IN (SELECT ticker FROM then_)) AS with_facts FROM then_),
+  o AS (SELECT coalesce(string_agg(outcome || ':' || n, '|' ORDER BY outcome), '') AS outcomes FROM (SELECT outcome, count(*) AS n FROM then_ WHERE NOT alive GROUP BY 1))
+  SELECT listed, alive, gone, outcomes, with_facts, listed - with_facts AS missing, CASE WHEN listed > 0 THEN round(with_facts / CAST(listed AS DOUBLE), 4) ELSE 0.0 END AS coverage FROM n, o""")
 def survivorship_report(spark, d):
     return pit.survivorship(*_lists(spark, d), facts(spark, d).filter("element = '1-URGENT'"), AS_OF)
 
@@ -199,7 +206,7 @@ def companies(spark, d) -> DataFrame:
     )
     c, bal = F.col, F.col("s_acctbal")
     return t(spark, d, "supplier").join(s, c("s_suppkey") == c("l_suppkey"), "left").select(
-        c("s_suppkey").cast("string").alias("ticker"), F.when(c("s_nationkey") < 5, "BANK").otherwise("MACHINERY").alias("sector_code"), "revenue_ttm", "operating_income_ttm", F.when(bal > 0, c("ni")).alias("net_income_controlling_ttm"), (c("ni") - bal).alias("net_income_ttm_total"),
+        c("s_suppkey").cast("string").alias("ticker"), F.when(c("s_nationkey") < 5, "BANK").otherwise("MACHINERY").alias("sector_code"), "revenue_ttm", "operating_income_ttm", F.when(bal > 0, c("ni")).alias("net_income_controlling_ttm"), F.when((bal <= -500) | (bal > -300), c("ni") - bal).alias("net_income_ttm_total"),
         F.when(bal > 500, c("operating_income_ttm") + bal).alias("cfo_ttm"), F.when(bal > 1000, bal).alias("capex_ppe_ttm"), F.lit(None).cast("double").alias("capex_intangible_ttm"), (c("quantity") * 1000).alias("assets"), (c("quantity") * 400 + bal * 1000).alias("equity_total"),
         F.when(bal > 2000, c("quantity") * 300).alias("equity_controlling"), (bal * 10).alias("cash_and_equiv"), F.when(bal < 5000, c("lines") * 100).alias("borrowings_short"), F.lit(None).cast("double").alias("borrowings_long"), (c("quantity") * 500).alias("assets_current"), F.when(bal > 0, c("lines") * 200).alias("liabilities_current"),
         F.when(bal > -500, c("lines") * 20000 + bal).alias("market_cap_total"), (c("lines") * 9000).alias("market_cap_common"), (c("lines") + 10).alias("close"), F.lit(1000.0).alias("shares_common"), F.when(bal > 3000, F.lit(60.0)).alias("shares_treasury"), F.when(bal > 1500, bal / 1000).alias("dps"), F.when(bal > 1500, c("quantity") / 10000).alias("div_yield_pct"),
@@ -209,10 +216,10 @@ def companies(spark, d) -> DataFrame:
 
 _COMPANIES = """s AS (SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue_ttm, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(l_discount AS DECIMAL(4, 2))) AS DOUBLE) AS op, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2)) * CAST(l_tax AS DECIMAL(4, 2))) AS DOUBLE) AS ni,
   CAST(sum(CAST(l_quantity AS DECIMAL(18, 2))) AS DOUBLE) AS quantity, CAST(max(l_shipdate) AS DATE) AS last_reported, CAST(count(*) AS DOUBLE) AS lines FROM lineitem GROUP BY 1),
-  w AS (SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CASE WHEN s_nationkey < 5 THEN 'BANK' ELSE 'MACHINERY' END AS sector_code, revenue_ttm, op AS operating_income_ttm, CASE WHEN s_acctbal > 0 THEN ni END AS ni_c, ni - s_acctbal AS ni_t, CASE WHEN s_acctbal > 500 THEN op + s_acctbal END AS cfo_ttm,
+  w AS (SELECT CAST(s_suppkey AS VARCHAR) AS ticker, CASE WHEN s_nationkey < 5 THEN 'BANK' ELSE 'MACHINERY' END AS sector_code, revenue_ttm, op AS operating_income_ttm, CASE WHEN s_acctbal > 0 THEN ni END AS ni_c, CASE WHEN s_acctbal <= -500 OR s_acctbal > -300 THEN ni - s_acctbal END AS ni_t, CASE WHEN s_acctbal > 500 THEN op + s_acctbal END AS cfo_ttm,
   CASE WHEN s_acctbal > 1000 THEN s_acctbal END AS capex_ppe_ttm, quantity * 1000 AS assets, quantity * 400 + s_acctbal * 1000 AS equity_total, CASE WHEN s_acctbal > 2000 THEN quantity * 300 END AS equity_controlling, s_acctbal * 10 AS cash, CASE WHEN s_acctbal < 5000 THEN lines * 100 END AS short, quantity * 500 AS assets_current,
   CASE WHEN s_acctbal > 0 THEN lines * 200 END AS liabilities_current, CASE WHEN s_acctbal > -500 THEN lines * 20000 + s_acctbal END AS cap_total, lines * 9000 AS cap_common, lines + 10 AS close, CASE WHEN s_acctbal > 3000 THEN 60.0 END AS treasury, CASE WHEN s_acctbal > 1500 THEN s_acctbal / 1000 END AS dps,
-  CASE WHEN s_acctbal > 1500 THEN quantity / 10000 END AS div_yield_pct, last_reported, CASE WHEN s_acctbal > 0 THEN 'annual' WHEN s_acctbal > -500 THEN 'incomplete:prev_fy' END AS ttm_reason, s_acctbal < -800 AS admin_issue, revenue_ttm / 100 + s_acctbal AS adtv_20d FROM supplier LEFT JOIN s ON s_suppkey = l_suppkey),
+  CASE WHEN s_acctbal > 1500 THEN quantity / 10000 END AS div_yield_pct, last_reported, CASE WHEN s_acctbal <= 0 AND (s_acctbal <= -500 OR s_acctbal > -300) AND ni IS NOT NULL THEN 'fallback:total' WHEN s_acctbal > 0 THEN 'annual' WHEN s_acctbal > -500 THEN 'incomplete:prev_fy' END AS ttm_reason, s_acctbal < -800 AS admin_issue, revenue_ttm / 100 + s_acctbal AS adtv_20d FROM supplier LEFT JOIN s ON s_suppkey = l_suppkey),
   x AS (SELECT *, coalesce(ni_c, ni_t) AS net_income_ttm, coalesce(equity_controlling, equity_total) AS equity_used, coalesce(cap_total, cap_common) AS cap, CASE WHEN capex_ppe_ttm IS NOT NULL THEN cfo_ttm - (coalesce(abs(capex_ppe_ttm), 0) + 0) END AS fcf, coalesce(cash, 0) - coalesce(short, 0) - 0 AS net_cash FROM w),
   m AS (SELECT *, cap / nullif(net_income_ttm, 0) AS per, cap / nullif(equity_used, 0) AS pbr, cap / nullif(operating_income_ttm, 0) AS per_op, cap / nullif(revenue_ttm, 0) AS psr, net_income_ttm / nullif(equity_used, 0) AS roe, fcf / nullif(cap, 0) AS fcf_yield, net_cash / nullif(cap, 0) AS net_cash_to_cap,
   CASE WHEN revenue_ttm > 0 THEN operating_income_ttm / revenue_ttm END AS op_margin, (assets - equity_total) / nullif(equity_total, 0) AS debt_ratio, assets_current / nullif(liabilities_current, 0) AS current_ratio, CASE WHEN equity_total - net_cash > 0 THEN operating_income_ttm * (1 - 0.22) / (equity_total - net_cash) END AS roic,
@@ -234,7 +241,8 @@ _MDAY = date(2001, 12, 1)
 _FLAGS = f"""f AS (SELECT *, coalesce(equity_used <= 0, false) AS capital_impairment, coalesce(net_income_ttm <= 0, false) AS negative_earnings, coalesce(cap > 2e15, false) AS market_cap_implausible, coalesce(pbr > 200 OR (pbr > 0 AND pbr < 0.02), false) AS pbr_implausible,
   coalesce(div_yield_pct > 20 OR dps > close, false) AS dividend_data_impossible, coalesce(pbr > 0 AND pbr < 0.15 AND psr > 0 AND psr < 0.08, false) AND sector_code <> 'BANK' AS market_cap_inconsistent,
   coalesce(price_divergence > 5 OR price_divergence < 0.2, false) AND NOT coalesce(div_yield_pct > 20 OR dps > close, false) AS price_dividend_inconsistent, coalesce(DATE '{_MDAY}' - last_reported > 200, true) AS stale_financials, ttm_reason IS NULL AS financials_missing, coalesce(starts_with(ttm_reason, 'incomplete'), false) AS ttm_incomplete,
-  coalesce(net_income_ttm > 1.5 * operating_income_ttm, false) AS oneoff_profit_suspect, coalesce(per_op / nullif(per, 0) > 3, false) AS per_op_divergence, coalesce((ni_t - ni_c) / nullif(ni_t, 0) > 0.2, false) AS minority_interest_large, sector_code = 'BANK' AS financial_sector FROM m)"""
+  coalesce(net_income_ttm > 1.5 * operating_income_ttm, false) AS oneoff_profit_suspect, coalesce(per_op / nullif(per, 0) > 3, false) AS per_op_divergence, coalesce((equity_total - equity_used) / nullif(equity_total, 0) > 0.2, false) AS minority_interest_large, fcf IS NULL AND cfo_ttm IS NOT NULL AS capex_unmapped, ni_c IS NULL AND ni_t IS NOT NULL AS ni_fallback_used,
+  equity_controlling IS NULL AND equity_total IS NOT NULL AS equity_fallback_used, false AS cfs_missing_used_ofs, false AS non_standard_fiscal_month, sector_code IS NULL AS unmapped_industry, sector_code = 'BANK' AS financial_sector, false AS holding_company FROM m)"""
 
 
 def flagged(spark, d) -> DataFrame:
@@ -256,6 +264,87 @@ def null_rates(spark, d):
     return metrics.null_rates(wide(spark, d), list(RATIOS)).select("name", F.round("rate", 6).alias("rate"))
 
 
+# metrics from long facts: segments of a nation's customers as companies, their orders by quarter as filings
+_FLOW = {"REVENUE": (1, 0), "OPERATING_INCOME": (0.3, 1.2), "NET_INCOME": (0.2, 0.9), "NET_INCOME_CONTROLLING": (0.15, 0.7), "CFO": (0.25, 0.8), "CAPEX_PPE": (0.05, 0)}
+_BALANCE = {"ASSETS": (3, 0), "EQUITY_TOTAL": (1, 1.5), "EQUITY_CONTROLLING": (0.7, 1.1), "ASSETS_CURRENT": (0.9, 0), "LIABILITIES_CURRENT": (0.5, 0.1), "CASH_AND_EQUIV": (0.2, 0), "BORROWINGS_SHORT": (0.1, 0.2)}
+_LACK = {"NET_INCOME_CONTROLLING": 3, "CAPEX_PPE": 4, "EQUITY_CONTROLLING": 5, "BORROWINGS_SHORT": 6}  # nations whose number is divisible by this don't report it
+
+
+def long_facts(spark, d) -> DataFrame:
+    o = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    q = o.groupBy("c_nationkey", "c_mktsegment", F.year("o_orderdate").alias("fiscal_year"), F.quarter("o_orderdate").alias("q")).agg(F.sum(price).alias("v"), F.coalesce(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", price)), F.lit(0)).cast("decimal(28,2)").alias("w"))
+    run = Window.partitionBy("c_nationkey", "c_mktsegment", "fiscal_year").orderBy("q")
+    both = q.withColumns({"cv": F.sum("v").over(run).cast("decimal(28,2)"), "cw": F.sum("w").over(run).cast("decimal(28,2)")})
+    n, fy = F.col("c_nationkey"), F.col("q") == 4
+
+    def lines(which: dict, v: str, w: str, kind, months) -> list:
+        return [F.when((n % _LACK[e] != 0) if e in _LACK else F.lit(True), F.struct(F.lit(e).alias("element"), (F.col(v) * F.lit(a).cast("decimal(4,2)") - F.col(w) * F.lit(b).cast("decimal(4,2)")).cast("double").alias("value"), kind.alias("period_type"), months.alias("period_months"))) for e, (a, b) in which.items()]
+
+    null = F.lit(None).cast("int")
+    dps = F.when(fy & (n % 7 != 0), F.struct(F.lit("DPS").alias("element"), (F.col("cw") / 10000).cast("double").alias("value"), F.lit("FY").alias("period_type"), null.alias("period_months")))
+    every = F.array_compact(F.array(*lines(_FLOW, "cv", "cw", F.when(fy, "FY").otherwise("CUM"), F.col("q") * 3), *lines(_BALANCE, "v", "w", F.lit("INSTANT"), null), dps))
+    end = dates.fiscal_end(F.col("fiscal_year"), F.col("q") * 3)
+    rows = both.select(F.concat_ws("-", n, F.substring("c_mktsegment", 1, 1)).alias("ticker"), "fiscal_year", "q", end.alias("fiscal_end_date"), F.when(n % 8 == 0, "OFS").otherwise("CFS").alias("statement_basis"), F.explode(every).alias("x"))
+    return rows.select("ticker", "x.*", "fiscal_year", "fiscal_end_date", "statement_basis", F.date_add("fiscal_end_date", 45).alias("reported_at"), F.date_add("fiscal_end_date", 46).alias("available_at"), F.concat_ws("-", "ticker", "x.element", "fiscal_year", "q").alias("fact_id"))
+
+
+def _lines_sql(which: dict, v: str, w: str, kind: str, months: str) -> str:
+    return " UNION ALL ".join(f"SELECT ticker, n, y, q, fe, '{e}' AS element, CAST({v} * CAST({a} AS DECIMAL(4, 2)) - {w} * CAST({b} AS DECIMAL(4, 2)) AS DOUBLE) AS value, {kind} AS pt, {months} AS m FROM seen" + (f" WHERE n % {_LACK[e]} <> 0" if e in _LACK else "") for e, (a, b) in which.items())
+
+
+def _one(e: str, what: str) -> str:
+    return f"max({what}) FILTER (element = '{e}')"
+
+
+_LONG = f"""q AS (SELECT c_nationkey AS n, c_mktsegment AS g, year(o_orderdate) AS y, quarter(o_orderdate) AS q, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(28, 2)) AS v, CAST(coalesce(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (o_orderpriority = '1-URGENT'), 0) AS DECIMAL(28, 2)) AS w
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4), run AS (SELECT n || '-' || substring(g, 1, 1) AS ticker, *, CAST(sum(v) OVER (PARTITION BY n, g, y ORDER BY q) AS DECIMAL(28, 2)) AS cv, CAST(sum(w) OVER (PARTITION BY n, g, y ORDER BY q) AS DECIMAL(28, 2)) AS cw, last_day(make_date(y, q * 3, 1)) AS fe FROM q),
+  seen AS (SELECT * FROM run WHERE fe + 46 <= {DAY}), fl AS ({_lines_sql(_FLOW, "cv", "cw", "CASE WHEN q = 4 THEN 'FY' ELSE 'CUM' END", "q * 3")}), ins AS ({_lines_sql(_BALANCE, "v", "w", "'INSTANT'", "NULL")}),
+  lt AS (SELECT ticker, element, arg_max(y, fe) AS y, arg_max(m, fe) AS m FROM fl GROUP BY 1, 2),
+  tt AS (SELECT l.ticker, l.element, CASE WHEN l.m = 12 THEN a.value ELSE b.value - c.value + a.value END AS ttm, CASE WHEN l.m = 12 THEN 'annual' WHEN b.value IS NULL THEN 'incomplete:prev_fy' WHEN c.value IS NULL THEN 'incomplete:prev_cum' ELSE 'rolled:' || l.m || 'm' END AS reason
+    FROM lt l JOIN fl a ON a.ticker = l.ticker AND a.element = l.element AND a.y = l.y AND a.m = l.m LEFT JOIN fl b ON b.ticker = l.ticker AND b.element = l.element AND b.y = l.y - 1 AND b.m = 12 LEFT JOIN fl c ON c.ticker = l.ticker AND c.element = l.element AND c.y = l.y - 1 AND c.m = l.m AND l.m < 12),
+  fy AS (SELECT ticker, element, max(y) AS y FROM fl WHERE m = 12 GROUP BY 1, 2), cu AS (SELECT ticker, element, arg_max(y, fe) AS y, arg_max(m, fe) AS m FROM fl WHERE m < 12 GROUP BY 1, 2),
+  gr AS (SELECT k.ticker, k.element, f1.value AS f1, f0.value AS f0, q1.value AS q1, q0.value AS q0 FROM (SELECT DISTINCT ticker, element FROM fl WHERE element IN ('REVENUE', 'OPERATING_INCOME')) k LEFT JOIN fy ON fy.ticker = k.ticker AND fy.element = k.element LEFT JOIN fl f1 ON f1.ticker = k.ticker AND f1.element = k.element AND f1.y = fy.y AND f1.m = 12
+    LEFT JOIN fl f0 ON f0.ticker = k.ticker AND f0.element = k.element AND f0.y = fy.y - 1 AND f0.m = 12 LEFT JOIN cu ON cu.ticker = k.ticker AND cu.element = k.element LEFT JOIN fl q1 ON q1.ticker = k.ticker AND q1.element = k.element AND q1.y = cu.y AND q1.m = cu.m LEFT JOIN fl q0 ON q0.ticker = k.ticker AND q0.element = k.element AND q0.y = cu.y - 1 AND q0.m = cu.m),
+  gw AS (SELECT ticker, {", ".join(f"{_one(e, 'CASE WHEN f0 > 0 THEN (f1 - f0) / f0 END')} AS {p}_growth_fy, {_one(e, 'CASE WHEN q0 > 0 THEN (q1 - q0) / q0 END')} AS {p}_growth_q, {_one(e, 'f1 - f0')} AS {p}_delta_fy" for p, e in (("rev", "REVENUE"), ("op", "OPERATING_INCOME")))}, coalesce(bool_or(f0 <= 0 AND f1 > 0) FILTER (element = 'OPERATING_INCOME'), false) AS turnaround FROM gr GROUP BY 1),
+  tw AS (SELECT ticker, {", ".join(f"{_one(e, 'ttm')} AS {e.lower()}" for e in _FLOW)}, {_one("NET_INCOME_CONTROLLING", "reason")} AS reason FROM tt GROUP BY 1), lb AS (SELECT ticker, element, arg_max(value, fe) AS value FROM ins GROUP BY 1, 2), bw AS (SELECT ticker, {", ".join(f"{_one(e, 'value')} AS {e.lower()}" for e in _BALANCE)} FROM lb GROUP BY 1),
+  dp AS (SELECT ticker, arg_max(CAST(cw / 10000 AS DOUBLE), fe) AS dps FROM seen WHERE q = 4 AND n % 7 <> 0 GROUP BY 1), rep AS (SELECT ticker, max(fe + 45) AS last FROM seen GROUP BY 1),
+  cc AS (SELECT c_nationkey AS n, c_nationkey || '-' || substring(c_mktsegment, 1, 1) AS ticker, count(*) AS k FROM customer GROUP BY 1, 2),
+  pw AS (SELECT cc.ticker, n, CAST(k * 1000 AS DOUBLE) AS close, CAST(k * 90000000 AS DOUBLE) AS cap_common, CASE WHEN n % 9 <> 0 THEN CAST(k * 100000000 AS DOUBLE) END AS cap_total, CAST(k * 1000 AS DOUBLE) AS shares, CASE WHEN n % 2 = 0 THEN CAST(k * 30 AS DOUBLE) END AS treasury, CASE WHEN n < 4 THEN 'BANK' WHEN n < 20 THEN 'MACHINERY' END AS sector_code, reason, revenue, operating_income, cfo, capex_ppe, dps, last,
+    net_income_controlling AS ni_c, net_income AS ni_t, equity_controlling AS eq_c, equity_total AS eq_t, assets, assets_current, liabilities_current, cash_and_equiv, borrowings_short, rev_growth_fy, rev_growth_q, rev_delta_fy, op_growth_fy, op_growth_q, op_delta_fy, coalesce(turnaround, false) AS turnaround
+    FROM cc LEFT JOIN tw ON tw.ticker = cc.ticker LEFT JOIN gw ON gw.ticker = cc.ticker LEFT JOIN bw ON bw.ticker = cc.ticker LEFT JOIN dp ON dp.ticker = cc.ticker LEFT JOIN rep ON rep.ticker = cc.ticker),
+  p1 AS (SELECT *, coalesce(ni_c, ni_t) AS ni, coalesce(eq_c, eq_t) AS eq, coalesce(cap_total, cap_common) AS cap, CASE WHEN capex_ppe IS NOT NULL THEN cfo - abs(capex_ppe) END AS fcf, coalesce(cash_and_equiv, 0) - coalesce(borrowings_short, 0) AS net_cash FROM pw)"""
+_MET = ("net_income_ttm", "per", "pbr", "op_margin", "roe", "debt_ratio", "roic", "accrual_ratio", "div_yield", "rev_growth_fy", "rev_growth_q", "rev_delta_fy", "op_growth_fy", "op_growth_q", "op_delta_fy")
+
+
+def from_facts(spark, d) -> DataFrame:
+    n = F.col("c_nationkey")
+    c = t(spark, d, "customer").groupBy("c_nationkey", F.concat_ws("-", n, F.substring("c_mktsegment", 1, 1)).alias("ticker")).agg(F.count(F.lit(1)).cast("double").alias("k"))
+    k = F.col("k")
+    prices_ = c.select("ticker", (k * 1000).alias("close"), (k * 90_000_000).alias("market_cap_common"), F.when(n % 9 != 0, k * 100_000_000).alias("market_cap_total"), (k * 1000).alias("shares_common"), F.when(n % 2 == 0, k * 30).alias("treasury_shares"))
+    master = c.select("ticker", F.when(n < 4, "BANK").when(n < 20, "MACHINERY").alias("sector_code"), (n < 4).alias("is_financial"), (n == 10).alias("is_holding"), F.when(n == 11, 3).otherwise(12).alias("fiscal_month"))
+    status = c.select("ticker", F.when(n % 6 == 2, "admin_issue").when(n % 6 == 3, "audit_opinion_bad_admin").otherwise("other").alias("status"), F.when(n < 15, F.lit(date(1997, 1, 1))).otherwise(F.lit(date(1999, 1, 1))).alias("effective_from"), F.lit("r").alias("reason"), F.lit(date(1999, 6, 1)).alias("snapshot_date"))
+    return metrics.assemble(pit.facts_asof(long_facts(spark, d), AS_OF), prices_, master, AS_OF, pit.status_asof(status, AS_OF))
+
+
+@query(f"""WITH {_LONG} SELECT ticker, CASE WHEN ni_c IS NULL AND ni_t IS NOT NULL THEN 'fallback:total' ELSE reason END AS ttm_reason, round(ni, 4) AS net_income_ttm, round(cap / nullif(ni, 0), 6) AS per, round(cap / nullif(eq, 0), 6) AS pbr, round(CASE WHEN revenue > 0 THEN operating_income / revenue END, 6) AS op_margin, round(ni / nullif(eq, 0), 6) AS roe,
+  round((assets - eq_t) / nullif(eq_t, 0), 6) AS debt_ratio, round(CASE WHEN eq_t - net_cash > 0 THEN operating_income * (1 - 0.22) / (eq_t - net_cash) END, 6) AS roic, round((ni - cfo) / nullif(assets, 0), 6) AS accrual_ratio, round(dps / nullif(close, 0), 6) AS div_yield, round(CASE WHEN NOT n < 4 THEN fcf END, 4) AS fcf,
+  round(rev_growth_fy, 6) AS rev_growth_fy, round(rev_growth_q, 6) AS rev_growth_q, round(rev_delta_fy, 6) AS rev_delta_fy, round(op_growth_fy, 6) AS op_growth_fy, round(op_growth_q, 6) AS op_growth_q, round(op_delta_fy, 6) AS op_delta_fy, turnaround, last AS last_reported FROM p1""")
+def metrics_from_facts(spark, d):
+    m = from_facts(spark, d)
+    return m.select("ticker", "ttm_reason", *[F.round(c, 4 if c == "net_income_ttm" else 6).alias(c) for c in _MET], F.round("fcf", 4).alias("fcf"), "turnaround", "last_reported")
+
+
+_STATUS_FLAGS = ("admin_issue", "audit_opinion_bad_admin", "status_source_missing", "capital_impairment", "negative_earnings", "minority_interest_large", "capex_unmapped", "ni_fallback_used", "equity_fallback_used", "cfs_missing_used_ofs", "non_standard_fiscal_month", "unmapped_industry", "financial_sector", "holding_company", "financials_missing", "ttm_incomplete", "stale_financials")
+
+
+@query(f"""WITH {_LONG} SELECT ticker, n % 6 = 2 AND n < 15 AS admin_issue, n % 6 = 3 AND n < 15 AS audit_opinion_bad_admin, false AS status_source_missing, coalesce(eq <= 0, false) AS capital_impairment, coalesce(ni <= 0, false) AS negative_earnings, coalesce((eq_t - eq) / nullif(eq_t, 0) > 0.2, false) AS minority_interest_large, fcf IS NULL AND cfo IS NOT NULL AS capex_unmapped,
+  ni_c IS NULL AND ni_t IS NOT NULL AS ni_fallback_used, eq_c IS NULL AND eq_t IS NOT NULL AS equity_fallback_used, n % 8 = 0 AND eq_c IS NOT NULL AS cfs_missing_used_ofs, n = 11 AS non_standard_fiscal_month, sector_code IS NULL AS unmapped_industry, n < 4 AS financial_sector, n = 10 AS holding_company,
+  reason IS NULL AND ni_t IS NULL AS financials_missing, coalesce(starts_with(reason, 'incomplete'), false) AND NOT (ni_c IS NULL AND ni_t IS NOT NULL) AS ttm_incomplete, coalesce({DAY} - last > 200, true) AS stale_financials FROM p1""")
+def status_flags(spark, d):
+    return from_facts(spark, d).select("ticker", *_STATUS_FLAGS)
+
+
 _HARD = "admin_issue capital_impairment negative_earnings pbr_implausible stale_financials ttm_incomplete".split()
 _MIN = 5e6
 
@@ -447,31 +536,26 @@ def theme_candidates(spark, d):
     return themes.candidates(t(spark, d, "documents"), _THEMES, _UNIVERSE, F.coalesce("text", F.lit("")), F.col("lang"), "doc_id", 3).select("doc_id", "theme_id", "hits", "score", "rank")
 
 
-@query("""WITH k AS (SELECT p_brand AS theme_id, list_distinct(list(p_size)) AS keywords FROM part WHERE p_size <= 30 GROUP BY 1) SELECT a.theme_id AS a, b.theme_id AS b, round(len(list_intersect(a.keywords, b.keywords)) / CAST(len(list_distinct(list_concat(a.keywords, b.keywords))) AS DOUBLE), 6) AS jaccard FROM k a JOIN k b ON a.theme_id < b.theme_id
+@query("""WITH k AS (SELECT p_brand AS theme_id, list_distinct(list(p_size)) AS keywords FROM part GROUP BY 1) SELECT a.theme_id AS a, b.theme_id AS b, round(len(list_intersect(a.keywords, b.keywords)) / CAST(len(list_distinct(list_concat(a.keywords, b.keywords))) AS DOUBLE), 6) AS jaccard FROM k a JOIN k b ON a.theme_id < b.theme_id
   WHERE len(list_intersect(a.keywords, b.keywords)) / CAST(len(list_distinct(list_concat(a.keywords, b.keywords))) AS DOUBLE) >= 0.35""")
 def keyword_jaccard(spark, d):
-    k = t(spark, d, "part").filter("p_size <= 30").groupBy(F.col("p_brand").alias("theme_id")).agg(F.collect_set("p_size").alias("keywords"))
+    k = t(spark, d, "part").groupBy(F.col("p_brand").alias("theme_id")).agg(F.collect_set("p_size").alias("keywords"))
     return themes.keyword_likeness(k).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("""WITH a AS (SELECT conv_id, role AS theme_id, turn, CASE CAST(turn % 3 AS INTEGER) WHEN 0 THEN 'core' WHEN 1 THEN 'adjacent' ELSE 'peripheral' END AS role, length(text) / 1000.0 AS confidence, text, substring(text, 1, 5) AS segment FROM conversations)
-  SELECT conv_id, theme_id, CASE max(CASE role WHEN 'core' THEN 3 WHEN 'adjacent' THEN 2 ELSE 1 END) WHEN 3 THEN 'core' WHEN 2 THEN 'adjacent' ELSE 'peripheral' END AS role, round(max(confidence), 4) AS confidence, round(CAST(sum(turn) AS DOUBLE), 4) AS revenue_share_claim, arg_max(text, (length(text), -turn)) AS evidence_quote FROM a GROUP BY 1, 2""")
+@query("""WITH a AS (SELECT conv_id, role AS theme_id, turn, CASE CAST(turn % 3 AS INTEGER) WHEN 0 THEN 'core' WHEN 1 THEN 'adjacent' ELSE 'peripheral' END AS role, length(text) / 1000.0 AS confidence, text FROM conversations)
+  SELECT conv_id, theme_id, CASE max(CASE role WHEN 'core' THEN 3 WHEN 'adjacent' THEN 2 ELSE 1 END) WHEN 3 THEN 'core' WHEN 2 THEN 'adjacent' ELSE 'peripheral' END AS role, round(max(confidence), 4) AS confidence, round(CAST(sum(turn) AS DOUBLE), 4) AS revenue_share_claim, arg_max(text, (length(text), -turn)) AS evidence_quote, CAST(count(DISTINCT text) FILTER (text <> '') AS INTEGER) AS n_segments FROM a GROUP BY 1, 2""")
 def merge_assignments(spark, d):
     c = t(spark, d, "conversations")
     role = F.when(F.col("turn") % 3 == 0, "core").when(F.col("turn") % 3 == 1, "adjacent").otherwise("peripheral")
-    rows = c.select("conv_id", F.col("role").alias("theme_id"), F.col("turn").alias("pos"), role.alias("role"), (F.length("text") / 1000).alias("confidence"), F.col("turn").cast("double").alias("revenue_share_claim"), F.col("text").alias("evidence_quote"), F.lit("business").alias("evidence_source"), F.substring("text", 1, 5).alias("segment_name"), F.substring("text", 1, 30).alias("rationale"))
-    return verify.merge_assignments(rows, "conv_id").select("conv_id", "theme_id", "role", F.round("confidence", 4).alias("confidence"), F.round("revenue_share_claim", 4).alias("revenue_share_claim"), "evidence_quote")
+    rows = c.select("conv_id", F.col("role").alias("theme_id"), F.col("turn").alias("pos"), role.alias("role"), (F.length("text") / 1000).alias("confidence"), F.col("turn").cast("double").alias("revenue_share_claim"), F.col("text").alias("evidence_quote"), F.lit("business").alias("evidence_source"), F.col("text").alias("segment_name"), F.col("text").alias("rationale"))
+    return verify.merge_assignments(rows, "conv_id").select("conv_id", "theme_id", "role", F.round("confidence", 4).alias("confidence"), F.round("revenue_share_claim", 4).alias("revenue_share_claim"), "evidence_quote", F.size("segments").alias("n_segments"))
 
 
-def citations(spark, d) -> DataFrame:
-    """A label's item as quote, a document as its source: items are dealt to documents by number, so each pair is one row."""
-    n = F.pmod(F.col("doc_id"), F.lit(40))
-    return t(spark, d, "documents").withColumn("item_id", n).join(t(spark, d, "benchmark").select("item_id", F.col("text").alias("quote")), "item_id")
-
-
-@query("""SELECT d.doc_id, b.item_id, length(regexp_replace(b.text, '\\s+', '', 'g')) >= 8 AND contains(regexp_replace(coalesce(d.text, ''), '\\s+', '', 'g'), regexp_replace(b.text, '\\s+', '', 'g')) AS cited FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40""")
+@query("""WITH q AS (SELECT item_id, regexp_replace(text, '\\s+', '', 'g') AS q FROM benchmark WHERE length(regexp_replace(text, '\\s+', '', 'g')) >= 8), t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\\s+', '', 'g') AS t FROM documents) SELECT t.doc_id, q.item_id FROM t JOIN q ON contains(t.t, q.q)""")
 def verify_exact_citation(spark, d):
-    return citations(spark, d).select("doc_id", "item_id", verify.cited_exactly(F.col("quote"), F.col("text")).alias("cited"))
+    """Every item of the benchmark against every whole document."""
+    return verify.quoted_items(t(spark, d, "documents"), t(spark, d, "benchmark"))
 
 
 @query()
@@ -482,12 +566,54 @@ def verify_fuzzy_citation(spark, d):
     return verify.verify_citations(rows, "quote", "source").select("conv_id", "turn", F.round("similarity", 4).alias("similarity"), "cited")
 
 
+_TAGS = """a AS (SELECT CAST(conv_id AS VARCHAR) AS ticker, CASE WHEN conv_id % 9 = 8 THEN 'unheard' WHEN turn % 4 < 2 THEN 'semi' ELSE 'bio' END AS theme_id, turn, CASE CAST(turn % 3 AS INTEGER) WHEN 0 THEN 'core' WHEN 1 THEN 'adjacent' ELSE 'peripheral' END AS role, text AS quote, CASE WHEN turn % 2 = 0 THEN 'business' ELSE 'segments' END AS src, CASE CAST(conv_id % 4 AS INTEGER) WHEN 0 THEN 0.0 WHEN 1 THEN 0.1 ELSE 0.5 END AS claim, CASE WHEN turn % 4 = 0 THEN 'Wafers' WHEN turn % 4 = 1 THEN 'Tools' WHEN turn % 4 = 3 THEN 'Drugs' END AS seg FROM conversations)"""
+
+
+@query(f"""WITH {_TAGS}, m AS (SELECT ticker, theme_id, CASE max(CASE role WHEN 'core' THEN 3 WHEN 'adjacent' THEN 2 ELSE 1 END) WHEN 3 THEN 'core' WHEN 2 THEN 'adjacent' ELSE 'peripheral' END AS role, sum(CAST(claim AS DOUBLE)) AS claim, arg_max(quote, (length(quote), -turn)) AS quote, arg_max(src, (length(quote), -turn)) AS src, list_distinct(list(seg) FILTER (seg IS NOT NULL)) AS segs FROM a GROUP BY 1, 2),
+  p AS (SELECT CAST(conv_id AS VARCHAR) AS ticker, conv_id AS n, string_agg(text, chr(10) ORDER BY turn) FILTER (turn % 2 = 0) AS business, string_agg(text, chr(10) ORDER BY turn) FILTER (turn % 4 = 1) AS segs FROM conversations GROUP BY 1, 2),
+  j AS (SELECT m.*, n, theme_id IN ('semi', 'bio') AS known, regexp_replace(quote, '\\s+', '', 'g') AS q, regexp_replace(coalesce(business, ''), '\\s+', '', 'g') AS b, regexp_replace(coalesce(p.segs, ''), '\\s+', '', 'g') AS s FROM m JOIN p USING (ticker)),
+  c AS (SELECT *, CASE WHEN length(q) < 8 THEN NULL WHEN src = 'segments' AND contains(s, q) THEN 'segments' WHEN contains(b, q) THEN 'business' WHEN contains(s, q) THEN 'segments' END AS cited_as, CASE theme_id WHEN 'semi' THEN 0.35 END AS floor,
+    CASE WHEN n % 3 = 0 AND len(list_filter(coalesce(segs, []), lambda x: x IN ('Wafers', 'Tools'))) > 0 THEN CAST(0.25 * len(list_filter(segs, lambda x: x = 'Wafers')) + 0.15 * len(list_filter(segs, lambda x: x = 'Tools')) AS DOUBLE) END AS actual FROM j),
+  v AS (SELECT *, known AND cited_as IS NOT NULL AS ok, coalesce(role = 'core' AND floor IS NOT NULL AND actual < floor, false) AS low, role = 'core' AND floor IS NOT NULL AND actual IS NULL AND claim > 0 AND claim < floor AS claimed_low FROM c)
+  SELECT ticker, theme_id, CASE WHEN NOT ok THEN role WHEN low THEN CASE WHEN actual >= floor / 2 THEN 'adjacent' ELSE 'peripheral' END WHEN claimed_low THEN 'adjacent' ELSE role END AS role, CASE WHEN ok THEN 'verified' ELSE 'rejected' END AS status, CASE WHEN NOT known THEN 'unknown_theme' WHEN NOT ok THEN 'hallucinated_citation' END AS reject_reason, round(CASE WHEN ok THEN actual END, 6) AS actual_share,
+  round(CASE WHEN ok AND claim <> 0 THEN claim END, 6) AS claimed_share, CASE WHEN NOT ok THEN 'unavailable' WHEN actual IS NOT NULL THEN CASE WHEN low THEN 'below_floor' ELSE 'confirmed' END WHEN role = 'core' AND claim = 0 THEN 'not_claimed' WHEN n % 3 = 0 THEN 'not_found' WHEN n % 3 = 1 THEN 'unverified' ELSE 'unavailable' END AS share_evidence,
+  ok AND cited_as <> src AS moved, ok AND n % 5 <> 0 AND (theme_id = 'semi' AND n % 5 <> 1 OR theme_id = 'bio' AND n % 5 <> 2) AS sector_conflict FROM v""")
+def verify_assignments(spark, d):
+    """Turns as tags of their conversation, which is their evidence too: every other turn is its business section, one in four its segments."""
+    c = t(spark, d, "conversations")
+    n, k = F.col("conv_id"), F.col("turn")
+    tags = c.select(
+        n.cast("string").alias("ticker"), F.when(n % 9 == 8, "unheard").when(k % 4 < 2, "semi").otherwise("bio").alias("theme_id"), k.alias("pos"), F.when(k % 3 == 0, "core").when(k % 3 == 1, "adjacent").otherwise("peripheral").alias("role"), F.lit(0.9).alias("confidence"), F.col("text").alias("evidence_quote"),
+        F.when(k % 2 == 0, "business").otherwise("segments").alias("evidence_source"), F.when(n % 4 == 0, 0.0).when(n % 4 == 1, 0.1).otherwise(0.5).alias("revenue_share_claim"), F.when(k % 4 == 0, "Wafers").when(k % 4 == 1, "Tools").when(k % 4 == 3, "Drugs").alias("segment_name"), F.lit("").alias("rationale"),
+    )
+    joined = lambda rows: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(rows, F.struct("turn", "text")))), lambda x: x["text"]), "\n")
+    part = lambda name, share: F.struct(F.lit(name).alias("name"), F.lit(share).alias("share"), F.lit(None).cast("string").alias("amount"), F.lit(None).cast("string").alias("path"))
+    packs = c.groupBy("conv_id").agg(joined(k % 2 == 0).alias("business"), joined(k % 4 == 1).alias("segments_text")).select(
+        n.cast("string").alias("ticker"), F.when(n % 5 == 0, None).when(n % 5 == 1, "SEMI").when(n % 5 == 2, "PHARMA_BIO").otherwise("STEEL").alias("sector_code"), "business", "segments_text", F.lit("").alias("disclosures"),
+        F.when(n % 3 != 2, F.struct(F.array(part("Wafers", 0.25), part("Tools", 0.15)).alias("segments"), (n % 3 == 0).alias("corroborated"))).alias("segments"),
+    )
+    taxonomy = [themes.Theme("semi", ("SEMI",), 0.35), themes.Theme("bio", ("PHARMA_BIO",))]
+    v = verify.verify_assignments(tags, packs, taxonomy, {"SEMI", "PHARMA_BIO", "STEEL"})
+    has = lambda what: F.exists("flags", lambda f: f.startswith(what))
+    return v.select("ticker", "theme_id", "role", "status", "reject_reason", F.round("actual_share", 6).alias("actual_share"), F.round("claimed_share", 6).alias("claimed_share"), "share_evidence", has("citation_source_mismatch:").alias("moved"), has("sector_conflict").alias("sector_conflict"))
+
+
+@query("""WITH a AS (SELECT conv_id, turn, CASE WHEN length(text) / CAST(1000 AS DOUBLE) + 0.6 < 0.75 THEN 'low_confidence' WHEN turn % 4 = 3 THEN 'core_assignment' WHEN role = 'user' AND abs(CAST(turn % 5 AS DOUBLE) / 5 - 0.5) > 0.2 THEN 'share_mismatch' END AS why FROM conversations)
+  SELECT conv_id, CASE WHEN conv_id % 17 = 0 THEN 'proposed_new_theme' ELSE arg_min(why, turn) FILTER (why IS NOT NULL) END AS reason FROM a GROUP BY conv_id""")
+def escalation(spark, d):
+    k = F.col("turn")
+    one = F.struct(k, F.col("role").alias("theme_id"), (F.length("text") / 1000 + 0.6).alias("confidence"), F.when(k % 4 == 3, "core").otherwise("adjacent").alias("role"), ((k % 5).cast("double") / 5).alias("revenue_share_claim"))
+    tags = t(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(one)).alias("assignments")).withColumns({"proposed_new_theme": F.when(F.col("conv_id") % 17 == 0, "new"), "theme_segment_share": F.create_map(F.lit("user"), F.lit(0.5))})
+    return themes.escalate(tags).select("conv_id", "reason")
+
+
 @query()
 def plain_text(spark, d):
     return t(spark, d, "pages").select("page_id", text.plain_text(F.col("html")).alias("text"))
 
 
-@query()
+@query("""WITH s AS (SELECT l_suppkey, CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS v FROM lineitem GROUP BY 1), n AS (SELECT n_regionkey, n_name, trunc(sum(coalesce(v, 0))) AS v FROM supplier JOIN nation ON n_nationkey = s_nationkey LEFT JOIN s ON l_suppkey = s_suppkey GROUP BY 1, 2)
+  SELECT n_regionkey, 'table_amount' AS method, true AS corroborated, n_name AS name, round(v / sum(v) OVER (PARTITION BY n_regionkey), 4) AS share FROM n QUALIFY count(*) OVER (PARTITION BY n_regionkey) > 1""")
 def segment_parse(spark, d):
     """Nations by revenue as a piped table a region, parsed back into shares."""
     s = companies(spark, d).join(t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("ticker"), "s_nationkey"), "ticker").join(t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey", "n_name").agg(F.sum(F.coalesce("revenue_ttm", F.lit(0.0))).alias("v"))
@@ -537,7 +663,7 @@ def number_parsers(spark, d):
     return t(spark, d, "supplier").select("s_suppkey", text.statement_amount(stated).alias("statement"), text.event_amount(F.when(k == 1, "―").when(k == 2, F.concat(F.lit("약 "), grouped, F.lit("원"))).otherwise(grouped)).alias("event"))
 
 
-@query("SELECT doc_id, substring(sha256(CAST(doc_id AS VARCHAR) || chr(0) || coalesce(text, '') || chr(0) || coalesce(source, '') || chr(0) || '[]'), 1, 32) AS pack_hash FROM documents")
+@query("SELECT doc_id, substring(sha256(CAST(doc_id AS VARCHAR) || chr(0) || coalesce(text, '') || chr(0) || coalesce(source, '') || chr(0) || '[]' || chr(0)), 1, 32) AS pack_hash FROM documents")
 def pack_hash(spark, d):
     return t(spark, d, "documents").select("doc_id", documents.pack_hash(F.col("doc_id").cast("string"), F.col("text"), F.col("source"), F.lit("[]")).alias("pack_hash"))
 
@@ -613,7 +739,7 @@ def report_names(spark, d):
 
 @query("""WITH v AS (SELECT conv_id, role, turn, CASE WHEN turn % 5 = 4 THEN NULL WHEN turn % 5 = 3 THEN 0.1 ELSE 0.5 END AS actual, CASE WHEN turn % 2 = 0 THEN 0.4 ELSE 0.0 END AS claim, length(text) > 40 AS cited FROM conversations)
   SELECT conv_id, turn, CASE WHEN NOT cited THEN 'core' WHEN actual < 0.3 THEN CASE WHEN actual >= 0.15 THEN 'adjacent' ELSE 'peripheral' END ELSE 'core' END AS role, CASE WHEN cited THEN 'verified' ELSE 'rejected' END AS status, CASE WHEN NOT cited THEN 'hallucinated_citation' END AS reject_reason,
-  CASE WHEN NOT cited THEN NULL WHEN actual IS NOT NULL THEN CASE WHEN actual < 0.3 THEN 'below_floor' ELSE 'confirmed' END WHEN claim = 0 THEN 'not_claimed' ELSE 'unavailable' END AS share_evidence FROM v""")
+  CASE WHEN NOT cited THEN 'unavailable' WHEN actual IS NOT NULL THEN CASE WHEN actual < 0.3 THEN 'below_floor' ELSE 'confirmed' END WHEN claim = 0 THEN 'not_claimed' ELSE 'unavailable' END AS share_evidence FROM v""")
 def verdicts(spark, d):
     c = t(spark, d, "conversations")
     n = F.col("turn") % 5

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 HOME = str(Path(__file__).resolve().parent.parent)
 
@@ -17,3 +17,9 @@ def ready(spark: SparkSession) -> SparkSession:
     if HOME not in known:
         env["PYTHONPATH"] = os.pathsep.join([HOME, *filter(None, known)])
     return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many parts as there are cores, where a small input has fewer: for work that costs more than moving the rows once."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

@@ -234,11 +234,79 @@ def test_streaming_is_idempotent_and_keeps_late_rows(spark, tmp_path):
 
 
 def test_listed_and_survivorship(spark):
-    master = spark.createDataFrame([("A", date(2000, 1, 1)), ("B", date(2024, 1, 1))], "ticker string, listing_date date")
-    gone = spark.createDataFrame([("C", date(1999, 1, 1), date(2023, 6, 1)), ("D", date(1999, 1, 1), date(2022, 6, 1))], "ticker string, listing_date date, delisting_date date")
-    assert sorted((r.ticker, r.alive) for r in pit.listed_asof(master, gone, date(2023, 1, 1)).collect()) == [("A", True), ("C", False)]
-    r = pit.survivorship(master, gone, spark.createDataFrame([("C",)], "ticker string"), date(2023, 1, 1)).first()
-    assert (r.listed, r.alive, r.gone, r.gone_with_facts, r.coverage) == (2, 1, 1, 1, 1.0)
+    day = date(2023, 1, 1)
+    master = spark.createDataFrame([("A", date(2000, 1, 1)), ("B", date(2024, 1, 1)), ("N", None)], "ticker string, listing_date date")
+    rows = [("C", date(1999, 1, 1), date(2023, 6, 1), "merged"), ("D", date(1999, 1, 1), date(2022, 6, 1), "failed"), ("E", None, date(2024, 1, 1), "failed"), ("A", None, date(2024, 1, 1), "other"), ("F", date(2023, 2, 1), date(2024, 1, 1), "other")]
+    gone = spark.createDataFrame(rows, "ticker string, listing_date date, delisting_date date, outcome string")
+    assert sorted((r.ticker, r.alive) for r in pit.listed_asof(master, gone, day).collect()) == [("A", True), ("C", False), ("E", False), ("N", True)]
+    facts = spark.createDataFrame([("C", date(2022, 1, 1)), ("E", date(2023, 1, 2)), ("A", date(2020, 1, 1)), ("A", date(2021, 1, 1)), ("Z", date(2020, 1, 1))], "ticker string, available_at date")
+    r = pit.survivorship(master, gone, facts, day).first()
+    assert (r.listed, r.alive, r.gone, r.outcomes, r.with_facts, r.missing, r.coverage) == (4, 2, 2, "failed:1|merged:1", 2, 2, 0.5)  # E's facts came later
+    r = pit.survivorship(master.limit(0), gone.limit(0), facts, day).first()
+    assert (r.listed, r.outcomes, r.with_facts, r.missing, r.coverage) == (0, "", 0, 0, 0.0)
+
+
+def test_metrics_from_filed_facts(spark):
+    f = spark.createDataFrame(FILED, FACT)
+    price = spark.createDataFrame([("A", 70000.0, 1.05e12, 1.2e12, 1.5e7, 5e5, 5e9), ("Z", 1.0, 1e9, None, 1.0, None, None)], "ticker string, close double, market_cap_common double, market_cap_total double, shares_common double, treasury_shares double, adtv_20d double")
+    master = spark.createDataFrame([("A", "x", "MACHINERY", False)], "ticker string, name string, sector_code string, is_holding boolean")
+    for as_of, per in ((date(2025, 4, 1), 12.0), (date(2025, 6, 1), 1200 / 105), (date(2025, 9, 1), 1200 / 95)):
+        got = {r.ticker: r for r in metrics.assemble(pit.facts_asof(f, as_of), price, master, as_of).collect()}
+        assert got["A"].per == pytest.approx(per) and not got["A"].financials_missing and got["A"].status_source_missing and not got["A"].admin_issue
+        assert got["Z"].financials_missing and got["Z"].stale_financials and got["Z"].unmapped_industry and got["Z"].per is None
+    status = spark.createDataFrame([("A", "admin_issue"), ("A", "other"), ("Q", "audit_opinion_bad_admin")], "ticker string, status string")
+    got = {r.ticker: r for r in metrics.assemble(pit.facts_asof(f, date(2025, 4, 1)), price, master, date(2025, 4, 1), status).collect()}
+    assert got["A"].admin_issue and not got["A"].audit_opinion_bad_admin and not got["A"].status_source_missing and not got["Z"].admin_issue
+
+
+def test_minority_and_capex_flags(spark):
+    rows = [("A", 100.0, 70.0, None, 5.0), ("B", 100.0, 90.0, 3.0, 5.0), ("C", 100.0, None, None, None)]
+    df = spark.createDataFrame(rows, "ticker string, equity_total double, equity_controlling double, capex_ppe_ttm double, cfo_ttm double").withColumn("net_income_ttm_total", F.lit(1.0)).withColumn("ttm_reason", F.lit("incomplete:prev_fy"))
+    r = {x.ticker: x for x in metrics.add_flags(metrics.derive(df), date(2025, 1, 1)).collect()}
+    assert [r[t].minority_interest_large for t in "ABC"] == [True, False, False] and [r[t].capex_unmapped for t in "ABC"] == [True, False, False]
+    assert r["C"].equity_fallback_used and r["C"].ni_fallback_used and r["C"].ttm_reason == "fallback:total" and not r["C"].ttm_incomplete
+
+
+def test_pack_hash_ends_every_part(spark):
+    import hashlib
+
+    got = spark.range(1).select(documents.pack_hash(F.lit("A"), F.lit("b"), F.lit(None).cast("string"), F.lit("[]")).alias("h")).first().h
+    assert got == hashlib.sha256(b"A\0b\0\0[]\0").hexdigest()[:32]
+
+
+def test_escalation(spark):
+    rows = [(1, [("t", 0.9, "adjacent", 0.1), ("t", 0.8, "core", 0.1), ("t", 0.1, "core", 0.1)], None), (2, [("t", 0.9, "adjacent", 0.9)], None), (3, [("t", 0.9, "adjacent", 0.4), ("u", 0.9, "adjacent", 0.9)], ""), (4, [("t", 0.1, "core", 0.4)], "new"), (5, [("t", 0.7, "core", 0.4)], None), (6, [], None)]
+    df = spark.createDataFrame(rows, "k int, assignments array<struct<theme_id: string, confidence: double, role: string, revenue_share_claim: double>>, proposed_new_theme string").withColumn("theme_segment_share", F.create_map(F.lit("t"), F.lit(0.3)))
+    assert [r.reason for r in themes.escalate(df).orderBy("k").collect()] == ["core_assignment", "share_mismatch", None, "proposed_new_theme", "low_confidence", None]
+
+
+def test_quoted_items(spark):
+    docs = spark.createDataFrame([(1, "one two three four five"), (2, "x one  two\nthree four"), (3, None), (4, "short"), (5, "twothreefour " * 30)], "doc_id long, text string")
+    items = spark.createDataFrame([(10, "two three four"), (11, "two three\tfour five"), (12, "short"), (13, None), (14, "TWO THREE FOUR"), (15, "two three four")], "item_id long, text string")
+    want = sorted([(1, 10), (1, 15), (1, 11), (2, 10), (2, 15), (5, 10), (5, 15)])
+    for size in (1 << 20, 20):
+        assert sorted((r.doc_id, r.item_id) for r in verify.quoted_items(docs, items, pass_bytes=size).collect()) == want
+    assert verify.quoted_items(docs, items.limit(0)).collect() == [] and verify.quoted_items(docs.limit(0), items).collect() == []
+
+
+def test_grams_never_lose_a_citation():
+    import random
+
+    rnd = random.Random(8)
+    for _ in range(400):
+        a = "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(8, 120)))
+        b = list(a)
+        for _ in range(rnd.randint(0, max(1, len(a) // 9))):
+            k = rnd.randrange(len(b) + 1)
+            b[k : k + rnd.randint(0, 1)] = rnd.choice(("", "x", "yz"))
+        b = "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 60))) + "".join(b) + "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(0, 60)))
+        assert verify.cites(a, b) == (verify.partial_ratio(a, b) >= verify.FUZZY)
+
+
+def test_share_of_segments(spark):
+    seg = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(s).alias("share"), F.lit(p).cast("string").alias("path")) for n, s, p in (("Heavy electrics division", 0.5, None), ("Tyres", 0.2, "Goods Tyres Korea"), ("Tyres abroad", 0.3, "Goods Tyres abroad"), ("A", 0.1, None))])
+    share = lambda n: spark.range(1).select(documents.share_of(seg, F.lit(n)).alias("s")).first().s
+    assert (share("heavy-electrics"), share("Tyres"), share("Goods"), share("A"), share("Tyres Korea"), share("none")) == (0.5, 0.2, None, None, 0.2, None)
 
 
 def test_prices(spark):
@@ -350,9 +418,9 @@ def test_verdicts(spark):
     rows = [("a", "t", "core", 0.9, "business", "business", True, True, "SEMI", True, 0.3, 0.72, 0.72, True, False), ("b", "t", "core", 0.9, "business", "segments", True, True, None, None, 0.3, 0.2, 0.7, True, False), ("c", "t", "core", 0.9, "business", None, True, False, "SEMI", True, 0.3, None, 0.0, False, False), ("d", "t", "core", 0.9, "business", "business", False, True, "SEMI", True, None, None, 0.0, False, False), ("e", "t", "core", 0.9, "business", "business", True, True, "SEMI", False, 0.3, None, 0.1, True, False), ("f", "t", "core", 0.9, "business", "business", True, True, "SEMI", True, 0.3, 0.1, 0.1, True, False)]
     got = {r.ticker: r for r in verify.judge(spark.createDataFrame(rows, cols)).collect()}
     assert (got["a"].role, got["a"].status, got["a"].share_evidence) == ("core", "verified", "confirmed")
-    assert got["b"].role == "adjacent" and {"citation_source_mismatch:business->segments", "sector_unknown", "share_claim_gap"} <= set(got["b"].flags)
+    assert got["b"].role == "adjacent" and {"citation_source_mismatch:business->segments", "sector_unknown", "share_claim_gap:claim=0.70/actual=0.20"} <= set(got["b"].flags)
     assert got["c"].reject_reason == "hallucinated_citation" and got["d"].reject_reason == "unknown_theme"
-    assert got["e"].role == "adjacent" and got["e"].share_evidence == "segment_not_found" and "sector_conflict" in got["e"].flags and got["f"].role == "peripheral"
+    assert got["e"].role == "adjacent" and got["e"].share_evidence == "not_found" and "sector_conflict" in got["e"].flags and got["f"].role == "peripheral"
     assert {(r.kind, r.name): r.n for r in verify.verification_metrics(verify.judge(spark.createDataFrame(rows, cols))).collect()}[("status", "verified")] == 4
 
 
