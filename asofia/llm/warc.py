@@ -4,7 +4,8 @@ Writing: one record a row, gzip-compressed one by one. A response's block is an
 framing; blocks over segment_bytes are cut: the first segment is the response record, the others are continuation
 records that name it as their origin, in a file of their own; the last one states the total length. Of rows with equal
 payloads of at least min_revisit bytes, the ones with the smallest page_id are responses, the others revisits, which
-hold no payload but the digest and the response's name.
+hold no payload but the digest and the response's record name (page and digest), so any reader can follow it, unless
+rows repeat the response's page_id and payload: then each is a response with a name of its own.
 
 Reading: unsegmented records are decoded where they are read. Segments are shuffled by origin, put in order of their
 number and joined; the numbers must run from 1 without a gap and the lengths add up to the stated total. Then the
@@ -106,16 +107,20 @@ def records(data: bytes | memoryview) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 8 + size
 
 
-def page_records(name: str, page_id: int | None, url: str | None, payload: bytes, digest: bytes, revisit: bool, first: int | None, segment_bytes: int) -> tuple[bytes, list[bytes]]:
-    """The row's record and its continuations."""
-    me = f"<urn:page:{'none' if page_id is None else page_id};{name}>"
+def record_id(page_id: int | None, name: str) -> str:
+    return f"<urn:page:{'none' if page_id is None else page_id};{name}>"
+
+
+def page_records(name: str, page_id: int | None, url: str | None, payload: bytes, digest: bytes, first: tuple[int, str] | None, segment_bytes: int) -> tuple[bytes, list[bytes]]:
+    """The row's record and its continuations. first: page and name of the response, for a revisit."""
+    me = record_id(page_id, name)
     common = [("WARC-Date", "1970-01-01T00:00:00Z"), ("Content-Type", "application/http;msgtype=response")]
     if url is not None:
         common.append(("WARC-Target-URI", re.sub(r"[\x00-\x20]", lambda m: f"%{ord(m[0]):02X}", url)))
     payload_digest = ("WARC-Payload-Digest", f"sha1:{b32(digest)}")
     head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-    if revisit:
-        return record([("WARC-Type", "revisit"), ("WARC-Record-ID", me), *common, payload_digest, ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:page:{first}>")], head), []
+    if first:
+        return record([("WARC-Type", "revisit"), ("WARC-Record-ID", me), *common, payload_digest, ("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(*first))], head), []
     block = head + chunked(payload)
     parts = [block[k : k + segment_bytes] for k in range(0, len(block), segment_bytes)]
     if len(parts) == 1:
@@ -129,13 +134,14 @@ def page_records(name: str, page_id: int | None, url: str | None, payload: bytes
 
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = 0, segment_bytes: int = SEGMENT_BYTES, file_bytes: int = FILE_BYTES) -> list[str]:
     """Archives below folder, their names; one small row a file reaches the driver."""
-    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha1("payload"))
     total = pages.count()
-    same = rows.filter(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("page_id").alias("first")).filter("copies > 1 AND first IS NOT NULL")
-    marked = left_join_hot(rows, same, "digest", "copies", total)
+    same = rows.filter(F.octet_length("payload") >= min_revisit).groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    same = same.groupBy("digest").agg(F.sum("n").alias("copies"), F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "n"))).alias("first")).filter("copies > 1 AND first IS NOT NULL")
+    marked = left_join_hot(rows, same, "digest", "copies", total).select("row", "page_id", "url", "payload", "digest", F.col("first.page_id").alias("first"), (F.col("first.n") == 1).alias("one"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, row, made = TaskContext.get().partitionId(), 0, []
+        task, made = TaskContext.get().partitionId(), []
         held: dict[str, list[bytes]] = {"main": [], "continued": []}
         size = 0
 
@@ -147,13 +153,13 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 0, segment_
                     parts.clear()
 
         for b in batches:
-            cols = {n: b.column(n) for n in ("page_id", "url", "payload", "digest", "first")}
-            for page_id, url, payload, digest, first in zip(*(c.to_pylist() for c in cols.values())):
+            cols = {n: b.column(n) for n in ("row", "page_id", "url", "payload", "digest", "first", "one")}
+            for row, page_id, url, payload, digest, first, one in zip(*(c.to_pylist() for c in cols.values())):
                 revisit = first is not None and (page_id is None or page_id > first)
-                main, rest = page_records(f"{task}-{row}", page_id, url, payload, bytes.fromhex(digest), revisit, first, segment_bytes)
+                main, rest = page_records(digest if one and page_id == first else str(row), page_id, url, payload, bytes.fromhex(digest), (first, digest) if revisit else None, segment_bytes)
                 held["main"].append(main)
                 held["continued"] += rest
-                row, size = row + 1, size + len(main) + sum(map(len, rest))
+                size += len(main) + sum(map(len, rest))
                 if size > file_bytes:
                     flush()
                     size = 0

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 
 from asofia.llm import warc as W
-from asofia.llm.common import work_dir
+from asofia.llm.common import read_file, work_dir
 
 from .helpers import bag
 
@@ -68,3 +68,11 @@ def test_reassembly(spark):
     df = spark.createDataFrame(rows, "origin string, segment int, total long, page_id long, payload_digest string, block binary")
     got = {r.page_id: (r.payload_bytes, r.status) for r in W.reassemble(df.repartition(2, "origin").sortWithinPartitions("origin", "segment")).collect()}
     assert got == {1: (250, "ok"), 2: (None, "incomplete"), 3: (None, "incomplete"), 4: (250, "ok"), 5: (None, "incomplete")}
+
+
+def test_revisits_name_a_record_that_is_there(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://x/{k}", "<p>same</p>" * 3000 if k % 2 else f"<p>{k}</p>") for k in range(1, 20)], "page_id long, url string, html string").repartition(3)
+    fields = [f for file in W.write_archives(pages, f"file://{tmp_path}") for f, _ in W.records(read_file(file))]
+    made = {f["warc-record-id"] for f in fields if f["warc-type"] == "response"}
+    again = [f["warc-refers-to"] for f in fields if f["warc-type"] == "revisit"]
+    assert len(again) == 9 and set(again) <= made and len({f["warc-record-id"] for f in fields}) == len(fields)
