@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from asofia.llm.common import append_columns, table
-from asofia.llm.tokens import StretchEncoder, default_path
+from asofia.llm.tokens import CUTTABLE, StretchEncoder, default_path
 
 #: Memoised neighbours and pieces; both memos start anew when full.
 MEMO = 500_000
@@ -144,7 +144,7 @@ def rank_encoder(path: str, pattern: str) -> tuple[RankEncoder, StretchEncoder]:
         ids = [r.encode(w) for w in words.to_pylist()]
         return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
 
-    return r, StretchEncoder(r.encode, many)
+    return r, StretchEncoder(r.encode, many, pattern == CUTTABLE)
 
 
 def default_pattern() -> str:

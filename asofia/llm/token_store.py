@@ -33,6 +33,8 @@ MAGIC = b"ASOTOK01"
 BLOCK = 4096
 #: Ids after which a task starts its next file, so a task's memory has a bound.
 FILE_IDS = 32_000_000
+#: Ids packed at a time.
+TOGETHER = 1 << 20
 
 
 def bits_for(vocabulary: int) -> int:
@@ -64,13 +66,15 @@ def encode_file(doc_ids: list[int | None], ids: list[bytes], bits: int, block: i
     flat = np.frombuffer(b"".join(ids), "<u4")
     per_block = (block * bits + 7) // 8
     blocks = -(-len(flat) // block)
-    packed = [pack(flat[k * block : (k + 1) * block], bits) for k in range(blocks)] if (block * bits) % 8 else [pack(flat, bits)]
-    total = sum(map(len, packed))
+    last = len(flat) - max(blocks - 1, 0) * block
+    total = max(blocks - 1, 0) * per_block + (last * bits + 7) // 8
     offsets = np.minimum(np.arange(blocks + 1, dtype=np.uint64) * np.uint64(per_block), np.uint64(total)).astype("<u8")
     yield MAGIC + np.array([bits, block, len(ids), len(flat), blocks + 1], "<u8").tobytes()
     yield np.array([d or 0 for d in doc_ids], "<i8").tobytes() + np.array([d is None for d in doc_ids], np.uint8).tobytes()
     yield ends.tobytes() + offsets.tobytes()
-    yield from packed
+    step = block if (block * bits) % 8 else block * max(1, TOGETHER // block)  # whole blocks at a time, so that unpacked bits take little memory
+    for k in range(0, len(flat), step):
+        yield pack(flat[k : k + step], bits)
 
 
 class TokenFile:

@@ -1,12 +1,15 @@
 """Encoding of whole texts by public byte-level tokenizers, with a memo of the stretches between single spaces.
 
-Byte-level patterns never let a piece run over a space that follows a character other than white space, and a single
-newline between two such characters is a piece of its own. So a text whose gaps are all one space or one newline
-can be cut there and each stretch encoded once; any other text is encoded in one go. The ids are the library's own.
+The pattern of GPT-2's kind never lets a piece run over a space that follows a character other than white space, and a
+single newline between two such characters is a piece of its own. So a text whose gaps are all one space or one newline
+can be cut there and each stretch encoded once; any other text is encoded in one go, and so is every text where a
+tokenizer's file or a pattern says anything else (another pattern, a normaliser, a prefix, tokens of its own). The ids
+are the library's own.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -30,6 +33,10 @@ def stretches(texts: pa.Array) -> tuple[np.ndarray, pa.ListArray]:
     return safe.to_numpy(zero_copy_only=False), cut
 
 
+#: The pattern whose pieces keep to the stretches between single spaces; the tokenizers library's byte-level splitting has the same.
+CUTTABLE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class StretchEncoder:
     """text -> ids as little-endian unsigned 32-bit integers.
 
@@ -38,8 +45,8 @@ class StretchEncoder:
     it, so lookups run in Arrow and no word becomes an object.
     """
 
-    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray]]):
-        self.encode, self.encode_many = encode, encode_many
+    def __init__(self, encode: Callable[[str], bytes], encode_many: Callable[[pa.StringArray], tuple[np.ndarray, np.ndarray]], cuttable: bool = True):
+        self.encode, self.encode_many, self.cuttable = encode, encode_many, cuttable
         self._clear()
 
     def _clear(self) -> None:
@@ -70,6 +77,9 @@ class StretchEncoder:
             at = end
 
     def _some(self, texts: pa.Array) -> Iterator[bytes]:
+        if not self.cuttable:
+            yield from map(self.encode, texts.to_pylist())
+            return
         if len(self.words) > MEMO:
             self._clear()
         safe, cut = stretches(texts)
@@ -104,6 +114,13 @@ def joined(words: pa.StringArray, most: int) -> Iterator[tuple[str, np.ndarray]]
         yield data[int(o[0]) : int(o[-1])].to_pybytes().decode(), o[1:] - o[0]
 
 
+def cuttable(spec: dict) -> bool:
+    """Whether a file of the tokenizers library splits bytes by CUTTABLE and by nothing else. Special tokens don't matter: they are ordinary text here."""
+    split = spec.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    return plain and not spec.get("normalizer") and all(t.get("special") for t in spec.get("added_tokens") or [])
+
+
 @lru_cache(2)
 def library_encoder(path: str) -> StretchEncoder:
     """Of a file of the tokenizers library, without special tokens; their strings in a text are ordinary text."""
@@ -128,7 +145,7 @@ def library_encoder(path: str) -> StretchEncoder:
             sizes.append(np.diff(np.searchsorted(np.cumsum(width[some]), ends) + 1, prepend=0))
         return np.concatenate(ids), np.concatenate(sizes)
 
-    return StretchEncoder(one, many)
+    return StretchEncoder(one, many, cuttable(json.loads(t.to_str())))
 
 
 def vocabulary_size(path: str) -> int:

@@ -59,3 +59,33 @@ def test_store(spark):
 
 def test_no_rows(spark):
     assert bag(S.read_tokens(spark, S.write_tokens(documents(spark, []), work_dir(spark, "t")))) == []
+
+
+def test_packing_in_groups_of_blocks(monkeypatch):
+    monkeypatch.setattr(S, "TOGETHER", 64)
+    rng = np.random.default_rng(1)
+    for bits, block in ((17, 16), (17, 24), (16, 16), (5, 7), (19, 8)):
+        for n in (0, 1, 15, 16, 17, 1000):
+            ids = rng.integers(0, 1 << bits, n).astype("<u4")
+            f = S.TokenFile(b"".join(S.encode_file([1], [ids.tobytes()], bits, block)))
+            assert (f.document(0) == ids).all() and (f.ids(n // 3, n) == ids[n // 3 :]).all()
+
+
+def test_files_that_split_otherwise_are_encoded_whole(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    from asofia.llm import tokens
+
+    path = tokens.default_path("byte_bpe_50k.json")
+    spec = json.loads(open(path).read())
+    assert tokens.cuttable(spec)
+    texts = ["a,\nb c.\n\nd", "it's 12 o'clock now", "", "x  y"]
+    for name, change in (("prefix", {"pre_tokenizer": spec["pre_tokenizer"] | {"add_prefix_space": True}}), ("lower", {"normalizer": {"type": "Lowercase"}})):
+        other = spec | change
+        assert not tokens.cuttable(other)
+        file = str(tmp_path / f"{name}.json")
+        open(file, "w").write(json.dumps(other))
+        want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(file).encode_batch(texts, add_special_tokens=False)]
+        assert tokens.library_encoder(file).many(texts) == [b"" if not t else w for t, w in zip(texts, want)]
