@@ -35,7 +35,7 @@ DEGREE, BEAM, ALPHA = 32, 64, 1.2
 QUERY_BEAM = 160
 WIDTH = 48
 #: Rows of a shard, at most and at least; queries of a block; shards and blocks of a tile at most.
-SHARD_ROWS, LEAST_ROWS, BLOCK_ROWS, TILE_SHARDS, TILE_BLOCKS = 65_536, 8_192, 512, 8, 128
+SHARD_ROWS, LEAST_ROWS, BLOCK_ROWS, TILE_SHARDS, TILE_BLOCKS = 32_768, 8_192, 512, 8, 128
 BATCH = 512
 EXPAND = 4
 
