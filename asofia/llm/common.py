@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from asofia.session import spread
+
 #: A key counts as hot from this share of all rows on, so at most 1 / HOT_SHARE keys are hot, whatever the input's size.
 HOT_SHARE = 1 / 256
 
@@ -182,4 +184,4 @@ def append_columns(df: DataFrame, text: str, keep: list[str], start: Callable[[]
                 cols = each(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(c, type=t) for c, t in zip(cols, kinds))], names=[*keep, *new.names])
 
-    return rows.mapInArrow(run, out)
+    return spread(rows).mapInArrow(run, out)
