@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asofia.functions.nulls import hit, ratio
+from asofia.operators.gate import Filter
 from asofia.operators.metrics import FIN
 
 KINDS = ("soft_flag", "hard_guard", "gate_filter")
@@ -113,6 +114,25 @@ CATALOG: dict[str, Check] = {c.id: c for c in (
 )}
 
 
+_ALL = "accrual_anomaly high_leverage low_current_ratio owner_stake_low treasury_heavy"
+#: The checks of each screen, by id.
+SCREEN_CHECKS: dict[str, tuple[str, ...]] = {
+    screen: tuple(sorted(f"{_ALL} {more}".split()))
+    for screen, more in {
+        "deep_value": "cfo_shortfall low_roic low_roe high_dividend no_dividend dividend_uncovered payout_excessive yield_from_price_drop dividend_data_inconsistent dividend_yield_min",
+        "garp": "cfo_shortfall growth_decelerating op_growth_decelerating thin_margin high_dividend",
+        "quality_fcf": "fcf_without_earnings capex_starved revenue_shrinking low_roic high_dividend dividend_uncovered",
+        "theme_hunt": "cfo_shortfall low_roic revenue_shrinking",
+    }.items()
+}
+#: What each source of facts brings.
+SOURCES: dict[str, tuple[str, ...]] = {_DIV: ("DPS", "DIV_YIELD_REPORTED", "PAYOUT_RATIO", "DIV_TOTAL_REPORTED"), _OWN: ("OWNER_STAKE_PCT",)}
+
+
+def of_screen(screen: str) -> list[Check]:
+    return [CATALOG[i] for i in SCREEN_CHECKS[screen]]
+
+
 def override(checks: list[Check], enable: tuple[str, ...] = (), disable: tuple[str, ...] = ()) -> list[Check]:
     """Switches at run time; an unknown id is fatal."""
     known = {c.id for c in checks}
@@ -130,6 +150,17 @@ def runnable(checks: list[Check], columns: list[str], sources: set[str]) -> list
     return out
 
 
+def gate_filters(checks: list[Check]) -> list[Filter]:
+    """Filters that enabled checks of that kind add to a gate."""
+    return [Filter(c.metric, c.loose, c.tight) for c in checks if c.kind == "gate_filter" and c.enabled]
+
+
+def guard_columns(df: DataFrame, checks: list[Check]) -> tuple[DataFrame, list[str]]:
+    """df with a column for each enabled check that guards, and their names."""
+    hard = [c for c in checks if c.kind == "hard_guard" and c.enabled]
+    return apply(df, hard) if hard else df, [c.id for c in hard]
+
+
 def apply(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.withColumns({c.id: c.hits() for c in checks})
 

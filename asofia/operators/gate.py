@@ -77,6 +77,12 @@ SCREENS: dict[str, Gate] = {
     "theme_hunt": Gate((Filter("adtv_20d", 3e8, 3e8),), (("market_cap_used", 1.0),), "rank_top_n", 450, 999, 450),
 }
 MIN_CAP = {"deep_value": 5e10, "garp": 5e10, "quality_fcf": 5e10, "theme_hunt": 3e11}
+#: What a screen adds to or takes from GUARDS: two of them look at companies with losses too.
+SCREEN_GUARDS = {s: tuple(g for g in GUARDS if g != "negative_earnings" or s in ("deep_value", "garp")) for s in SCREENS}
+#: Sectors that a screen keeps to; None: all.
+SCREEN_SECTORS: dict[str, tuple[str, ...] | None] = dict.fromkeys(SCREENS) | {
+    "theme_hunt": tuple("AEROSPACE_DEFENSE AUTO CHEM CONSTRUCTION ELECTRONIC_COMP ELEC_EQUIP ENERGY HEALTHCARE_SVC IT_SERVICES MACHINERY NONMETAL_MIN OTHER_MFG PHARMA_BIO SEMI STEEL_METAL TRADING_DISTRIB TRANSPORT_LOGISTICS UTILITIES".split())
+}
 MAX_RISK_GROUPS = {"deep_value": 2, "garp": 2, "quality_fcf": 2, "theme_hunt": 4}
 
 

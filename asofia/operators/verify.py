@@ -276,6 +276,32 @@ def golden_scores(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     return n.select("tp", "fp", "fn", F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(F.try_divide(2 * p * r, p + r), 4).alias("f1"), F.round(1 - p, 4).alias("misclassified"))
 
 
+def golden_rows(labels: DataFrame, tags: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Seven rows of scores of core themes against labels (ticker, core, confidence, evidence_defect), of tagged tickers only.
+
+    The first two are what the model chose, which a rerun reproduces; the others went through verification: all of it, sure
+    labels only, shares confirmed by figures only, verdicts without a flag only, without labels whose evidence is defective.
+    One pass: every (row, ticker) is a row with both sets of themes.
+    """
+    gold = labels.join(tags.select("ticker").distinct(), "ticker", "left_semi")
+    gold = gold.select("ticker", F.coalesce("core", F.array().cast("array<string>")).alias("g"), (F.coalesce("confidence", F.lit("certain")) == "certain").alias("sure"), F.coalesce("evidence_defect", F.lit(False)).alias("defect"))
+    core = lambda a: F.array_distinct(F.transform(F.filter(F.coalesce(a, F.array()), lambda x: x["role"] == "core"), lambda x: x["theme_id"]))
+    said = tags.groupBy("ticker").agg(F.array_distinct(F.flatten(F.collect_list(core(F.col("assignments"))))).alias("said"))
+    good = (F.col("status") == "verified") & (F.col("role") == "core")
+    set_of = lambda c: F.collect_set(F.when(c, F.col("theme_id")))
+    kept = verdicts.groupBy("ticker").agg(set_of(good).alias("kept"), set_of(good & (F.col("share_evidence") == "confirmed")).alias("confirmed"), set_of(good & (F.size("flags") == 0)).alias("clean"))
+    wide = gold.join(said, "ticker", "left").join(kept, "ticker", "left")
+    rows = [("before", "said", True, True), ("before, sure labels", "said", "sure", True), ("after", "kept", True, False), ("after, sure labels", "kept", "sure", False), ("after, shares confirmed", "confirmed", True, False), ("after, no flag", "clean", True, False), ("after, sound evidence", "kept", "sound", False)]
+    use = {True: F.lit(True), "sure": F.col("sure"), "sound": ~F.col("defect")}
+    each = wide.select("ticker", "g", F.explode(F.array(*[F.struct(F.lit(k).alias("place"), F.lit(label).alias("label"), F.coalesce(F.col(p), F.array().cast("array<string>")).alias("p"), use[u].alias("use"), F.lit(same).alias("reproducible")) for k, (label, p, u, same) in enumerate(rows)])).alias("r")).select("ticker", "g", "r.*").filter("use")
+    n = each.groupBy("place", "label", "reproducible").agg(
+        F.count(F.lit(1)).alias("stocks"), F.sum(F.size(F.array_intersect("p", "g"))).alias("tp"), F.sum(F.size(F.array_except("p", "g"))).alias("fp"), F.sum(F.size(F.array_except("g", "p"))).alias("fn"),
+        F.count_if(F.size("g") == 0).alias("empty"), F.count_if((F.size("g") == 0) & (F.size("p") == 0)).alias("abstained"),
+    )
+    p, r = (F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col(x)).cast("double")) for x in ("fp", "fn"))
+    return n.select("place", "label", "reproducible", "stocks", "tp", "fp", "fn", F.round(p, 4).alias("precision"), F.round(r, 4).alias("recall"), F.round(F.try_divide(2 * p * r, p + r), 4).alias("f1"), F.round(1 - p, 4).alias("misclassified"), F.concat_ws("/", "abstained", "empty").alias("correct_abstain"))
+
+
 def top_errors(gold: DataFrame, predicted: DataFrame, top: int = 5) -> DataFrame:
     """error (fp or fn), theme, n: the themes most often predicted wrongly or missed."""
     want, got = gold.filter("theme IS NOT NULL").select("ticker", "theme").distinct(), predicted.select("ticker", "theme").distinct().join(gold.select("ticker").distinct(), "ticker", "left_semi")
@@ -287,6 +313,8 @@ def top_errors(gold: DataFrame, predicted: DataFrame, top: int = 5) -> DataFrame
 
 
 def assert_cohort(gold: DataFrame, tagged: DataFrame, least: float = 0.8) -> None:
-    n, have = gold.select("ticker").distinct().count(), gold.select("ticker").distinct().join(tagged.select("ticker").distinct(), "ticker", "left_semi").count()
+    """What is measured must be labelled: labels of tickers that weren't tagged do no harm."""
+    mine = tagged.select("ticker").distinct()
+    n, have = mine.count(), mine.join(gold.select("ticker").distinct(), "ticker", "left_semi").count()
     if n and have / n < least:
-        raise ValueError(f"only {have} of {n} labelled tickers were tagged")
+        raise ValueError(f"only {have} of {n} tagged tickers are labelled")

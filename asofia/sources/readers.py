@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,10 +172,21 @@ def write_packs(packs: DataFrame, path: str) -> None:
     packs.write.mode("overwrite").json(path)
 
 
+def _fs(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path if "://" in path else "file://" + os.path.abspath(path))
+
+
+def write_text(path: str, text: str) -> None:
+    """A small artefact, on any file system that has a URI."""
+    fs, at = _fs(path)
+    fs.create_dir(at.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(at) as f:
+        f.write(text.encode())
+
+
 def write_json(path: str, value: object) -> None:
-    """A small artefact: a manifest, a basket, quality figures."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=1, default=str)
+    """A manifest, a basket, quality figures."""
+    write_text(path, json.dumps(value, ensure_ascii=False, indent=1, default=str))
 
 
 def log_line(path: str, **fields: object) -> None:
@@ -187,9 +200,9 @@ def save_basket(path: str, tickers: list[str], rebalanced_at: str) -> None:
 
 def load_basket(path: str) -> tuple[set[str], str | None]:
     """An old basket is a bare list without a date."""
-    try:
-        with open(path, encoding="utf-8") as f:
-            got = json.load(f)
-    except FileNotFoundError:
+    fs, at = _fs(path)
+    if not fs.get_file_info(at).is_file:
         return set(), None
+    with fs.open_input_stream(at) as f:
+        got = json.loads(f.read())
     return (set(got), None) if isinstance(got, list) else (set(got["tickers"]), got.get("rebalanced_at"))
