@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -42,9 +43,17 @@ def first_match(c: Column, rules: list[tuple[str, str]], default: str | None = N
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, where c is evaluated once however often f uses it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def share_class(label: Column) -> Column:
     """'common', 'other' or null (a total, a remark, undecidable). Preferred marks come before common ones, both before voting rights."""
-    s = squeeze(F.coalesce(label, F.lit("")))
+    return bound(squeeze(F.coalesce(label, F.lit(""))), _share_class)
+
+
+def _share_class(s: Column) -> Column:
     skipped = s.isin("", "종류의 주식", *"기타 기타주 기타주식 비고 유통주식 자본주 주식수".split()) | s.contains("합계")
     voting = F.when(has_any(s, ("없", "무의결권")), "other").otherwise("common")
     return F.when(skipped, None).when(has_any(s, "상환주 신형 우선 전환주 종류주".split()), "other").when(has_any(s, "보톧 보통 보퉁".split()), "common").when(s.contains("의결권"), voting)
@@ -65,17 +74,20 @@ SPAC = "스팩"
 
 def delisting_outcome(reason: Column, name: Column, outcomes: list[tuple[str, tuple[str, ...]]] | None = None, spac: str = SPAC) -> Column:
     """merged, voluntary, dissolved, failed or other. A blank reason is dissolved for a shell company's name only; its name also beats what comes after voluntary."""
-    s, n = squeeze(F.coalesce(reason, F.lit(""))), squeeze(F.coalesce(name, F.lit("")))
+    both = F.struct(squeeze(F.coalesce(reason, F.lit(""))).alias("s"), squeeze(F.coalesce(name, F.lit(""))).alias("n"))
+    return bound(both, lambda x: _outcome(x["s"], x["n"], outcomes or OUTCOMES, spac))
+
+
+def _outcome(s: Column, n: Column, outcomes: list[tuple[str, tuple[str, ...]]], spac: str) -> Column:
     out = F.when(s == "", F.when(n.contains(spac), "dissolved").otherwise("other"))
-    for outcome, marks in outcomes or OUTCOMES:
+    for outcome, marks in outcomes:
         found = has_any(s, marks)
         out = out.when(found | n.contains(spac) if outcome == "dissolved" else found, outcome)
     return out.otherwise("other")
 
 
 def report_key(name: Column) -> Column:
-    s = squeeze(F.coalesce(name, F.lit("")))
-    return F.when(s.rlike(_AMENDED), F.trim(F.regexp_replace(s, _AMENDED, ""))).otherwise(s)
+    return bound(squeeze(F.coalesce(name, F.lit(""))), lambda s: F.when(s.rlike(_AMENDED), F.trim(F.regexp_replace(s, _AMENDED, ""))).otherwise(s))
 
 
 def is_amendment(name: Column) -> Column:

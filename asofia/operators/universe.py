@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asofia.functions.nulls import hit
-from asofia.functions.text import first_match, is_reit, is_spac, looks_like_holding, squeeze
+from asofia.functions.text import first_match, is_reit, is_spac, looks_like_holding, squeeze, ticker6
 from asofia.operators.metrics import FIN
 from asofia.operators.pit import newest
 
@@ -32,6 +32,12 @@ def annotate(master: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return master.withColumns({"sector_code": sector, "is_spac": is_spac(name), "is_reit": is_reit(name), "is_holding": looks_like_holding(name), "is_financial": hit(sector.isin(*FIN)), "unmapped_industry": sector.isNull()})
 
 
+def with_corp_codes(master: DataFrame, codes: DataFrame) -> DataFrame:
+    """master with the corp_code of codes (stock_code, corp_code), where one is listed under the ticker; of several the smallest."""
+    listed = codes.filter(F.length(F.trim("stock_code")) > 0).groupBy(ticker6(F.trim("stock_code")).alias("ticker")).agg(F.min("corp_code").alias("corp_code"))
+    return master.drop("corp_code").join(listed, "ticker", "left")
+
+
 def sector_coverage(master: DataFrame) -> DataFrame:
     """sector_code, n and share of all, unmapped ones included as null."""
     n = master.groupBy("sector_code").agg(F.count(F.lit(1)).alias("n"))

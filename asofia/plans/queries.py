@@ -579,6 +579,11 @@ _TAGS = """a AS (SELECT CAST(conv_id AS VARCHAR) AS ticker, CASE WHEN conv_id %
   round(CASE WHEN ok AND claim <> 0 THEN claim END, 6) AS claimed_share, CASE WHEN NOT ok THEN 'unavailable' WHEN actual IS NOT NULL THEN CASE WHEN low THEN 'below_floor' ELSE 'confirmed' END WHEN role = 'core' AND claim = 0 THEN 'not_claimed' WHEN n % 3 = 0 THEN 'not_found' WHEN n % 3 = 1 THEN 'unverified' ELSE 'unavailable' END AS share_evidence,
   ok AND cited_as <> src AS moved, ok AND n % 5 <> 0 AND (theme_id = 'semi' AND n % 5 <> 1 OR theme_id = 'bio' AND n % 5 <> 2) AS sector_conflict FROM v""")
 def verify_assignments(spark, d):
+    has = lambda what: F.exists("flags", lambda f: f.startswith(what))
+    return verdicts_of_tags(spark, d).select("ticker", "theme_id", "role", "status", "reject_reason", F.round("actual_share", 6).alias("actual_share"), F.round("claimed_share", 6).alias("claimed_share"), "share_evidence", has("citation_source_mismatch:").alias("moved"), has("sector_conflict").alias("sector_conflict"))
+
+
+def verdicts_of_tags(spark, d) -> DataFrame:
     """Turns as tags of their conversation, which is their evidence too: every other turn is its business section, one in four its segments."""
     c = t(spark, d, "conversations")
     n, k = F.col("conv_id"), F.col("turn")
@@ -593,9 +598,7 @@ def verify_assignments(spark, d):
         F.when(n % 3 != 2, F.struct(F.array(part("Wafers", 0.25), part("Tools", 0.15)).alias("segments"), (n % 3 == 0).alias("corroborated"))).alias("segments"),
     )
     taxonomy = [themes.Theme("semi", ("SEMI",), 0.35), themes.Theme("bio", ("PHARMA_BIO",))]
-    v = verify.verify_assignments(tags, packs, taxonomy, {"SEMI", "PHARMA_BIO", "STEEL"})
-    has = lambda what: F.exists("flags", lambda f: f.startswith(what))
-    return v.select("ticker", "theme_id", "role", "status", "reject_reason", F.round("actual_share", 6).alias("actual_share"), F.round("claimed_share", 6).alias("claimed_share"), "share_evidence", has("citation_source_mismatch:").alias("moved"), has("sector_conflict").alias("sector_conflict"))
+    return verify.verify_assignments(tags, packs, taxonomy, {"SEMI", "PHARMA_BIO", "STEEL"})
 
 
 @query("""WITH a AS (SELECT conv_id, turn, CASE WHEN length(text) / CAST(1000 AS DOUBLE) + 0.6 < 0.75 THEN 'low_confidence' WHEN turn % 4 = 3 THEN 'core_assignment' WHEN role = 'user' AND abs(CAST(turn % 5 AS DOUBLE) / 5 - 0.5) > 0.2 THEN 'share_mismatch' END AS why FROM conversations)

@@ -31,6 +31,14 @@ def filings(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("status", F.when(F.col("status").isin(*OK_STATUS), F.col("status")).otherwise(F.raise_error(F.concat(F.lit("status "), F.coalesce("status", F.lit("none")), F.lit(" in "), F.col("file")))))
 
 
+def with_fallback(rows: DataFrame) -> DataFrame:
+    """Filings that hold lines: of a ticker's year and report the separate ones count only where no consolidated one has any."""
+    key = ["ticker", "bsns_year", "reprt_code"]
+    filled = rows.filter(F.size("list") > 0)
+    whole = filled.filter(F.col("statement_basis") == "CFS").select(*key).distinct()
+    return filled.filter(F.col("statement_basis") == "CFS").unionByName(filled.filter(F.col("statement_basis") != "CFS").join(whole, key, "left_anti").select(*filled.columns))
+
+
 def prices_csv(spark: SparkSession, path: str) -> DataFrame:
     """Tickers stay strings, dates are parsed."""
     return spark.read.schema("date date, ticker string, close double, cap double, volume double").option("header", True).csv(path).withColumn("ticker", ticker6(F.col("ticker")))

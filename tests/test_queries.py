@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 from asofia.plans import queries as Q
+from asofia.plans import values
+
+assert values.loaded()
 
 DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
