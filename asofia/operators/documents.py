@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -73,12 +74,40 @@ def section_excerpt(text: pa.Array) -> pa.Array:
 
 
 # segments
-_STRONG, _AGAINST = re.compile(r"매출\s*실적|부문별\s*매출|사업부문별"), re.compile(r"가격|단가|주식|자산|생산능력|생산실적|가동률|거래처|인원|설비")
-_TOTAL, _SUB = re.compile(r"^(합\s*계|총\s*계|총합계)$"), re.compile(r"^(소\s*계|계|합\s*계)$")
-_REGION = set("국내 내수 수출 해외".split())
 _NUMBER = re.compile(r"^[(△▲-]?[0-9][0-9,]*(?:\.[0-9]+)?\)?%?$")
-_PROSE = re.compile(r"([A-Za-z가-힣][ ()&·0-9A-Za-z가-힣]{1,30}?)\s*(?:부문|사업)?(?:이|가|은|는)?\s*(?:전체\s*)?매출(?:액)?의?\s*(?:약\s*)?(\d{1,3}(?:\.\d+)?)\s*%")
+_AMOUNT = re.compile(r"(?P<name>[\w·&\-\s]{1,24}?)\s*(?:본부|사업부문|사업부|부문)?\s*[가는은이]?\s*(?P<amount>(?:[0-9,]+조\s*)?[0-9,]+\s*(?:백만|억|천)?원)\s*\(\s*(?P<share>[0-9]+(?:\.[0-9]+)?)\s*%\s*\)")
+_BARE = re.compile(r"(?P<name>[\w·&\-]{1,20}?)\s*(?:사업부문|사업부|부문)\s*[가는은이]?\s*(?:[가-힣]{0,6}(?:비중|매출액?)의?\s*)?(?:매출\s*)?(?:비중\s*)?(?:약\s*)?(?P<share>[0-9]+(?:\.[0-9]+)?)\s*%")
+_PROSE_WORDS, _RATES = tuple("매출 부문 비중 사업부".split()), ("YoY", "yoy", "감소하", "대비 ", "성장률", "전년 대비", "전년 동기", "전년대비", "전년동기", "증가하", "증감")
+_NOISE = tuple("기타부문 내부거래 소계 연결조정 전체 조정 총계 합계".split())
+_HEADS = tuple("구분 매출유형 부문 사업 사업부문 제품 품목".split())
+_SALES = tuple("매출 수주 판매".split())
+_STRONG = ("매출 구성", "매출 및 수주", "매출 실적", "매출구성", "매출실적", "매출액 및 비중", "부문별 매출", "제품별 매출", "품목별 매출")
+_AGAINST = ("M/S", "가동률", "경쟁", "매입실적", "매입액", "산업의 특성", "생산능력", "생산설비", "생산실적", "시장 현황", "시장규모", "원재료", "재고현황", "점유율")
+_OTHER_ROWS = tuple(
+    "가동률 가동시간 가동일수 감가상각 건물 건설중인 공구 관리비 구축물 금융부채 금융비용 금융상품 금융수익 금융자산 기계장치 당기순이익 도축 등록 매출액 매출원가 매출채권 매출총이익 무형자산상각 법인세 부문부채 부문자산 비품 생산능력 생산실적 수취채권 영업이익 임직원 종업원 차량운반구 출원 토지 특허 판매비".split()
+)
+#: Regions, kinds of sales and legal entities: an axis of another table, unless they are a minor rest.
+_AXES = frozenset("국내 기타매출 내부매출제거 내수 본사 상품 상품매출 수출 용역 용역매출 제품 제품매출 종속회사 지배회사 지점 해외".split())
+_SUMS = frozenset("계 소계 총계 합계".split())
+_CAPTION = re.compile(r"^\s*(?:[0-9]{1,2}[.)]|[가-하][.)]|\([가-하0-9]\))\s*\S")
 _SCALES = (1, 1e3, 1e6, 1e8)
+_TRUST = {"prose": 3, "table_amount": 3, "table_pct": 2, "table_amount_unverified": 1}
+LOOK_BACK, LONGEST_TABLE, LONGEST_LINE = 80, 40, 1200
+
+
+class Shares(NamedTuple):
+    """A reading of one line or table: name, share, amount and path of each segment."""
+
+    method: str
+    rows: list[tuple[str, float, str | None, str | None]]
+    context: int
+    complete: bool
+    sure: bool
+    line: str
+
+    def rank(self) -> tuple:
+        """How plainly it stands in a section on sales, then more than one segment, method, completeness, number, and how near 1 the sum is."""
+        return (self.context, len(self.rows) > 1, _TRUST[self.method], self.complete, len(self.rows), -abs(sum(r[1] for r in self.rows) - 1))
 
 
 def _value(cell: str) -> float | None:
@@ -89,81 +118,153 @@ def _value(cell: str) -> float | None:
     return -v if cell[0] in "(△▲-" else v
 
 
-def _name(cell: str) -> str:
-    cell = " ".join(cell.split())
-    return cell.replace(" ", "") if re.fullmatch(r"(?:[가-힣] )+[가-힣]", cell) else cell
-
-
-def _tables(text: str) -> list:
-    """(the nearest heading within 80 lines, rows of cells) of each run of piped lines; blank lines don't end it."""
-    out, rows, heading, age = [], [], "", 0
-    for line in text.split("\n"):
-        s = line.strip()
-        if s.startswith("|"):
-            rows.append([c.strip() for c in s.strip("|").split("|") if c.strip()])
-        elif s:
-            if rows:
-                out.append((heading, rows))
-                rows = []
-            heading, age = (s, 0) if len(s) <= 60 else (heading if age < 80 else "", age + 1)
-    return [*out, (heading, rows)] if rows else out
-
-
-def _groups(rows: list) -> list:
-    """Segments of a table with their current period: numbers count from the right, rows without a segment cell belong to the one above, its first subtotal is its value; a grand total ends it."""
-    periods = max((sum(_value(c) is not None for c in r) for r in rows), default=0)
-    labels = max((sum(_value(c) is None for c in r) for r in rows if any(_value(c) is not None for c in r)), default=0)
-    groups: list[list] = []
-    for r in rows:
-        words, numbers = [c for c in r if _value(c) is None], [_value(c) for c in r if _value(c) is not None]
-        if not words or not numbers or len(numbers) < periods:
+def _bare(name: str) -> str:
+    return re.sub(r"[\s·\-&()]", "", name).lower()
+
+
+def _nameless(name: str) -> bool:
+    return not name or any(w in name for w in _NOISE) or bool(re.search(r"[0-9]\s*(?:백만|억|원|조|천만)", name))
+
+
+def _from_prose(line: str) -> Shares | None:
+    """Shares that a sentence states. A percentage of growth, told by the words before it in its sentence, is none."""
+    found: dict[str, tuple] = {}
+    for pattern in (_AMOUNT, _BARE):
+        if len(found) >= 2:
+            break
+        for m in pattern.finditer(line):
+            before = re.split(r"[.。](?:\s|$)", line[max(0, m.start() - 40) : m.start()])[-1]
+            name = re.sub(r"^[0-9]{4}년\s*", "", re.split(r"매출액은|매출은|매출이|입니다|하였습니다|,", m["name"].strip(" ,·"))[-1]).strip()[-20:].strip()
+            share = float(m["share"])
+            if not _nameless(name) and 0 < share <= 100 and not any(w in before + line[m.start() : m.end() + 12] for w in _RATES):
+                found.setdefault(_bare(name), (name, share / 100, m.groupdict().get("amount"), None))
+    rows = list(found.values())
+    return Shares("prose", rows, 1, abs(sum(r[1] for r in rows) - 1) <= 0.12, True, line[:400]) if len(rows) > 1 else None
+
+
+def _tables(lines: list[str], piped: list[bool]) -> list[tuple[int, list[list[str]]]]:
+    """(first line, rows of cells) of each run of three or more piped lines; blank lines don't end it."""
+    out, rows, first = [], [], 0
+    for k, line in enumerate([*lines, "end"]):
+        if k < len(lines) and piped[k]:
+            first = first if rows else k
+            rows.append([c.strip() for c in line.split("|") if c.strip()])
+        elif line.strip():
+            if len(rows) >= 3:
+                out.append((first, rows[:LONGEST_TABLE]))
+            rows = []
+    return out
+
+
+def _context(lines: list[str], piped: list[bool], first: int) -> str:
+    """What stands above a table, up to the nearest caption."""
+    said: list[str] = []
+    for k in range(first - 1, max(-1, first - LOOK_BACK - 1), -1):
+        if piped[k] or not lines[k].strip():
             continue
-        name, now = _name(words[0]), numbers[-periods]
-        if _TOTAL.match(words[0]) and (not groups or groups[-1][2] or len(words) == 1 and labels == 1):
-            if groups and groups[-1][2]:
-                break
-        if _SUB.match(words[0]) or _TOTAL.match(words[0]):
-            if groups and not groups[-1][2]:
-                groups[-1][1], groups[-1][2] = now, True
+        said.append(lines[k].strip())
+        if _CAPTION.match(lines[k]) or sum(map(len, said)) > LONGEST_LINE:
+            break
+    return " ".join(reversed(said))
+
+
+def _percentages(rows: list[list[str]]) -> tuple[list[tuple], int] | None:
+    """Shares of the first column of numbers that sums to about 100, and which column it is."""
+    named = []
+    for cells in rows[1:]:
+        name = "".join(cells[0].split()) if cells else ""
+        numbers = [v for v in map(_value, cells[1:]) if v is not None]
+        if numbers and len(name) <= 20 and not _nameless(name) and _value(cells[0]) is None:
+            named.append((name, numbers))
+    for k in range(min((len(n) for _, n in named), default=0) if len(named) > 1 else 0):
+        total: dict[str, float] = {}
+        for name, numbers in named:
+            total[name] = total.get(name, 0.0) + numbers[k]
+        if min(n[k] for _, n in named) >= 0 and len(total) > 1 and abs(sum(total.values()) - 100) <= 5:
+            return [(n, v / 100, None, None) for n, v in total.items()], k + 1
+    return None
+
+
+def _folded(rows: list[list[str]]) -> list[tuple[str, str, float]]:
+    """(name, path, current amount) of each segment. Merged cells are missing in the rows below them, so numbers are counted from
+    the right, and a row with fewer labels belongs to the segment above; its first subtotal is its amount; a grand total ends the table."""
+    parsed = []
+    for cells in rows:
+        k = len(cells)
+        while k and _value(cells[k - 1]) is not None:
+            k -= 1
+        if 0 < k < len(cells):
+            parsed.append((["".join(c.split()) for c in cells[:k]], [_value(c) for c in cells[k:]]))
+    periods = max((len(n) for _, n in parsed), default=0)
+    parsed = [(labels, numbers) for labels, numbers in parsed if len(numbers) == periods]
+    widest = max((len(labels) for labels, _ in parsed), default=0)
+    out: list[list] = []  # name, path, amount, whether a subtotal gave it
+    closed = False
+    for labels, numbers in parsed:
+        now = numbers[0]
+        if _SUMS & set(labels):
+            if out:
+                so_far = sum(g[2] for g in out)
+                if len(out) > 1 and so_far > 0 and abs(now - so_far) <= so_far * 0.01:
+                    break
+                if not out[-1][3]:
+                    out[-1][2:] = [now, True]
+                closed = True
             continue
-        if len(words) == labels or not groups:
-            groups.append([name, now, False])
-        elif not groups[-1][2]:
-            groups[-1][1] += now
-    return [(n, v) for n, v, _ in groups]
+        if not out or closed or len(labels) == widest:
+            out.append([labels[0][:24], " ".join(labels)[:60], 0.0, False])
+        if not out[-1][3]:
+            out[-1][2] += now
+        closed = False
+    return [(n, path, v) for n, path, v, _ in out if v > 0 and not _nameless(n)]
+
+
+def _from_table(rows: list[list[str]], sales: float | None, context: int) -> Shares | None:
+    head = " | ".join(rows[0])[:200]
+    if found := _percentages(rows):
+        return Shares("table_pct", found[0], context, True, False, f"{head} (column {found[1]})")
+    groups = _folded(rows)
+    total = sum(v for *_, v in groups)
+    matches = bool(sales) and sales > 0 and total > 0 and any(abs(total * k - sales) <= 0.2 * sales for k in _SCALES)
+    if not groups or len(groups) == 1 and not matches or sales is not None and not matches and not context:
+        return None
+    method = "table_amount" if matches or sales is None else "table_amount_unverified"
+    return Shares(method, [(n, v / total, f"{v:,.0f}", path) for n, path, v in groups], context, True, matches, head)
+
+
+def _misread(found: Shares) -> bool:
+    """Whether a table's rows can't be segments: names that repeat, another axis, all in one of several, assets or lines of the income statement."""
+    names = [_bare(r[0]) for r in found.rows]
+    axis = sum(r[1] for r, n in zip(found.rows, names) if n in _AXES)
+    alone = len(names) == 1 and (names[0] in _AXES or _nameless(found.rows[0][0]))
+    foreign = sum(any(w in r[0] for w in _OTHER_ROWS) for r in found.rows) * 3 >= len(names) and found.method != "prose"
+    return len(set(names)) < len(names) or axis >= 0.4 or len(names) > 1 and max(r[1] for r in found.rows) >= 0.999 or alone or foreign
 
 
 def read_segments(body: str, sales: float | None = None) -> dict:
-    """segments with shares, how they were found, whether revenue bears them out. Tables of amounts are normalised to shares.
+    """segments with shares, how they were found, whether revenue bears them out: of all sentences and tables the best reading.
 
-    prose and table_amount (which match the revenue within a fifth, in some unit) rank above table_pct and unverified tables.
+    A table counts if its header names segments, what stands above it speaks of sales and nothing of shares of a market,
+    production or purchases. Amounts are normalised; they are corroborated if their sum is the revenue, within a fifth, in
+    some unit, and kept without that only in a section on sales.
     """
-    found: list[tuple[int, str, list[tuple[str, float]], bool, str]] = []
-    prose = [(m[1].strip(), float(m[2]) / 100) for m in _PROSE.finditer(body)]
-    if prose and sum(v for _, v in prose) <= 1.05:
-        found.append((3, "prose", prose, True, "prose"))
-    for heading, rows in _tables(body):
+    found: list[Shares] = []
+    for line in map(str.strip, body.split("\n")):
+        if "%" in line and len(line) <= LONGEST_LINE and any(w in line for w in _PROSE_WORDS) and (x := _from_prose(line)) and not _misread(x):
+            found.append(x)
+    lines = body.splitlines()
+    piped = ["|" in x for x in lines]
+    for first, rows in _tables(lines, piped):
         header = " ".join(c for r in rows[:3] for c in r)
-        if _AGAINST.search(heading) and not _STRONG.search(heading) or not re.search(r"부문|품목|제품|매출", header):
-            continue
-        groups = _groups(rows)
-        names = [n for n, _ in groups]
-        total = sum(v for _, v in groups)
-        if len(groups) < 2 or total <= 0 or any(v < 0 for _, v in groups) or len(set(names)) < len(names) or set(names) <= _REGION:
-            continue
-        shares = [(n, v / total) for n, v in groups]
-        percents = any("%" in c for r in rows for c in r if _value(c) is not None)
-        matches = sales is not None and any(abs(total * s - sales) <= 0.2 * sales for s in _SCALES)
-        if percents and abs(total - 100) <= 2:
-            found.append((2, "table_pct", shares, False, heading))
-        elif matches:
-            found.append((3, "table_amount", shares, True, heading))
-        elif _STRONG.search(heading):
-            found.append((1, "table_amount_unverified", shares, False, heading))
+        about = _context(lines, piped, first) + header
+        if any(w in header for w in _HEADS) and any(w in about for w in _SALES) and not any(w in about for w in _AGAINST):
+            x = _from_table(rows, sales, sum(w in about for w in _STRONG))
+            if x and not _misread(x):
+                found.append(x)
     if not found:
         return {"segments": [], "complete": False, "corroborated": False, "method": None, "source_line": None}
-    _, method, shares, sure, line = max(found, key=lambda x: (x[0], len(x[2])))
-    return {"segments": [{"name": n, "share": s, "amount": None, "path": None} for n, s in shares], "complete": abs(sum(s for _, s in shares) - 1) <= 0.05, "corroborated": sure, "method": method, "source_line": line}
+    best = max(found, key=Shares.rank)
+    return {"segments": [{"name": n, "share": v, "amount": a, "path": path} for n, v, a, path in best.rows], "complete": best.complete, "corroborated": best.sure, "method": best.method, "source_line": best.line}
 
 
 @F.arrow_udf(schemas.SEGMENTS)

@@ -327,6 +327,53 @@ TABLE = "나. 매출 실적\n\n" + piped(("부문", "품목", "당기", "전기"
 SPAN = "나. 매출 실적\n\n" + piped(("(단위 : 백만원)",), ("부문", "유형", "품목", "당기", "전기"), ("과자부", "제조", "비스킷", "700", "650"), ("유통", "사탕", "44", "50"), ("소 계", "744", "700"), ("음료부", "제조", "주스", "400", "300"), ("유통", "생수", "56", "60"), ("소 계", "456", "360"))
 
 
+def table(*rows, caption="나. 매출실적"):
+    return caption + "\n\n" + "\n\n".join("| " + " | ".join(r) + " |" for r in rows) + "\n"
+
+
+def shares(text, sales=None):
+    got = documents.read_segments(text, sales)
+    return {s["name"]: round(s["share"], 3) for s in got["segments"]}, got["method"], got["corroborated"]
+
+
+ROLLED = table(["(단위 : 백만원)"], ["사업부문", "유형", "품목", "2025년", "2024년"], ["사료부", "제품매출", "배합", "600", "500"], ["상품매출", "배합", "20", "30"], ["소 계", "620", "530"], ["육류부", "제품매출", "지육", "300", "310"], ["상품매출", "정육", "80", "70"], ["소 계", "380", "380"])
+
+
+def test_segment_tables():
+    assert shares(ROLLED, 1000e6) == ({"사료부": 0.62, "육류부": 0.38}, "table_amount", True)
+    assert shares(ROLLED + "\n| 합 계 | 1,000 | 910 |\n", 1000e6)[0] == {"사료부": 0.62, "육류부": 0.38}  # the grand total is none
+    assert shares(ROLLED, 9e12) == ({"사료부": 0.62, "육류부": 0.38}, "table_amount_unverified", False)
+    other = ROLLED.replace("나. 매출실적", "나. 판매 가격")
+    assert shares(other, 9e12)[0] == {} and shares(other + "\n\n" + ROLLED, 1000e6)[1:] == ("table_amount", True)
+    assert shares(ROLLED.replace("나. 매출실적", "나. 매출 및 생산실적"), 1000e6)[0] == {}
+    nested = table(["사업부문", "품목", "구분", "2025년"], ["줄자", "줄자", "수출", "550"], ["내수", "110"], ["합 계", "660"], ["압연", "압연", "수출", "340"], ["합 계", "340"])
+    assert shares(nested, 1000e6)[0] == {"줄자": 0.66, "압연": 0.34}
+    many = table(["사업부문", "구분", "2025년"], ["가부", "수출", "500"], ["합 계", "600"], ["합 계", "100"], ["나부", "수출", "400"], ["합 계", "400"])
+    assert shares(many, 1000e6)[0].get("가부") == 0.6  # its first subtotal
+    percent = table(["사업부문", "비율"], ["검사부문", "11.0"], ["장비부문", "89.0"])
+    one = table(["사업부문", "품목", "구분", "2025년"], ["유압", "실린더", "내수", "300"], ["수출", "200"], ["합 계", "500"])
+    assert shares(percent, 1.0) == ({"검사부문": 0.11, "장비부문": 0.89}, "table_pct", False)
+    assert shares(one, 500e6) == ({"유압": 1.0}, "table_amount", True) and shares(one, 9e12)[0] == {}
+    assert len(shares(one + "\n\n" + percent, 500e6)[0]) == 2
+
+
+def test_tables_that_are_no_segments():
+    for rows in ([["구분", "당사"], ["내수", "91.5"], ["수출", "8.5"]], [["구분", "금액"], ["매출액", "670"], ["매출총이익", "330"]], [["구분", "금액"], ["건물", "600"], ["기계장치", "400"]], [["구분", "금액"], ["가", "9990"], ["나", "1"]], [["구분", "종류", "금액"], ["가", "x", "50"], ["가", "y", "50"]]):
+        assert shares(table(*rows), 1000e6)[0] == {}, rows
+    assert shares(table(["구분", "당사"], ["가사", "60.0"], ["나사", "40.0"], caption="나. 시장점유율 및 매출"), 100.0)[0] == {}
+    assert shares(table(["구분", "비율"], ["전력기기", "65"], ["상품", "11"], ["신재생", "24"]), 1.0)[0] == {"전력기기": 0.65, "상품": 0.11, "신재생": 0.24}
+
+
+def test_segments_in_prose():
+    said = "2024년 매출은 DX 부문이 174조 8,877억원(58.1%), DS 부문이 111조 660억원(36.9%)이며, Harman은 14조 2,749억원(4.7%)입니다."
+    assert shares(said) == ({"DX": 0.581, "DS": 0.369, "Harman": 0.047}, "prose", True)
+    assert shares("당사의 매출액은 1조 2,163억원으로 전년 동기 대비 537억원, 4.6% 증가하였습니다.")[0] == {}
+    assert len(shares("당사의 매출액은 전년 동기 대비 4.6% 증가하였습니다. 매출액은 시멘트 6,567억원(54.0%), 레미콘 1,407억원(11.6%), 무역 3,986억원(32.8%), 기타 203억원(1.6%)으로 구분됩니다.")[0]) == 4
+    assert shares("2025년 기준, 기계사업부문은 연결매출의 83.6%에 해당하며, 소재사업부문은 16.4%에 해당합니다.")[0] == {"기계": 0.836, "소재": 0.164}
+    assert shares("도시가스 부문이 97% 이상을 차지하고 있습니다.")[0] == {} and shares("")[1] is None
+    assert shares("당사의 매출은 기계사업부문 84%, 소재사업부문 16%로 구성됩니다.\n\n" + ROLLED.replace("나. 매출실적", "나. 판매 가격"), 1000e6)[1] == "prose"
+
+
 def test_segments(spark):
     got = documents.read_segments(TABLE, 1000e6)
     shares = {s["name"]: s["share"] for s in got["segments"]}
