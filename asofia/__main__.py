@@ -272,10 +272,13 @@ def find_catalysts(p: Place) -> int:
 
 
 def write_report(p: Place) -> int:
-    best = p.read("survivors").select("ticker", "score", "n_risk_groups")
-    text = report.digest(p.read("verdicts"), best, p.read("catalysts"), gate.MAX_RISK_GROUPS[p.a.screen])
-    head = f"# {p.a.screen} {p.a.as_of}\n\n" + "Machine-made from filings; no advice.\n"
-    readers.write_text(p.at("digest.md"), text.replace("# Digest\n", head, 1))
+    best, s = p.read("survivors").select("ticker", "score", "n_risk_groups"), p.store
+    quality = metrics.defect_counts(p.read("metrics", False), metrics.FLAGS, []).first().asDict()
+    then = pit.survivorship(s.read("master"), s.read("delistings"), s.read("facts"), p.a.as_of).first().asDict()
+    text = report.digest(
+        p.read("verdicts"), best, p.read("catalysts"), gate.MAX_RISK_GROUPS[p.a.screen], title=f"{p.a.screen} {p.a.as_of}", funnel=readers.read_json(p.at("manifest.json")), quality=quality, golden=readers.read_json(p.at("golden.json")), survivorship=then
+    )
+    readers.write_text(p.at("digest.md"), text)
     return p.say(characters=len(text))
 
 

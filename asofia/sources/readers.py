@@ -197,6 +197,15 @@ def write_json(path: str, value: object) -> None:
     write_text(path, json.dumps(value, ensure_ascii=False, indent=1, default=str))
 
 
+def read_json(path: str) -> object:
+    """What write_json left, or nothing."""
+    fs, at = _fs(path)
+    if not fs.get_file_info(at).is_file:
+        return None
+    with fs.open_input_stream(at) as f:
+        return json.loads(f.read())
+
+
 def log_line(path: str, **fields: object) -> None:
     with open(path, mode="a", encoding="utf-8") as log:
         print(json.dumps(fields, default=str, ensure_ascii=False), file=log)
@@ -208,9 +217,7 @@ def save_basket(path: str, tickers: list[str], rebalanced_at: str) -> None:
 
 def load_basket(path: str) -> tuple[set[str], str | None]:
     """An old basket is a bare list without a date."""
-    fs, at = _fs(path)
-    if not fs.get_file_info(at).is_file:
+    got = read_json(path)
+    if got is None:
         return set(), None
-    with fs.open_input_stream(at) as f:
-        got = json.loads(f.read())
     return (set(got), None) if isinstance(got, list) else (set(got["tickers"]), got.get("rebalanced_at"))
