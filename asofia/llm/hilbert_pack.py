@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from asofia.llm.common import materialise, mix64, n_partitions, struct, table, whole_text
 from asofia.llm.tokens import default_path, library_encoder, vocabulary_size
+from asofia.session import spread
 
 DIMS, BITS = 4, 10
 SEQUENCE = 2048
@@ -108,7 +109,7 @@ def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 ids = [small[i:j] for i, j in zip(lo.tolist(), hi.tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array(mark[doc]), pa.array(start), pa.array(total[doc]), pa.array(ids, pa.binary()), *(pa.array(points[doc, d]) for d in range(DIMS))], names=out.names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).mapInArrow(run, out)
+    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))).mapInArrow(run, out)
 
 
 class Packer:
@@ -179,7 +180,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, size: int =
         return pa.array(keys(np.stack([c.to_numpy(zero_copy_only=False) for c in columns], axis=1), mean, deviation), pa.int64())
 
     order = ["_key", "doc_id", "mark", "start"]
-    spread = coded.withColumn("_key", curve(*axes)).select(*order, "total", "ids").repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "start", "total", "ids")
+    ordered = coded.withColumn("_key", curve(*axes)).select(*order, "total", "ids").repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "start", "total", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(TaskContext.get().partitionId() << 32, size)
@@ -198,7 +199,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, size: int =
         if packer.done:
             yield out()
 
-    return spread.mapInArrow(run, _PIECE)
+    return ordered.mapInArrow(run, _PIECE)
 
 
 def op4_hilbert_pack(spark, sf_dir: str) -> DataFrame:

@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from asofia.llm.common import _arrow_type, materialise, mix64, partitions_for, read_file, struct, table, with_plain_names, work_dir, write_file
+from asofia.session import spread
 
 SPAN, K = 50, 12
 WIDTH = SPAN - K + 1
@@ -383,7 +384,7 @@ def _with_repeats(docs: DataFrame, keep: list[str], out: T.StructType, finish: C
     """finish gets a block and which of its bytes are removed, and returns output columns after those of keep."""
     spark = docs.sparkSession
     folder, parts = work_dir(spark, "blocks"), partitions_for(docs, PART)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_doc"), F.coalesce("text", F.lit("")).alias("_text"))
+    rows = spread(docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_doc"), F.coalesce("text", F.lit("")).alias("_text")))
 
     hot = _hot_triggers(rows.select("_doc", "_text"), parts)
 
