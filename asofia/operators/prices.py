@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -47,6 +49,13 @@ def roll_up_preferred(lines: DataFrame, parent: Column) -> DataFrame:
     return common.join(preferred, ["date", "ticker"], "left").withColumn("total_cap", F.col("cap") + F.coalesce("preferred_cap", F.lit(0).cast(lines.schema["cap"].dataType)))
 
 
+def to_fetch(universe: DataFrame, stored: DataFrame, day: date, days: int = 40) -> DataFrame:
+    """ticker and since: what an incremental fetch up to a day still lacks, of each ticker the days after its last stored one, at most so many."""
+    last = stored.filter(F.col("date") <= F.lit(day)).groupBy("ticker").agg(F.max("date").alias("last"))
+    since = F.greatest(F.coalesce(F.date_add("last", 1), F.date_sub(F.lit(day), days)), F.date_sub(F.lit(day), days))
+    return universe.select("ticker").distinct().join(last, "ticker", "left").select("ticker", since.alias("since")).filter(F.col("since") <= F.lit(day))
+
+
 def probe(source: DataFrame, columns: tuple[str, ...] = ("ticker", "close", "price_date")) -> dict[str, object]:
     """A source's contract: columns, rows, positive closes. Faults are returned, not raised."""
     lack = [c for c in columns if c not in source.columns]

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from asofia import schemas
+
 TOP = 6
 KEYWORD_LIMIT = 20_000
 
@@ -118,6 +122,33 @@ def cache_misses(wanted: DataFrame, cache: DataFrame) -> DataFrame:
     return wanted.join(cache.select("key").distinct(), "key", "left_anti")
 
 
+def fingerprint(rules: str, themes: list[Theme]) -> str:
+    """Of everything that stands before a company: a change of rules or taxonomy makes other cache keys."""
+    return hashlib.sha256(f"{rules}\0{taxonomy_block(themes)}".encode()).hexdigest()[:16]
+
+
+def requests(packs: DataFrame, found: DataFrame, rules: str, themes: list[Theme], model: str) -> DataFrame:
+    """custom_id, key and body (JSON) of a batch: packs (ticker, name, sector_code, business, segments_text, disclosures, pack_hash) that
+    have candidates (ticker, theme_id, rank). What stands first is the same for all, so that it can be cached by whoever answers."""
+    ids = found.groupBy("ticker").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "theme_id"))), lambda x: x["theme_id"]), ", ").alias("ids"))
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    parts = [F.lit("candidates: "), F.col("ids"), F.lit("\nticker: "), text("ticker"), F.lit("\nname: "), text("name"), F.lit("\nsector: "), text("sector_code"), F.lit("\n\nbusiness:\n"), text("business"), F.lit("\n\nsegments:\n"), text("segments_text"), F.lit("\n\ndisclosures:\n"), text("disclosures")]
+    system = f"{rules}\n\n{taxonomy_block(themes)}"
+    body = F.to_json(F.struct(F.lit(model).alias("model"), F.lit(system).alias("system"), F.concat(*parts).alias("user")))
+    return packs.join(ids, "ticker").select(F.concat(F.lit("tag-"), "ticker").alias("custom_id"), cache_key(F.col("pack_hash"), F.lit(fingerprint(rules, themes)), F.lit(model)).alias("key"), body.alias("body"))
+
+
+def results(answers: DataFrame) -> DataFrame:
+    """ticker, assignments, abstain, error of a batch's answers (custom_id, type, text): an answer that failed or can't be read abstains and says why."""
+    tags = F.from_json("text", T.StructType([*schemas.TAGS.fields[1:], T.StructField("proposed_new_theme", T.StringType())]))
+    rows = answers.withColumn("_t", tags).withColumn("error", F.when(F.col("type") != "succeeded", F.col("type")).when(F.col("_t.assignments").isNull() & ~F.coalesce("_t.abstain", F.lit(False)), "unreadable"))
+    none = F.array().cast(schemas.TAGS["assignments"].dataType)
+    good = F.col("error").isNull()
+    return rows.select(
+        F.regexp_replace("custom_id", "^tag-", "").alias("ticker"), F.when(good, F.coalesce("_t.assignments", none)).otherwise(none).alias("assignments"), (~good | F.coalesce("_t.abstain", F.lit(False))).alias("abstain"), F.when(good, F.col("_t.proposed_new_theme")).alias("proposed_new_theme"), "error"
+    )
+
+
 def cost_estimate(packs: DataFrame, text: Column, escalation: float = 0.3, output_tokens: int = 400, chars_per_token: float = 2.2) -> DataFrame:
     tokens = F.sum(F.ceil(F.length(text) / chars_per_token))
     return packs.agg(F.count(F.lit(1)).alias("n"), tokens.alias("input_tokens"), (F.count(F.lit(1)) * output_tokens).alias("output_tokens"), F.ceil(F.count(F.lit(1)) * escalation).alias("escalated"))

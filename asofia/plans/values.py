@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from asofia.functions import dates, nulls, text
-from asofia.operators import catalysts, documents, gate, periods, pit, prices, universe, verify
+from asofia.operators import catalysts, documents, gate, periods, pit, prices, themes, universe, verify
 from asofia.plans import queries as Q
 from asofia.plans.queries import AS_OF, DAY, FACTS, query, t
 from asofia.sources import readers
@@ -170,6 +172,36 @@ def verification_metrics(spark, d):
     return verify.verification_metrics(Q.verdicts_of_tags(spark, d))
 
 
+@query("""WITH s AS (SELECT user_id, CAST(max(ts) AS DATE) AS last FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' GROUP BY 1), c AS (SELECT CAST(c_custkey AS VARCHAR) AS ticker, greatest(coalesce(last + 1, DATE '2024-01-10'), DATE '2024-01-10') AS since FROM customer LEFT JOIN s ON user_id = c_custkey) SELECT * FROM c WHERE since <= DATE '2024-01-20'""")
+def prices_to_fetch(spark, d):
+    stored = t(spark, d, "events").select(F.col("user_id").cast("string").alias("ticker"), F.to_date("ts").alias("date"))
+    return prices.to_fetch(t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("ticker")), stored, date(2024, 1, 20), 10)
+
+
+_MODEL, _RULE = "some-model", "Assign themes to companies."
+_BLOCK = themes.taxonomy_block(Q._THEMES)
+_PRINT = themes.fingerprint(_RULE, Q._THEMES)
+
+
+@query(f"""WITH c AS ({Q.SQL["theme_candidates"]}), i AS (SELECT doc_id, string_agg(theme_id, ', ' ORDER BY rank) AS ids FROM c GROUP BY 1) SELECT 'tag-' || d.doc_id AS custom_id, sha256(substring(sha256(CAST(d.doc_id AS VARCHAR)), 1, 32) || chr(0) || '{_PRINT}' || chr(0) || '{_MODEL}') AS key,
+  'candidates: ' || ids || chr(10) || 'ticker: ' || d.doc_id || chr(10) || 'name: ' || chr(10) || 'sector: ' || coalesce(lang, '') || chr(10) || chr(10) || 'business:' || chr(10) || coalesce(text, '') || chr(10) || chr(10) || 'segments:' || chr(10) || chr(10) || chr(10) || 'disclosures:' || chr(10) || coalesce(source, '') AS said FROM documents d JOIN i ON i.doc_id = d.doc_id""")
+def batch_requests(spark, d):
+    name = F.col("doc_id").cast("string")
+    null = F.lit(None).cast("string")
+    packs = t(spark, d, "documents").select(name.alias("ticker"), null.alias("name"), F.col("lang").alias("sector_code"), F.col("text").alias("business"), null.alias("segments_text"), F.col("source").alias("disclosures"), F.substring(F.sha2(name, 256), 1, 32).alias("pack_hash"))
+    found = Q.theme_candidates(spark, d).select(name.alias("ticker"), "theme_id", "rank")
+    got = themes.requests(packs, found, _RULE, Q._THEMES, _MODEL)
+    return got.select("custom_id", "key", F.from_json("body", "model string, system string, user string").getField("user").alias("said"))
+
+
+@query("""SELECT CAST(conv_id AS VARCHAR) || '.' || turn AS ticker, CASE WHEN turn % 4 IN (0, 3) THEN 0 ELSE 1 END AS n, turn % 4 IN (0, 2, 3) AND turn % 4 <> 2 AS abstain, CASE turn % 4 WHEN 0 THEN 'expired' WHEN 3 THEN 'unreadable' END AS error FROM conversations""")
+def batch_results(spark, d):
+    k = F.col("turn") % 4
+    one = F.concat(F.lit('{"assignments": [{"theme_id": "a", "role": "core", "rationale": '), F.to_json(F.array("role")), F.lit('}], "abstain": false}'))
+    rows = t(spark, d, "conversations").select(F.concat(F.lit("tag-"), F.col("conv_id").cast("string"), F.lit("."), F.col("turn").cast("string")).alias("custom_id"), F.when(k == 0, "expired").otherwise("succeeded").alias("type"), F.when(k == 3, "{broken").otherwise(one).alias("text"))
+    return themes.results(rows).select("ticker", F.size("assignments").alias("n"), "abstain", "error")
+
+
 def _sql_plain() -> str:
     c = "coalesce(html, '')"
     attributes = """(?:[^>"'']|"[^"]*"|''[^'']*'')*"""
