@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from asofia import config, schemas
 from asofia.functions.dates import fiscal_end
 from asofia.operators import catalysts, checks, documents, gate, metrics, periods, pit, prices, report, themes, universe, verify
-from asofia.operators.periods import MONTHS
 from asofia.session import ready
 from asofia.sources import readers
 from asofia.sources.store import TABLES, Store
@@ -289,97 +288,57 @@ def query(p: Place) -> int:
     return 0
 
 
+#: Command -> function and arguments: name, kind (day, int, flag, list, adds, text) and default; ! must be given, a bare word is a place.
+_DAY, _SCREEN = "as-of:day!", "screen:screen=deep_value"
+COMMANDS: dict[str, tuple[Callable[[Place], int], str]] = {
+    "init": (init, ""),
+    "status": (status, ""),
+    "ingest": (ingest, "table path"),
+    "ingest-master": (ingest_master, "path=raw/master sectors=sectors.json"),
+    "ingest-dart": (ingest_dart, "path=raw/filings year:int! quarter:int! limit:int sample:int seed:int=42 listed-before:day tickers:list lag:int=1"),
+    "renormalize": (renormalize, "path=raw/filings lag:int=1"),
+    "ingest-dividend": (ingest_dividend, "path=raw/dividend year:int! lag:int=1"),
+    "ingest-holder": (ingest_holder, "path=raw/holder year:int! lag:int=1"),
+    "ingest-delisting": (ingest_delisting, "path=raw/delisting include-all-types:flag"),
+    "ingest-disclosures": (ingest_disclosures, "path=raw/disclosures lookback:int=180 begin:day end:day types:list"),
+    "ingest-prices": (ingest_prices, f"{_DAY} csv=raw/prices.csv source=csv cross-check with-facts:flag"),
+    "probe-price": (probe_price, f"{_DAY} csv=raw/prices.csv tickers:list"),
+    "survivorship": (survivorship, _DAY),
+    "derive": (derive, _DAY),
+    "screen": (screen, f"{_DAY} {_SCREEN} metrics= basket= target:int sources:list enable:adds disable:adds rebalance:flag preview:flag"),
+    "checks": (list_checks, f"as-of:day {_SCREEN}"),
+    "enrich": (enrich, f"{_DAY} {_SCREEN} documents=raw/documents limit:int max-chars:int=12000"),
+    "tag": (tag, f"{_DAY} {_SCREEN} taxonomy=taxonomy.json"),
+    "verify": (verify_tags, f"{_DAY} {_SCREEN} taxonomy=taxonomy.json tags=raw/tags"),
+    "golden": (golden, f"{_DAY} {_SCREEN} tags=raw/tags golden:list=golden.jsonl allow-cohort-drift:flag"),
+    "catalysts": (find_catalysts, f"{_DAY} {_SCREEN} lookback:int=180 all-universe:flag amounts="),
+    "report": (write_report, f"{_DAY} {_SCREEN}"),
+    "query": (query, "name folder out"),
+}
+_PLACES = {"table", "path", "name", "folder", "out"}
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="asofia")
     top.add_argument("--store", default="store")
-    sub = top.add_subparsers(dest="command", required=True)
-
-    def add(name: str, fn: Callable[[Place], int], *, day: bool | None = None, screens: bool = False) -> argparse.ArgumentParser:
-        c = sub.add_parser(name)
+    commands = top.add_subparsers(dest="command", required=True)
+    kinds = {"int": {"type": int}, "day": {"type": date.fromisoformat}, "flag": {"action": "store_true"}, "list": {"nargs": "*"}, "adds": {"action": "append"}, "screen": {"choices": sorted(gate.SCREENS)}, "text": {}}
+    for command, (fn, spec) in COMMANDS.items():
+        c = commands.add_parser(command)
         c.set_defaults(fn=fn)
-        if day is not None:
-            c.add_argument("--as-of", type=date.fromisoformat, required=day)
-        if screens:
-            c.add_argument("--screen", choices=sorted(gate.SCREENS), default="deep_value")
-        return c
-
-    add("init", init)
-    add("status", status)
-    c = add("ingest", ingest)
-    c.add_argument("table", choices=sorted(TABLES))
-    c.add_argument("path")
-    c = add("ingest-master", ingest_master)
-    c.add_argument("--path", default="raw/master")
-    c.add_argument("--sectors", default="sectors.json")
-    c = add("ingest-dart", ingest_dart)
-    c.add_argument("--path", default="raw/filings")
-    c.add_argument("--year", type=int, required=True)
-    c.add_argument("--quarter", type=int, required=True, choices=sorted({m // 3 for m in MONTHS.values()}))
-    c.add_argument("--limit", type=int)
-    c.add_argument("--sample", type=int)
-    c.add_argument("--seed", type=int, default=42)
-    c.add_argument("--listed-before", type=date.fromisoformat)
-    c.add_argument("--tickers", nargs="*")
-    c.add_argument("--lag", type=int, default=1)
-    c = add("renormalize", renormalize)
-    c.add_argument("--path", default="raw/filings")
-    c.add_argument("--lag", type=int, default=1)
-    for name, fn in (("dividend", ingest_dividend), ("holder", ingest_holder)):
-        c = add(f"ingest-{name}", fn)
-        c.add_argument("--path", default=f"raw/{name}")
-        c.add_argument("--year", type=int, required=True)
-        c.add_argument("--lag", type=int, default=1)
-    c = add("ingest-delisting", ingest_delisting)
-    c.add_argument("--path", default="raw/delisting")
-    c.add_argument("--include-all-types", action="store_true")
-    c = add("ingest-disclosures", ingest_disclosures)
-    c.add_argument("--path", default="raw/disclosures")
-    c.add_argument("--lookback", type=int, default=180)
-    c.add_argument("--begin", type=date.fromisoformat)
-    c.add_argument("--end", type=date.fromisoformat)
-    c.add_argument("--types", nargs="*")
-    c = add("ingest-prices", ingest_prices, day=True)
-    c.add_argument("--csv", default="raw/prices.csv")
-    c.add_argument("--source", default="csv")
-    c.add_argument("--cross-check")
-    c.add_argument("--with-facts", action="store_true")
-    c = add("probe-price", probe_price, day=True)
-    c.add_argument("--csv", default="raw/prices.csv")
-    c.add_argument("--tickers", nargs="*")
-    add("survivorship", survivorship, day=True)
-    add("derive", derive, day=True)
-    c = add("screen", screen, day=True, screens=True)
-    c.add_argument("--metrics")
-    c.add_argument("--basket")
-    c.add_argument("--target", type=int)
-    c.add_argument("--sources", nargs="*")
-    c.add_argument("--enable", action="append")
-    c.add_argument("--disable", action="append")
-    c.add_argument("--rebalance", action="store_true")
-    c.add_argument("--preview", action="store_true")
-    add("checks", list_checks, day=False, screens=True)
-    c = add("enrich", enrich, day=True, screens=True)
-    c.add_argument("--documents", default="raw/documents")
-    c.add_argument("--limit", type=int)
-    c.add_argument("--max-chars", type=int, default=12_000)
-    c = add("tag", tag, day=True, screens=True)
-    c.add_argument("--taxonomy", default="taxonomy.json")
-    c = add("verify", verify_tags, day=True, screens=True)
-    c.add_argument("--taxonomy", default="taxonomy.json")
-    c.add_argument("--tags", default="raw/tags")
-    c = add("golden", golden, day=True, screens=True)
-    c.add_argument("--tags", default="raw/tags")
-    c.add_argument("--golden", nargs="+", default=["golden.jsonl"])
-    c.add_argument("--allow-cohort-drift", action="store_true")
-    c = add("catalysts", find_catalysts, day=True, screens=True)
-    c.add_argument("--lookback", type=int, default=180)
-    c.add_argument("--all-universe", action="store_true")
-    c.add_argument("--amounts")
-    add("report", write_report, day=True, screens=True)
-    c = add("query", query)
-    c.add_argument("name")
-    c.add_argument("folder")
-    c.add_argument("out")
+        for word in spec.split():
+            must = word.endswith("!")
+            name, _, default = word.rstrip("!").partition("=")
+            name, _, kind = name.partition(":")
+            if word in _PLACES:
+                c.add_argument(name, **({"choices": sorted(TABLES)} if name == "table" else {}))
+                continue
+            how = dict(kinds[kind or "text"])
+            if must:
+                how["required"] = True
+            if default:
+                how["default"] = [default] if kind == "list" else how.get("type", str)(default)
+            c.add_argument(f"--{name}", **how)
     return top
 
 

@@ -75,13 +75,23 @@ def section_excerpt(text: pa.Array) -> pa.Array:
 
 # segments
 _NUMBER = re.compile(r"^[(△▲-]?[0-9][0-9,]*(?:\.[0-9]+)?\)?%?$")
-_AMOUNT = re.compile(r"(?P<name>[\w·&\-\s]{1,24}?)\s*(?:본부|사업부문|사업부|부문)?\s*[가는은이]?\s*(?P<amount>(?:[0-9,]+조\s*)?[0-9,]+\s*(?:백만|억|천)?원)\s*\(\s*(?P<share>[0-9]+(?:\.[0-9]+)?)\s*%\s*\)")
-_BARE = re.compile(r"(?P<name>[\w·&\-]{1,20}?)\s*(?:사업부문|사업부|부문)\s*[가는은이]?\s*(?:[가-힣]{0,6}(?:비중|매출액?)의?\s*)?(?:매출\s*)?(?:비중\s*)?(?:약\s*)?(?P<share>[0-9]+(?:\.[0-9]+)?)\s*%")
+_UNITS = "사업부문|사업부|부문"
+_MONEY = "|".join(f"{k}원" for k in ("백만", "억", "천", ""))
+_PERCENT = r"(?P<share>[0-9]+(?:[.][0-9]+)?) *%"
+_PARTICLE = "[가는은이]? *"
+
+
+def _maybe(*words: str) -> str:
+    return "".join(f"(?:{w} *)?" for w in words)
+
+
+_AMOUNT = re.compile(f"(?P<name>[ \\w&·-]{{1,24}}?) *(?:본부|{_UNITS})? *{_PARTICLE}(?P<amount>{_maybe('[0-9,]+조')}[0-9,]+ *(?:{_MONEY})) *[(] *{_PERCENT} *[)]")
+_BARE = re.compile(f"(?P<name>[\\w&·-]{{1,20}}?) *(?:{_UNITS}) *{_PARTICLE}{_maybe('[가-힣]{0,6}(?:매출|매출액|비중)의?', '매출', '비중', '약')}{_PERCENT}")
 _PROSE_WORDS, _RATES = tuple("매출 부문 비중 사업부".split()), ("YoY", "yoy", "감소하", "대비 ", "성장률", "전년 대비", "전년 동기", "전년대비", "전년동기", "증가하", "증감")
 _NOISE = tuple("기타부문 내부거래 소계 연결조정 전체 조정 총계 합계".split())
 _HEADS = tuple("구분 매출유형 부문 사업 사업부문 제품 품목".split())
 _SALES = tuple("매출 수주 판매".split())
-_STRONG = ("매출 구성", "매출 및 수주", "매출 실적", "매출구성", "매출실적", "매출액 및 비중", "부문별 매출", "제품별 매출", "품목별 매출")
+_STRONG = (*(f"{k}별 매출" for k in ("품목", "제품", "부문")), *(f"매출{gap}{k}" for gap in ("", " ") for k in ("실적", "구성")), "매출 및 수주", "매출액 및 비중")
 _AGAINST = ("M/S", "가동률", "경쟁", "매입실적", "매입액", "산업의 특성", "생산능력", "생산설비", "생산실적", "시장 현황", "시장규모", "원재료", "재고현황", "점유율")
 _OTHER_ROWS = tuple(
     "가동률 가동시간 가동일수 감가상각 건물 건설중인 공구 관리비 구축물 금융부채 금융비용 금융상품 금융수익 금융자산 기계장치 당기순이익 도축 등록 매출액 매출원가 매출채권 매출총이익 무형자산상각 법인세 부문부채 부문자산 비품 생산능력 생산실적 수취채권 영업이익 임직원 종업원 차량운반구 출원 토지 특허 판매비".split()

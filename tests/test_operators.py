@@ -365,13 +365,14 @@ def test_tables_that_are_no_segments():
 
 
 def test_segments_in_prose():
-    said = "2024년 매출은 DX 부문이 174조 8,877억원(58.1%), DS 부문이 111조 660억원(36.9%)이며, Harman은 14조 2,749억원(4.7%)입니다."
-    assert shares(said) == ({"DX": 0.581, "DS": 0.369, "Harman": 0.047}, "prose", True)
-    assert shares("당사의 매출액은 1조 2,163억원으로 전년 동기 대비 537억원, 4.6% 증가하였습니다.")[0] == {}
-    assert len(shares("당사의 매출액은 전년 동기 대비 4.6% 증가하였습니다. 매출액은 시멘트 6,567억원(54.0%), 레미콘 1,407억원(11.6%), 무역 3,986억원(32.8%), 기타 203억원(1.6%)으로 구분됩니다.")[0]) == 4
-    assert shares("2025년 기준, 기계사업부문은 연결매출의 83.6%에 해당하며, 소재사업부문은 16.4%에 해당합니다.")[0] == {"기계": 0.836, "소재": 0.164}
-    assert shares("도시가스 부문이 97% 이상을 차지하고 있습니다.")[0] == {} and shares("")[1] is None
-    assert shares("당사의 매출은 기계사업부문 84%, 소재사업부문 16%로 구성됩니다.\n\n" + ROLLED.replace("나. 매출실적", "나. 판매 가격"), 1000e6)[1] == "prose"
+    said = "2023년 매출은 AX 부문이 20조 1,000억원(60.5%), BX 부문이 9조 90억원(30.0%), Nord는 3조 11억원(9.5%)."
+    assert shares(said) == ({"AX": 0.605, "BX": 0.3, "Nord": 0.095}, "prose", True)
+    grown = "작년의 매출은 900억원으로 전년 대비 12억원, 1.5% 증가하였습니다."
+    assert shares(grown)[0] == {}
+    assert shares(f"{grown} 매출액은 유리 500억원(55.0%), 타일 250억원(28.0%), 벽돌 150억원(17.0%)이다.")[0] == {"유리": 0.55, "타일": 0.28, "벽돌": 0.17}
+    assert shares("로봇사업부문은 연결매출의 71.2%이고, 센서사업부문은 28.8%이다.")[0] == {"로봇": 0.712, "센서": 0.288}
+    assert shares("가스 부문이 97% 이상이다.")[0] == {} and shares("")[1] is None
+    assert shares("매출은 로봇사업부문 70%, 센서사업부문 30%로 나뉜다.\n\n" + ROLLED.replace("나. 매출실적", "나. 판매 가격"), 1000e6)[1] == "prose"
 
 
 def test_segments(spark):
