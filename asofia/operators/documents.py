@@ -99,12 +99,17 @@ _OTHER_ROWS = tuple(
 #: Regions, kinds of sales and legal entities: an axis of another table, unless they are a minor rest.
 _AXES = frozenset("국내 기타매출 내부매출제거 내수 본사 상품 상품매출 수출 용역 용역매출 제품 제품매출 종속회사 지배회사 지점 해외".split())
 _SUMS = frozenset("계 소계 총계 합계".split())
-_CAPTION = re.compile(r"^\s*(?:[0-9]{1,2}[.)]|[가-하][.)]|\([가-하0-9]\))\s*\S")
+_MARK = "[0-9]{1,2}|[가-하]"
+_CAPTION = re.compile(rf" *(?:(?:{_MARK})[.)]|[(](?:{_MARK})[)]) *[^ ]")
+_STOP = re.compile(r"[。.](?=\s|$)")
 _SCALES = (1, 1e3, 1e6, 1e8)
-_TRUST = {"prose": 3, "table_amount": 3, "table_pct": 2, "table_amount_unverified": 1}
+_TRUST = dict(table_amount_unverified=1, table_pct=2, table_amount=3, prose=3)
 LOOK_BACK, LONGEST_TABLE, LONGEST_LINE = 80, 40, 1200
 
 
+Table = list[list[str]]
+
+
 class Shares(NamedTuple):
     """A reading of one line or table: name, share, amount and path of each segment."""
 
@@ -129,7 +134,7 @@ def _value(cell: str) -> float | None:
 
 
 def _bare(name: str) -> str:
-    return re.sub(r"[\s·\-&()]", "", name).lower()
+    return "".join(c for c in name.lower() if c not in "()&·-" and not c.isspace())
 
 
 def _nameless(name: str) -> bool:
@@ -143,7 +148,7 @@ def _from_prose(line: str) -> Shares | None:
         if len(found) >= 2:
             break
         for m in pattern.finditer(line):
-            before = re.split(r"[.。](?:\s|$)", line[max(0, m.start() - 40) : m.start()])[-1]
+            before = _STOP.split(line[max(0, m.start() - 40) : m.start()])[-1]
             name = re.sub(r"^[0-9]{4}년\s*", "", re.split(r"매출액은|매출은|매출이|입니다|하였습니다|,", m["name"].strip(" ,·"))[-1]).strip()[-20:].strip()
             share = float(m["share"])
             if not _nameless(name) and 0 < share <= 100 and not any(w in before + line[m.start() : m.end() + 12] for w in _RATES):
@@ -152,13 +157,13 @@ def _from_prose(line: str) -> Shares | None:
     return Shares("prose", rows, 1, abs(sum(r[1] for r in rows) - 1) <= 0.12, True, line[:400]) if len(rows) > 1 else None
 
 
-def _tables(lines: list[str], piped: list[bool]) -> list[tuple[int, list[list[str]]]]:
+def _tables(lines: list[str], piped: list[bool]) -> list[tuple[int, Table]]:
     """(first line, rows of cells) of each run of three or more piped lines; blank lines don't end it."""
     out, rows, first = [], [], 0
     for k, line in enumerate([*lines, "end"]):
         if k < len(lines) and piped[k]:
             first = first if rows else k
-            rows.append([c.strip() for c in line.split("|") if c.strip()])
+            rows.append(list(filter(None, map(str.strip, line.split("|")))))
         elif line.strip():
             if len(rows) >= 3:
                 out.append((first, rows[:LONGEST_TABLE]))
@@ -178,7 +183,7 @@ def _context(lines: list[str], piped: list[bool], first: int) -> str:
     return " ".join(reversed(said))
 
 
-def _percentages(rows: list[list[str]]) -> tuple[list[tuple], int] | None:
+def _percentages(rows: Table) -> tuple[list[tuple], int] | None:
     """Shares of the first column of numbers that sums to about 100, and which column it is."""
     named = []
     for cells in rows[1:]:
@@ -195,7 +200,7 @@ def _percentages(rows: list[list[str]]) -> tuple[list[tuple], int] | None:
     return None
 
 
-def _folded(rows: list[list[str]]) -> list[tuple[str, str, float]]:
+def _folded(rows: Table) -> list[tuple[str, str, float]]:
     """(name, path, current amount) of each segment. Merged cells are missing in the rows below them, so numbers are counted from
     the right, and a row with fewer labels belongs to the segment above; its first subtotal is its amount; a grand total ends the table."""
     parsed = []
@@ -229,7 +234,7 @@ def _folded(rows: list[list[str]]) -> list[tuple[str, str, float]]:
     return [(n, path, v) for n, path, v, _ in out if v > 0 and not _nameless(n)]
 
 
-def _from_table(rows: list[list[str]], sales: float | None, context: int) -> Shares | None:
+def _from_table(rows: Table, sales: float | None, context: int) -> Shares | None:
     head = " | ".join(rows[0])[:200]
     if found := _percentages(rows):
         return Shares("table_pct", found[0], context, True, False, f"{head} (column {found[1]})")
@@ -239,7 +244,8 @@ def _from_table(rows: list[list[str]], sales: float | None, context: int) -> Sha
     if not groups or len(groups) == 1 and not matches or sales is not None and not matches and not context:
         return None
     method = "table_amount" if matches or sales is None else "table_amount_unverified"
-    return Shares(method, [(n, v / total, f"{v:,.0f}", path) for n, path, v in groups], context, True, matches, head)
+    split = [(n, v / total, format(v, ",.0f"), path) for n, path, v in groups]
+    return Shares(method, split, context, True, matches, head)
 
 
 def _misread(found: Shares) -> bool:

@@ -17,7 +17,7 @@ FIN = ("BANK", "INSURANCE", "SECURITIES", "OTHER_FIN")
 INSTANTS = tuple("ASSETS ASSETS_CURRENT BORROWINGS_LONG BORROWINGS_SHORT CASH_AND_EQUIV EQUITY_CONTROLLING EQUITY_TOTAL LIABILITIES_CURRENT".split())
 #: Element of a year's report -> column.
 ANNUALS = {"DPS": "dps", "DIV_YIELD_REPORTED": "div_yield_pct", "PAYOUT_RATIO": "payout_pct", "DIV_TOTAL_REPORTED": "dividend_total_reported_m", "OWNER_STAKE_PCT": "owner_stake_pct"}
-MASTER = ("name", "sector_code", "is_financial", "is_holding", "fiscal_month", "is_spac", "is_reit", "is_preferred")
+MASTER = tuple("fiscal_month is_financial is_holding is_preferred is_reit is_spac name sector_code".split())
 STATUS_FLAGS = ("admin_issue", "audit_opinion_bad_admin")
 STALE_DAYS = 200
 CAP_LIMIT = 2e15
@@ -41,7 +41,7 @@ def fact_pivot(facts: DataFrame) -> DataFrame:
     pick = lambda e, c: F.max_by(c, F.when(F.col("element") == e, 1))
     wide = [pick(e, "ttm").alias(f"{_TTM.get(e, e.lower() + '_ttm')}") for e in sorted(FLOWS)] + [pick("NET_INCOME_CONTROLLING", "ttm_reason").alias("ttm_reason"), pick("CFO", "ttm_reason").alias("cfo_ttm_reason")]
     for short, e in (("rev", "REVENUE"), ("op", "OPERATING_INCOME")):
-        wide += [pick(e, c).alias(f"{short}_{c}") for c in ("growth_fy", "growth_q", "delta_fy", "delta_q", "turnaround", "growth_reason")]
+        wide += [pick(e, c).alias(f"{short}_{c}") for c in [f"{what}_{span}" for what in ("delta", "growth") for span in ("fy", "q")] + ["growth_reason", "turnaround"]]
     flow = flow.groupBy("ticker").agg(*wide)
     balances = fixed_basis(rows.filter((F.col("period_type") == "INSTANT") & F.col("element").isin(*INSTANTS)), ["ticker", "element"])
     order = F.struct("fiscal_end_date", "reported_at", "fact_id")
@@ -57,7 +57,7 @@ def fact_pivot(facts: DataFrame) -> DataFrame:
 
 def assemble(facts: DataFrame, prices: DataFrame, master: DataFrame, as_of: date, status: DataFrame | None = None) -> DataFrame:
     """The derived metrics and flags of every priced ticker. facts: already as of as_of; prices: one row a ticker; status: as of as_of."""
-    own = [c for c in ("close", "market_cap_common", "market_cap_total", "shares_common", "adtv_20d") if c in prices.columns]
+    own = [c for c in "adtv_20d close market_cap_common market_cap_total shares_common".split() if c in prices.columns]
     treasury = [F.col("treasury_shares").alias("shares_treasury")] if "treasury_shares" in prices.columns else []
     wide = prices.select("ticker", *own, *treasury).join(fact_pivot(facts), "ticker", "left")
     kinds = {"name": "string", "sector_code": "string", "fiscal_month": "int"}

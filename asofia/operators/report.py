@@ -29,7 +29,7 @@ def share_text(row: Row) -> str:
     return f"~{row['claimed_share']:.0%} (claimed, {why})" if row["claimed_share"] else why
 
 
-def digest(verdicts: DataFrame, metrics: DataFrame, catalysts: DataFrame, max_groups: int = 2, per_theme: int = 20, per_kind: int = 15, *, title: str = "Digest", funnel: dict | None = None, quality: dict | None = None, golden: list[dict] | None = None, survivorship: dict | None = None) -> str:
+def digest(verdicts: DataFrame, metrics: DataFrame, catalysts: DataFrame, max_groups: int = 2, per_theme: int = 20, per_kind: int = 15, *, title: str = "Digest", survivorship: dict | None = None, golden: list[dict] | None = None, quality: dict | None = None, funnel: dict | None = None) -> str:
     """Markdown: what passed each step, verified stocks by theme with their events, counter-events first, those held back for their
     risk groups, events, and appendices: rejected assignments, weak and expired events, data defects, golden scores, survivorship."""
     good = verdicts.filter("status = 'verified' AND role = 'core'").join(metrics.select("ticker", "n_risk_groups", "score"), "ticker", "left").withColumn("held", F.coalesce(F.col("n_risk_groups") >= max_groups, F.lit(False)))

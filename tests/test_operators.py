@@ -336,7 +336,7 @@ def shares(text, sales=None):
     return {s["name"]: round(s["share"], 3) for s in got["segments"]}, got["method"], got["corroborated"]
 
 
-ROLLED = table(["(단위 : 백만원)"], ["사업부문", "유형", "품목", "2025년", "2024년"], ["사료부", "제품매출", "배합", "600", "500"], ["상품매출", "배합", "20", "30"], ["소 계", "620", "530"], ["육류부", "제품매출", "지육", "300", "310"], ["상품매출", "정육", "80", "70"], ["소 계", "380", "380"])
+ROLLED = table(["단위: 백만원"], ["사업부문", "유형", "품목", "2025년", "2024년"], ["사료부", "제품매출", "배합", "600", "500"], ["상품매출", "배합", "20", "30"], ["소 계", "620", "530"], ["육류부", "제품매출", "지육", "300", "310"], ["상품매출", "정육", "80", "70"], ["소 계", "380", "380"])
 
 
 def test_segment_tables():
