@@ -82,11 +82,11 @@ def keys(points: np.ndarray, mean: np.ndarray, deviation: np.ndarray) -> np.ndar
 
 
 def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, mark (checksum of all ids), start, total, ids (of a slice; little-endian, 2 or 4 bytes each), and the coordinates c0, c1, ..."""
+    """doc_id, row (as read), mark (checksum of all ids), start, total, ids (of a slice; little-endian, 2 or 4 bytes each), and the coordinates c0, c1, ..."""
     vocabulary = max(vocabulary_size(path), end_id + 1)
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
     end = np.array([end_id], "<u4").tobytes()
-    out = struct("doc_id long, mark long, start long, total long, ids binary" + "".join(f", c{d} double" for d in range(DIMS)))
+    out = struct("doc_id long, row long, mark long, start long, total long, ids binary" + "".join(f", c{d} double" for d in range(DIMS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
@@ -107,9 +107,9 @@ def encode(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 lo = (first[doc] + start) * width
                 hi = np.minimum(first[doc] + start + SLICE, (first + total)[doc]) * width
                 ids = [small[i:j] for i, j in zip(lo.tolist(), hi.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array(mark[doc]), pa.array(start), pa.array(total[doc]), pa.array(ids, pa.binary()), *(pa.array(points[doc, d]) for d in range(DIMS))], names=out.names)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), part.column(2).take(pa.array(doc)), pa.array(mark[doc]), pa.array(start), pa.array(total[doc]), pa.array(ids, pa.binary()), *(pa.array(points[doc, d]) for d in range(DIMS))], names=out.names)
 
-    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))).mapInArrow(run, out)
+    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), F.monotonically_increasing_id().alias("row"))).mapInArrow(run, out)
 
 
 class Packer:
@@ -179,7 +179,7 @@ def pack(docs: DataFrame, path: str | None = None, end_id: int = 1, size: int =
     def curve(*columns: pa.Array) -> pa.Array:
         return pa.array(keys(np.stack([c.to_numpy(zero_copy_only=False) for c in columns], axis=1), mean, deviation), pa.int64())
 
-    order = ["_key", "doc_id", "mark", "start"]
+    order = ["_key", "doc_id", "mark", "row", "start"]  # rows that repeat a document spread too
     ordered = coded.withColumn("_key", curve(*axes)).select(*order, "total", "ids").repartitionByRange(n_partitions(docs.sparkSession), *order).sortWithinPartitions(*order).select("doc_id", "start", "total", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

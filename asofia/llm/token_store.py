@@ -8,7 +8,7 @@ A file holds the documents of one range of doc_id in ascending order:
 
 A block packs `block` ids, each in `bits` bits, most significant first, padded to a whole byte; so any id range is read
 by unpacking just the blocks that it touches, all ids of a block at once with numpy. Documents are shuffled once, by
-range of (doc_id, hash of the text), so repeated ids spread too; each task writes its own files under a temporary name
+range of (doc_id, hash of the text, row), so repeated ids and rows spread too; each task writes its own files under a temporary name
 and renames them, which is safe when tasks are repeated. One row a file comes back to the driver, for the starts.
 
 Null texts are empty: just the end id. Null doc_ids sort first and come back null. Repeated rows are separate documents.
@@ -114,8 +114,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
     spark = docs.sparkSession
     path = path or default_path("byte_bpe_50k.json")
     bits, end = bits_for(max(vocabulary_size(path), end_id + 1)), np.array([end_id], "<u4").tobytes()
-    key = [F.col("doc_id"), F.xxhash64("text")]
-    rows = docs.select("doc_id", whole_text().alias("text")).repartitionByRange(n_partitions(spark), *key).sortWithinPartitions(*key)
+    key = [F.col("doc_id"), F.xxhash64("text"), F.col("row")]  # rows that repeat a document spread too
+    rows = docs.select("doc_id", whole_text().alias("text"), F.monotonically_increasing_id().alias("row")).repartitionByRange(n_partitions(spark), *key).sortWithinPartitions(*key).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = library_encoder(path), TaskContext.get().partitionId()
