@@ -2,10 +2,11 @@
 
 Each document is encoded whole, its ids (with the end id) make a hashed, length-free vector, which is projected to DIMS
 dimensions. Scaled by the corpus' means and deviations, the coordinates give a key on the Hilbert curve. Documents are
-sorted by range of (key, doc_id, checksum of the ids), long ones in slices of SLICE ids, so neither a third of all rows
-with one key nor long documents, which gather in the middle of the curve, overload a partition, and each partition packs its stretch of the curve: documents one after the other, cut wherever a sequence
-is full. What remains at a partition's end, fewer ids than a sequence holds, is cut into sequences of the powers of two
-that add up to it, which need no padding; so nothing is padded and no partition waits for another.
+sorted by range of (key, doc_id, checksum of the ids, row), long ones in slices of SLICE ids, so neither a third of all
+rows with one key nor long documents, which gather in the middle of the curve, overload a partition, and each partition
+packs its stretch of the curve: documents one after the other, cut wherever a sequence is full. What remains at a
+partition's end, fewer ids than a sequence holds, is cut into sequences of the powers of two that add up to it, which
+need no padding; so nothing is padded and no partition waits for another.
 
 Encoding is done once: its result (2 bytes an id where the vocabulary allows) is written to the shared folder and only
 that is shuffled. Null texts are just the end id. Null doc_ids sort first and come back null; repeated rows are
