@@ -12,6 +12,7 @@ from pyspark.sql import Window
 
 from asofia.functions.dates import expiry
 from asofia.functions.nulls import hit
+from asofia.functions.text import bound
 
 CHECKS = tuple("grounded material no_reversal not_amended not_expired numbers_agree".split())
 
@@ -74,7 +75,10 @@ def magnitude(amounts: list[Column], summed: bool = False, shares: Column | None
 
 def contract(text: Column) -> Column:
     """ratio to revenue, end date and total of a supply contract's plain text; no ratio, no contract."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
+    return bound(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "), _contract)
+
+
+def _contract(t: Column) -> Column:
     number = lambda p: F.replace(F.regexp_extract(t, p, 1), F.lit(","), F.lit("")).try_cast("double")
     ratio = number(rf"매출액\s*대비\s*[(%)]*{_GAP}([0-9][0-9,.]*)")
     day = [F.regexp_extract(t, rf"종료일{_GAP}([0-9]{{4}})\D{{1,3}}([0-9]{{1,2}})\D{{1,3}}([0-9]{{1,2}})", k) for k in (1, 2, 3)]

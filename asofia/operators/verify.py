@@ -75,25 +75,33 @@ def partial_ratio(a: str, b: str) -> float:
     return partial_ratios([(a, b)])[0]
 
 
-GRAM = 3
+GRAM = 5
 
 
 def _grams(a: str) -> np.ndarray:
     x = _codes(a).astype(np.uint64)
-    return x[:-2] << np.uint64(42) | x[1:-1] << np.uint64(21) | x[2:]
+    n = max(len(x) - GRAM + 1, 0)
+    h = np.zeros(n, np.uint64)
+    for k in range(GRAM if n else 0):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + x[k : k + n]
+    return h
 
 
 def may_reach(a: str, b: str, least: float = FUZZY) -> bool:
     """Whether partial_ratio may be least or more: False only if it can't.
 
     At a similarity of p the shorter text's n characters and a stretch's differ by at most 2 n (1 - p) insertions and
-    deletions; each spoils at most GRAM of the shorter's grams, and what is left of them stands in the longer text.
+    deletions; each spoils at most GRAM of the shorter's grams, and what is left of them stands within that stretch.
     """
     if len(a) > len(b):
         a, b = b, a
     spoiled = GRAM * int(2 * len(a) * (1 - least / 100) + 1e-9)
     need = len(a) - GRAM + 1 - spoiled
-    return need <= 0 or int(np.isin(_grams(a), _grams(b)).sum()) >= need
+    if need <= 0:
+        return True
+    met = np.concatenate([[0], np.cumsum(np.isin(_grams(b), _grams(a)))])
+    wide = min(len(a) - GRAM + 1, len(met) - 1)
+    return int((met[wide:] - met[: len(met) - wide]).max()) >= need
 
 
 def cites(quote: str, source: str) -> bool:
